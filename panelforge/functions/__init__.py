@@ -5,7 +5,6 @@ from panelforge.functions.scalar import (
     label_to_year,
     period_end_date,
     safe_ratio,
-    year_label,
 )
 
-__all__ = ["guarded_corr", "label_to_year", "period_end_date", "safe_ratio", "year_label"]
+__all__ = ["guarded_corr", "label_to_year", "period_end_date", "safe_ratio"]

@@ -23,13 +23,6 @@ def label_to_year(label: Column | str) -> Column:
     return F.replace(_col(label), F.lit("_"), F.lit("")).cast("bigint")
 
 
-def year_label(year: Column | str) -> Column:
-    """Column name used for a year in a wide extract: odd years carry the
-    ``_`` prefix some warehouses add to numeric names, even years do not."""
-    y = _col(year)
-    return F.when(y % 2 == 1, F.concat(F.lit("_"), y.cast("string"))).otherwise(y.cast("string"))
-
-
 def period_end_date(year: Column | str) -> Column:
     """``DATE(year, 12, 31)``: the date a yearly value is partitioned under."""
     return F.make_date(_col(year).cast("int"), F.lit(12), F.lit(31))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,8 @@ from panelforge.functions.scalar import period_end_date
 from panelforge.operators.joins import left_join_all
 from panelforge.plans.load import load_table
 from panelforge.plans.staging import stage_table
-from panelforge.sources.extracts import observed_years, read_cube, wide_extracts
+from panelforge.session import checkpoint_root
+from panelforge.sources.extracts import read_cube, wide_extracts
 
 
 def final_table(name: str, staged: Mapping[str, DataFrame], with_year_date: bool = True) -> DataFrame:
@@ -40,28 +42,40 @@ def needed_datasets(names: Iterable[str]) -> list[str]:
 class Extracts:
     """The seven wide extracts of one input folder, as lazy DataFrames.
 
-    They share one measure cube; within a single query Spark reuses the cube's
-    shuffles across branches (``ReusedExchange``).  ``materialize()`` writes
-    the cube to the checkpoint folder instead, for runs that produce many
-    tables with separate actions.
+    All of them are cut from one measure cube.  ``materialize()`` (the
+    default) runs the cube once and writes it as a Parquet table under the
+    session's checkpoint folder, so the query that follows reads a table of a
+    few thousand rows instead of re-deriving it in every branch (Catalyst
+    pushes different filters into each branch, which defeats exchange reuse).
+    The written table also cuts the lineage: losing an executor later does not
+    recompute the join.
     """
 
     def __init__(self, spark: SparkSession, base: str, pay_gap_fanout: bool = False,
-                 years: Iterable[int] | None = None):
+                 years: Iterable[int] | None = None, materialize: bool = True):
         self.spark = spark
         self.base = base
         self.cube = read_cube(spark, base)
-        self.years = list(years) if years is not None else observed_years(spark, base)
         self.pay_gap_fanout = pay_gap_fanout
+        self._years = list(years) if years is not None else None
         self._wide: dict[str, DataFrame] | None = None
+        if materialize:
+            self.materialize()
 
     def materialize(self) -> "Extracts":
-        """Cut the lineage at the cube with a reliable checkpoint (survives the
-        loss of executors; never a machine-local copy)."""
-        self.cube = self.cube.checkpoint(eager=True)
+        path = f"{checkpoint_root(self.spark).rstrip('/')}/cube-{uuid.uuid4().hex}"
+        self.cube.write.mode("errorifexists").parquet(path)
+        self.cube = self.spark.read.parquet(path)
         self._wide = None
         return self
 
+    @property
+    def years(self) -> list[int]:
+        if self._years is None:
+            self._years = sorted(int(r.year) for r in
+                                 self.cube.select("year").distinct().collect())
+        return self._years
+
     @property
     def wide(self) -> dict[str, DataFrame]:
         if self._wide is None:

@@ -24,14 +24,13 @@ planned for scale:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.contracts import ALL_SECTORS, TOTAL_ECONOMY, WORKING_AGE
-from panelforge.functions.scalar import year_label
 from panelforge.sources.tables import read_table
 
 CUBE_DIMENSIONS = ("country", "year", "o_orderstatus", "o_orderpriority", "c_mktsegment",
@@ -133,8 +132,18 @@ def _age() -> Column:
     return F.when(prio == "3-MEDIUM", F.lit(WORKING_AGE)).otherwise(prio)
 
 
-def _ratio(total: str, count: str) -> Column:
-    return F.sum(total) / F.sum(count)
+def _ratio(total: str, count: str) -> Callable[[Column], Column]:
+    return lambda keep: F.sum(F.when(keep, F.col(total))) / F.sum(F.when(keep, F.col(count)))
+
+
+def _sum(measure: str, scale: float = 1.0) -> Callable[[Column], Column]:
+    if scale == 1.0:
+        return lambda keep: F.sum(F.when(keep, F.col(measure)))
+    return lambda keep: F.sum(F.when(keep, F.col(measure))) / F.lit(scale)
+
+
+def _max(measure: str) -> Callable[[Column], Column]:
+    return lambda keep: F.max(F.when(keep, F.col(measure)))
 
 
 @dataclass(frozen=True)
@@ -143,7 +152,7 @@ class ExtractRecipe:
 
     level: str                                  # which cube rows: "line" or "order"
     dimensions: tuple[tuple[str, Column], ...]  # id columns in extract order
-    cell: Column                                # aggregate over cube rows
+    cell: Callable[[Column], Column]            # aggregate over the cube rows where a condition holds
     where: Column | None = None
 
 
@@ -152,7 +161,7 @@ def recipes(pay_gap_unit_from_status: bool = False) -> dict[str, ExtractRecipe]:
     extract a second unit, which duplicates every (country, year) key."""
     freq = ("freq", F.lit("A"))
     country = ("country", F.col("country"))
-    orders_per_10 = F.sum("orders") / F.lit(10.0)
+    orders_per_10 = _sum("orders", 10.0)
     pay_unit = F.col("l_linestatus") if pay_gap_unit_from_status else F.lit("PC")
     return {
         "marriage_rate": ExtractRecipe(
@@ -170,39 +179,38 @@ def recipes(pay_gap_unit_from_status: bool = False) -> dict[str, ExtractRecipe]:
             "line", (freq, ("nace_r2", _sector(ALL_SECTORS)), ("wstatus", F.col("o_orderstatus")),
                      ("worktime", F.col("l_linestatus")), ("age", _age()), ("sex", _sex()),
                      ("unit", F.lit("HR")), country),
-            F.max("qty_max")),
+            _max("qty_max")),
         "accidents": ExtractRecipe(
             "line", (freq, ("unit", F.col("l_linestatus")), ("nace_r2", _sector(ALL_SECTORS)),
                      ("sex", _sex()), country),
-            F.sum("qty_sum")),
+            _sum("qty_sum")),
         "employed": ExtractRecipe(
             "line", (freq, ("unit", F.col("l_linestatus")), ("sex", _sex()), ("age", _age()),
                      ("nace_r2", _sector(ALL_SECTORS)), country),
-            F.sum("qty_sum")),
+            _sum("qty_sum")),
     }
 
 
-def long_cells(cube: DataFrame, recipe: ExtractRecipe) -> DataFrame:
-    """(id columns, year, cell) with ``cell = nullif(agg, 0)`` as double."""
-    rows = cube.filter(F.col("level") == recipe.level)
-    if recipe.where is not None:
-        rows = rows.filter(recipe.where)
-    dims = [expr.alias(name) for name, expr in recipe.dimensions]
-    return rows.groupBy(*dims, "year").agg(
-        F.nullif(recipe.cell.cast("double"), F.lit(0.0)).alias("cell"))
+def year_column_name(year: int) -> str:
+    """Column name of a year in a wide extract: odd years carry the ``_``
+    prefix some warehouses add to numeric names, even years do not."""
+    return f"_{year}" if year % 2 else str(year)
 
 
 def wide_extract(cube: DataFrame, recipe: ExtractRecipe, years: Sequence[int]) -> DataFrame:
-    """Pivot the cells to one column per year (``_1995``, ``1996``, ...).
+    """One row per combination of id columns, one column per year.
 
-    The year list is passed to ``pivot`` so Spark does not run a job to find it
-    and the schema is stable.  Every (id columns, year) pair holds one cell, so
-    ``max`` just carries it.
+    A single aggregate with one conditional measure per year (a pivot with a
+    known value list, in one shuffle); ``nullif(cell, 0)`` turns an empty count
+    into null, and a year without rows is null as well.
     """
-    labels = [("_%d" if y % 2 else "%d") % y for y in years]
-    cells = long_cells(cube, recipe).withColumn("year_label", year_label("year"))
-    names = [name for name, _ in recipe.dimensions]
-    return cells.groupBy(*names).pivot("year_label", labels).agg(F.max("cell"))
+    rows = cube.filter(F.col("level") == recipe.level)
+    if recipe.where is not None:
+        rows = rows.filter(recipe.where)
+    dims = [expr.alias(name) for name, expr in recipe.dimensions]
+    cells = [F.nullif(recipe.cell(F.col("year") == F.lit(y)).cast("double"), F.lit(0.0))
+             .alias(year_column_name(y)) for y in years]
+    return rows.groupBy(*dims).agg(*cells)
 
 
 def wide_extracts(cube: DataFrame, years: Sequence[int],
