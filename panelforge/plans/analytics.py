@@ -5,7 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from panelforge.contracts import ANALYTICS, ANALYTICS_SCHEMAS, DATASETS
 from panelforge.functions.scalar import period_end_date
@@ -13,7 +14,7 @@ from panelforge.operators.joins import left_join_all
 from panelforge.plans.load import load_table
 from panelforge.plans.staging import stage_table
 from panelforge.session import checkpoint_root
-from panelforge.sources.extracts import read_cube, wide_extracts
+from panelforge.sources.extracts import read_cube, recipes, wide_extract
 
 
 def final_table(name: str, staged: Mapping[str, DataFrame], with_year_date: bool = True) -> DataFrame:
@@ -58,13 +59,19 @@ class Extracts:
         self.cube = read_cube(spark, base)
         self.pay_gap_fanout = pay_gap_fanout
         self._years = list(years) if years is not None else None
-        self._wide: dict[str, DataFrame] | None = None
+        self._wide: _WideExtracts | None = None
         if materialize:
             self.materialize()
 
     def materialize(self) -> "Extracts":
+        """Write the cube once; the year list is observed during that write
+        (a metric gathered with the job, not a second job)."""
         path = f"{checkpoint_root(self.spark).rstrip('/')}/cube-{uuid.uuid4().hex}"
-        self.cube.write.mode("errorifexists").parquet(path)
+        seen = Observation("cube")
+        self.cube.observe(seen, F.collect_set("year").alias("years")).write.mode(
+            "errorifexists").parquet(path)
+        if self._years is None:
+            self._years = sorted(int(y) for y in seen.get["years"])
         self.cube = self.spark.read.parquet(path)
         self._wide = None
         return self
@@ -77,9 +84,9 @@ class Extracts:
         return self._years
 
     @property
-    def wide(self) -> dict[str, DataFrame]:
+    def wide(self) -> "_WideExtracts":
         if self._wide is None:
-            self._wide = wide_extracts(self.cube, self.years, self.pay_gap_fanout)
+            self._wide = _WideExtracts(self.cube, self.years, self.pay_gap_fanout)
         return self._wide
 
     def load(self, name: str) -> DataFrame:
@@ -93,3 +100,24 @@ class Extracts:
 
     def final(self, name: str, with_year_date: bool = True) -> DataFrame:
         return final_table(name, self.staged(needed_datasets([name])), with_year_date)
+
+
+class _WideExtracts(Mapping[str, DataFrame]):
+    """Wide extracts built on first access, so a query only pays for the
+    plans it uses."""
+
+    def __init__(self, cube: DataFrame, years: list[int], pay_gap_fanout: bool):
+        self._cube, self._years = cube, years
+        self._recipes = recipes(pay_gap_fanout)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = wide_extract(self._cube, self._recipes[name], self._years)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._recipes)
+
+    def __len__(self) -> int:
+        return len(self._recipes)

@@ -16,11 +16,14 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # Python call-site capture costs several JVM round trips per column
+    # function; plans here are built from hundreds of them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "panelforge") -> SparkSession:
+                  app_name: str = "panelforge", driver_memory: str | None = None) -> SparkSession:
     """Return a session with the settings the library relies on.
 
     On a cluster the master and most settings come from spark-submit; here we
@@ -32,6 +35,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.master(master)
     for key, value in _DEFAULTS.items():
         builder = builder.config(key, value)
+    if driver_memory:  # only effective when this call starts the JVM (local runs)
+        builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
