@@ -72,7 +72,8 @@ def enforce(report: DataFrame, name: str, mode: str = "fail") -> list[tuple[str,
 
 def assert_in_plan(df: DataFrame, condition: F.Column, message: str) -> DataFrame:
     """Fail the job itself when a row breaks ``condition`` (no extra pass)."""
-    return df.withColumn("_check", F.assert_true(condition, F.lit(message))).drop("_check")
+    # A filter keeps the assertion in the plan; a dropped helper column would be pruned away.
+    return df.filter(F.assert_true(condition, F.lit(message)).isNull())
 
 
 # Checks the reference describes for its tables, re-aimed at the real ones.

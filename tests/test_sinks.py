@@ -1,0 +1,109 @@
+"""Landing, replace, upsert and partitioned sinks."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from panelforge.contracts import ANALYTICS_SCHEMAS, STAGING_SCHEMAS
+from panelforge.operators.filters import EmptyInputError
+from panelforge.sources import sinks
+from tests.conftest import rows
+
+REL = ANALYTICS_SCHEMAS["relationships"]
+
+
+def rel(spark, data):
+    """(country, year, marriage_rate) -> relationships-shaped rows."""
+    full = [(None if y is None else __import__("datetime").date(y, 12, 31), c, y, m, None, None, None, None)
+            for c, y, m in data]
+    return spark.createDataFrame(full, REL)
+
+
+def test_upsert_updates_inserts_and_keeps(spark, scratch):
+    target = sinks.replace_sink(rel(spark, [("BE", 2005, 1.0), ("NL", 2005, 2.0)]), f"{scratch}/t0", REL)
+    source = rel(spark, [("BE", 2005, 9.0), ("DE", 2005, 3.0)])
+    out = sinks.upsert_sink(spark, source, target, f"{scratch}/t1", schema=REL)
+    assert rows(spark.read.parquet(out), "country", "marriage_rate") == [
+        ("BE", 9.0), ("DE", 3.0), ("NL", 2.0)]
+
+
+def test_upsert_twice_equals_once(spark, scratch):
+    target = sinks.replace_sink(rel(spark, [("BE", 2005, 1.0)]), f"{scratch}/t0", REL)
+    source = rel(spark, [("BE", 2005, 9.0), ("DE", 2005, 3.0)])
+    once = sinks.upsert_sink(spark, source, target, f"{scratch}/t1")
+    twice = sinks.upsert_sink(spark, source, once, f"{scratch}/t2")
+    assert rows(spark.read.parquet(once)) == rows(spark.read.parquet(twice))
+
+
+def test_upsert_rejects_duplicate_source_keys(spark, scratch):
+    target = sinks.replace_sink(rel(spark, [("BE", 2005, 1.0)]), f"{scratch}/t0", REL)
+    source = rel(spark, [("BE", 2005, 9.0), ("BE", 2005, 8.0)])
+    with pytest.raises(sinks.DuplicateKeyError):
+        sinks.upsert_sink(spark, source, target, f"{scratch}/t1")
+
+
+def test_upsert_requires_existing_target(spark, scratch):
+    with pytest.raises(sinks.MissingTargetError):
+        sinks.upsert_sink(spark, rel(spark, [("BE", 2005, 1.0)]), f"{scratch}/missing",
+                          f"{scratch}/t1", schema=REL)
+
+
+def test_upsert_into_initialised_empty_table(spark, scratch):
+    target = sinks.init_table(spark, REL, f"{scratch}/empty")
+    out = sinks.upsert_sink(spark, rel(spark, [("BE", 2005, 1.0)]), target, f"{scratch}/t1", schema=REL)
+    assert spark.read.parquet(out).count() == 1
+
+
+def test_upsert_refuses_to_overwrite_its_input(spark, scratch):
+    target = sinks.replace_sink(rel(spark, [("BE", 2005, 1.0)]), f"{scratch}/t0", REL)
+    with pytest.raises(ValueError):
+        sinks.upsert_sink(spark, rel(spark, [("BE", 2005, 1.0)]), target, target)
+
+
+def test_null_keys_never_match_in_upsert(spark, scratch):
+    target = sinks.replace_sink(rel(spark, [(None, 2005, 1.0)]), f"{scratch}/t0", REL)
+    out = sinks.upsert_sink(spark, rel(spark, [(None, 2005, 2.0)]), target, f"{scratch}/t1")
+    assert spark.read.parquet(out).count() == 2
+
+
+def test_schema_contract_enforced(spark, scratch):
+    bad = spark.createDataFrame([("BE", 2005, 1.0)], "country string, year int, marriage_rate double")
+    with pytest.raises(sinks.SchemaMismatchError):
+        sinks.replace_sink(bad, f"{scratch}/x", STAGING_SCHEMAS["marriage_rate"])
+
+
+def test_replace_sink_replaces(spark, scratch):
+    path = f"{scratch}/r"
+    sinks.replace_sink(rel(spark, [("BE", 2005, 1.0), ("NL", 2005, 1.0)]), path)
+    sinks.replace_sink(rel(spark, [("DE", 2006, 1.0)]), path)
+    assert rows(spark.read.parquet(path), "country") == [("DE",)]
+
+
+def test_partitioned_roundtrip_and_null_date(spark, scratch):
+    df = rel(spark, [("BE", 2005, 1.0), ("NL", 2006, 2.0), ("DE", None, 3.0)])
+    path = sinks.partitioned_sink(df, f"{scratch}/p")
+    back = sinks.read_partitioned(spark, path, REL)
+    assert back.columns == REL.names
+    assert rows(back) == rows(df)
+    import os
+    names = sorted(os.listdir(path))
+    assert "year_date=2005-12-31" in names and "year_date=__HIVE_DEFAULT_PARTITION__" in names
+
+
+def test_partition_filter_prunes_folders(spark, scratch):
+    df = rel(spark, [("BE", 2005, 1.0), ("NL", 2006, 2.0)])
+    path = sinks.partitioned_sink(df, f"{scratch}/p")
+    q = sinks.read_partitioned(spark, path, REL).filter(
+        (F.col("year_date") == F.lit("2006-12-31").cast("date")) & (F.col("country") == "NL"))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year_date" in plan and "PushedFilters: [IsNotNull(country), EqualTo(country,NL)]" in plan
+    assert q.count() == 1
+
+
+def test_land_wide_renames_and_rejects_empty(spark, scratch):
+    from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+    schema = StructType([StructField("freq", StringType()), StructField("geo\\TIME_PERIOD", StringType()),
+                         StructField("2005", DoubleType())])
+    path = sinks.land_wide(spark.createDataFrame([("A", "BE", 1.0)], schema), f"{scratch}/raw")
+    assert spark.read.parquet(path).columns == ["freq", "country", "2005"]
+    with pytest.raises(EmptyInputError):
+        sinks.land_wide(spark.createDataFrame([], schema), f"{scratch}/raw2")
