@@ -1 +1,6 @@
-"""streaming."""
+"""Streaming.
+
+The pipeline this package re-expresses is a scheduled batch job: it has no
+stream source, watermark, late data or operator state, so nothing here yet.
+Repeated runs are handled in batch by ``plans.refresh`` with keyed upserts.
+"""
