@@ -208,9 +208,24 @@ def _change(col: str) -> str:
     return f"sign({col} - lag({col}) OVER (PARTITION BY country ORDER BY year))"
 
 
+def _check_report(table: str, label: str, not_null=(), unique=(), non_negative=()) -> str:
+    parts = [f"SELECT '{label}' AS table_name, 'not_null' AS \"check\", '{c}' AS column_name, "
+             f"CAST(count(*) - count({c}) AS BIGINT) AS violations FROM {table}" for c in not_null]
+    parts += [f"SELECT '{label}' AS table_name, 'non_negative' AS \"check\", '{c}' AS column_name, "
+              f"CAST(count(*) FILTER (WHERE {c} < 0) AS BIGINT) AS violations FROM {table}"
+              for c in non_negative]
+    if unique:
+        keys = ", ".join(unique)
+        parts.append(f"SELECT '{label}' AS table_name, 'unique' AS \"check\", '{','.join(unique)}' "
+                     f"AS column_name, CAST(count(*) AS BIGINT) AS violations FROM "
+                     f"(SELECT {keys} FROM {table} GROUP BY {keys} HAVING count(*) > 1)")
+    return "\nUNION ALL\n".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     for n in _DATASETS:
+        q[f"extract_{n}"] = "WITH " + wide_cte(n) + f"\nSELECT * FROM wide_{n}"
         q[f"load_{n}"] = with_tables(f"SELECT * FROM load_{n}", datasets=[n])
         q[f"stg_{n}"] = with_tables(f"SELECT * FROM stg_{n}", stage=[n])
     q["relationships"] = with_tables("SELECT * FROM final_relationships", finals=["relationships"])
@@ -276,6 +291,20 @@ def oracle_sql() -> dict[str, str]:
                                     "accidents_f", "employed_m", "employed_f"),
                "count(*) FILTER (WHERE {c} < 0)", "non_negative"),
         finals=["gender_gap"])
+    q["check_staging"] = with_tables(
+        "\nUNION ALL\n".join(_check_report(f"stg_{n}", n, not_null=("country", "year"),
+                                             unique=("country", "year")) for n in _DATASETS),
+        stage=list(_DATASETS))
+    q["check_analytics"] = with_tables(
+        _check_report("final_relationships", "relationships",
+                      not_null=("country", "year_date", "gender_pay_gap", "age_at_marriage_f",
+                                "age_at_marriage_m"), unique=("country", "year_date"))
+        + "\nUNION ALL\n"
+        + _check_report("final_gender_gap", "gender_gap",
+                        not_null=("country", "year_date", "hours_worked_delta"),
+                        unique=("country", "year_date"),
+                        non_negative=("hours_worked_m", "hours_worked_f")),
+        finals=["relationships", "gender_gap"])
     dims = ("freq", "nace_r2", "wstatus", "worktime", "age", "sex", "unit")
     q["domain_profile"] = with_tables(
         "\nUNION ALL\n".join(

@@ -59,28 +59,31 @@ def refresh(spark: SparkSession, in_dir: str, out_dir: str, variant: str = "clou
     extracts = Extracts(spark, in_dir)
 
     for name in DATASETS:
-        raw = sinks.land_wide(extracts.wide[name], f"{run_dir}/raw/{name}")
-        loaded = load_table(spark.read.parquet(raw), DATASETS[name], check_input=True,
-                            check_output=require_matches)
+        wide = extracts.wide[name]
+        raw = sinks.land_wide(wide, f"{run_dir}/raw/{name}")
+        loaded = load_table(sinks.read_written(spark, raw, wide.schema), DATASETS[name],
+                            check_input=True, check_output=require_matches)
         result.paths[f"load.{name}"] = sinks.replace_sink(
             loaded, f"{run_dir}/load/{name}", load_schema(DATASETS[name]))
 
     for name in DATASETS:
-        staged = stage_table(spark.read.parquet(result.paths[f"load.{name}"]), DATASETS[name])
+        staged = stage_table(sinks.read_written(spark, result.paths[f"load.{name}"],
+                                                load_schema(DATASETS[name])), DATASETS[name])
         failed = enforce(run_checks(staged, **STAGING_CHECKS), f"staging.{name}", staging_checks)
         if failed:
             result.warnings[f"staging.{name}"] = failed
         path = f"{run_dir}/staging/{name}"
         schema = STAGING_SCHEMAS[name]
-        if variant == "cloud":
-            target = previous.get(f"staging.{name}") or sinks.init_table(
-                spark, schema, f"{run_dir}/empty/staging/{name}")
-            sinks.upsert_sink(spark, staged, target, path, schema=schema)
-        else:
+        target = previous.get(f"staging.{name}") if variant == "cloud" else None
+        if target:
+            keys_checked = staging_checks == "fail" and "unique" in STAGING_CHECKS
+            sinks.upsert_sink(spark, staged, target, path, schema=schema, keys_checked=keys_checked)
+        else:  # first run or local variant: nothing to merge into
             sinks.replace_sink(staged, path, schema)
         result.paths[f"staging.{name}"] = path
 
-    staged_tables = {n: spark.read.parquet(result.paths[f"staging.{n}"]) for n in DATASETS}
+    staged_tables = {n: sinks.read_written(spark, result.paths[f"staging.{n}"], STAGING_SCHEMAS[n])
+                     for n in DATASETS}
     for name in ANALYTICS:
         final = final_table(name, staged_tables, with_year_date=variant == "cloud")
         failed = enforce(run_checks(final, **_analytics_checks(name, variant)), name,

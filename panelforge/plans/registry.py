@@ -177,11 +177,36 @@ def domain_profile(spark: SparkSession, base: str) -> DataFrame:
     return _domain_profile(wide, dims)
 
 
+def _extract(name: str) -> Query:
+    """A wide extract as landed: id columns plus one column per year."""
+    return lambda spark, base: Extracts(spark, base).wide[name]
+
+
+def check_staging(spark: SparkSession, base: str) -> DataFrame:
+    """Not-null and unique-key reports of all seven staging tables, one job."""
+    ex = Extracts(spark, base)
+    reports = [checks.run_checks(ex.stage(n), **checks.STAGING_CHECKS)
+               .select(F.lit(n).alias("table_name"), "*") for n in DATASETS]
+    out = reports[0]
+    for r in reports[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+def check_analytics(spark: SparkSession, base: str) -> DataFrame:
+    """The reports the final tables are checked with before they are written."""
+    ex = Extracts(spark, base)
+    reports = [checks.run_checks(ex.final(n), **checks.ANALYTICS_CHECKS[n])
+               .select(F.lit(n).alias("table_name"), "*") for n in ("relationships", "gender_gap")]
+    return reports[0].unionByName(reports[1])
+
+
 def _on_final(name: str, fn: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, base: fn(Extracts(spark, base).final(name))
 
 
 QUERIES: dict[str, Query] = {
+    **{f"extract_{n}": _extract(n) for n in DATASETS},
     **{f"load_{n}": _load(n) for n in DATASETS},
     **{f"stg_{n}": _stage(n) for n in DATASETS},
     "relationships": _final("relationships"),
@@ -203,6 +228,8 @@ QUERIES: dict[str, Query] = {
     "check_not_null": check_not_null,
     "check_unique": check_unique,
     "check_non_negative": check_non_negative,
+    "check_staging": check_staging,
+    "check_analytics": check_analytics,
     "domain_profile": domain_profile,
     "preview": _on_final("relationships", insights.preview),
     "pay_gap_trend": _on_final("relationships", insights.pay_gap_trend),

@@ -86,21 +86,23 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str] = KEYS)
 
 
 def upsert_sink(spark: SparkSession, source: DataFrame, target_path: str, output_path: str,
-                keys: Sequence[str] = KEYS, schema: StructType | None = None) -> str:
+                keys: Sequence[str] = KEYS, schema: StructType | None = None,
+                keys_checked: bool = False) -> str:
     """Keyed upsert on plain Parquet.
 
     Plain Parquet has no ``MERGE INTO``, and overwriting the path being read is
     unsafe, so the merged table is written to ``output_path`` (a new version
     folder); the caller points readers at it.  Raises when the target is
     missing or when the source repeats a key (the result would depend on row
-    order).
+    order).  ``keys_checked`` skips that scan when the caller has just run a
+    uniqueness check on the same source.
     """
     if output_path.rstrip("/") == target_path.rstrip("/"):
         raise ValueError("upsert must write to a new path, not over its own input")
     target = read_target(spark, target_path, schema)
     if schema is not None:
         assert_schema(source, schema)
-    if not duplicate_key_rows(source, keys).isEmpty():
+    if not keys_checked and not duplicate_key_rows(source, keys).isEmpty():
         raise DuplicateKeyError(f"source repeats keys {list(keys)}")
     merge_rows(target, source, keys).write.mode("errorifexists").parquet(output_path)
     return output_path
@@ -121,7 +123,13 @@ def partitioned_sink(df: DataFrame, path: str, partition_by: str = "year_date",
     return path
 
 
+def read_written(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Read back a table this library wrote, with its declared schema: no
+    footer-reading job to infer what is already known."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_partitioned(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Read a partitioned table back in contract order (the partition column
     comes back last, as DATE; a null date comes back from the default folder)."""
-    return spark.read.parquet(path).select(*schema.names)
+    return read_written(spark, path, schema).select(*schema.names)
