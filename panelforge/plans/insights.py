@@ -72,20 +72,21 @@ def divorce_marriage_ratio(relationships: DataFrame) -> DataFrame:
         "country", "year", safe_ratio("divorce_rate", "marriage_rate").alias("divorce_to_marriage"))
 
 
-def pay_gap_correlation(relationships: DataFrame, digits: int = 6) -> DataFrame:
-    """Pearson correlation of the pay gap with marriage and divorce rates
-    across countries, per year (D6); null for flat or one-row groups."""
-    return relationships.groupBy("year").agg(
-        F.count(F.lit(1)).alias("countries"),
+def pay_gap_correlation(relationships: DataFrame, by: str = "year", digits: int = 6) -> DataFrame:
+    """Pearson correlation of the pay gap with marriage and divorce rates (D6):
+    across countries per year (``by="year"``) or across years per country
+    (``by="country"``); null for flat or one-row groups."""
+    return relationships.groupBy(by).agg(
+        F.count(F.lit(1)).alias("observations"),
         F.round(guarded_corr("gender_pay_gap", "marriage_rate"), digits).alias("corr_marriage"),
         F.round(guarded_corr("gender_pay_gap", "divorce_rate"), digits).alias("corr_divorce"),
     )
 
 
-def hours_delta_profile(gender_gap: DataFrame, digits: int = 9) -> DataFrame:
-    """Hours-worked delta per country: mean, smallest and largest (D8)."""
-    return gender_gap.groupBy("country").agg(
-        F.count("hours_worked_delta").alias("years"),
+def hours_delta_profile(gender_gap: DataFrame, by: str = "country", digits: int = 9) -> DataFrame:
+    """Hours-worked delta per country (or per year): mean, smallest, largest (D8)."""
+    return gender_gap.groupBy(by).agg(
+        F.count("hours_worked_delta").alias("observations"),
         F.round(F.avg("hours_worked_delta"), digits).alias("delta_avg"),
         F.min("hours_worked_delta").alias("delta_min"),
         F.max("hours_worked_delta").alias("delta_max"),

@@ -342,18 +342,20 @@ def oracle_sql() -> dict[str, str]:
         """SELECT country, year, divorce_rate / NULLIF(marriage_rate, 0) AS divorce_to_marriage
            FROM final_relationships""",
         finals=["relationships"])
-    q["hours_delta_profile"] = with_tables(
-        """SELECT country, count(hours_worked_delta) AS years,
-                  round(avg(hours_worked_delta), 9) AS delta_avg,
-                  min(hours_worked_delta) AS delta_min, max(hours_worked_delta) AS delta_max
-           FROM final_gender_gap GROUP BY country""",
-        finals=["gender_gap"])
-    q["pay_gap_correlation"] = with_tables(
-        f"""SELECT year, count(*) AS countries,
-                   {_corr('gender_pay_gap', 'marriage_rate')} AS corr_marriage,
-                   {_corr('gender_pay_gap', 'divorce_rate')} AS corr_divorce
-            FROM final_relationships GROUP BY year""",
-        finals=["relationships"])
+    for key, by in (("hours_delta_profile", "country"), ("hours_delta_by_year", "year")):
+        q[key] = with_tables(
+            f"""SELECT {by}, count(hours_worked_delta) AS observations,
+                      round(avg(hours_worked_delta), 9) AS delta_avg,
+                      min(hours_worked_delta) AS delta_min, max(hours_worked_delta) AS delta_max
+               FROM final_gender_gap GROUP BY {by}""",
+            finals=["gender_gap"])
+    for key, by in (("pay_gap_correlation", "year"), ("pay_gap_correlation_by_country", "country")):
+        q[key] = with_tables(
+            f"""SELECT {by}, count(*) AS observations,
+                       {_corr('gender_pay_gap', 'marriage_rate')} AS corr_marriage,
+                       {_corr('gender_pay_gap', 'divorce_rate')} AS corr_divorce
+                FROM final_relationships GROUP BY {by}""",
+            finals=["relationships"])
     q["gap_comovement"] = with_tables(
         f"""SELECT country, count(d_pay) AS pay_changes,
               avg(CASE WHEN d_pay IS NOT NULL AND d_hours IS NOT NULL

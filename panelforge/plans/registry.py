@@ -238,7 +238,11 @@ QUERIES: dict[str, Query] = {
     "accident_share": _on_final("gender_gap", insights.accident_share),
     "divorce_marriage_ratio": _on_final("relationships", insights.divorce_marriage_ratio),
     "hours_delta_profile": _on_final("gender_gap", insights.hours_delta_profile),
+    "hours_delta_by_year": _on_final("gender_gap",
+                                     lambda t: insights.hours_delta_profile(t, by="year")),
     "pay_gap_correlation": _on_final("relationships", insights.pay_gap_correlation),
+    "pay_gap_correlation_by_country": _on_final(
+        "relationships", lambda t: insights.pay_gap_correlation(t, by="country")),
     "gap_comovement": _on_final("gender_gap", insights.gap_comovement),
     "marriage_rate_drop": _on_final("relationships", insights.marriage_rate_drop),
 }
