@@ -51,7 +51,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     A cluster names it; we only set our own when it is unset (tests, local
     runs), and then under a fresh scratch folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote session has no SparkContext: use the setting itself
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            configured = tempfile.mkdtemp(prefix="panelforge-ckpt-",
+                                          dir=os.environ.get("TMPDIR", "/tmp"))
+        return configured
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
