@@ -112,16 +112,17 @@ def replace_sink(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _upsert(spark: SparkSession, base: str, times: int) -> DataFrame:
-    ex = Extracts(spark, base)
-    rel = ex.final("relationships")
     schema = ANALYTICS_SCHEMAS["relationships"]
+    written = sinks.replace_sink(Extracts(spark, base).final("relationships"),
+                                 _scratch(spark, "relationships"), schema)
+    rel = sinks.read_written(spark, written, schema)  # computed once, read by every step below
     target = sinks.replace_sink(rel.filter(F.col("year") <= 1999), _scratch(spark, "rel_v0"), schema)
     source = rel.filter(F.col("year") >= 1998).withColumn(
         "marriage_rate", F.col("marriage_rate") + F.lit(1.0))
     for i in range(times):
         target = sinks.upsert_sink(spark, source, target, _scratch(spark, f"rel_v{i + 1}"),
                                    schema=schema)
-    return spark.read.parquet(target)
+    return sinks.read_written(spark, target, schema)
 
 
 def upsert_sink(spark: SparkSession, base: str) -> DataFrame:

@@ -112,12 +112,14 @@ def partitioned_sink(df: DataFrame, path: str, partition_by: str = "year_date",
                      cluster_by: Sequence[str] = ("country",)) -> str:
     """Date-partitioned folders, rows sorted by the cluster keys inside files.
 
-    ``repartitionByRange`` on (partition, cluster keys) gives each task one
-    contiguous range, so a date folder holds few files and each file's row
-    groups carry tight min/max statistics on ``country`` for data skipping;
-    balanced ranges also keep one large date from landing on a single task.
+    ``REBALANCE`` on the partition column lets AQE size the write tasks from
+    the shuffle statistics: small dates are coalesced into one file, and a
+    date holding a large share of the rows is split across several tasks
+    (no sampling job, unlike a range partitioning).  Sorting by the cluster
+    keys inside each task gives row groups tight ``country`` min/max
+    statistics for data skipping.
     """
-    laid_out = (df.repartitionByRange(F.col(partition_by), *[F.col(c) for c in cluster_by])
+    laid_out = (df.hint("rebalance", partition_by)
                 .sortWithinPartitions(partition_by, *cluster_by))
     laid_out.write.mode("overwrite").partitionBy(partition_by).parquet(path)
     return path
