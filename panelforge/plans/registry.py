@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.contracts import ANALYTICS_SCHEMAS, DATASETS, STAGING_SCHEMAS
+from panelforge.contracts import ANALYTICS_SCHEMAS, DATASETS, STAGING_SCHEMAS, Pivot
 from panelforge.operators import checks
 from panelforge.operators.filters import domain_profile as _domain_profile
 from panelforge.operators.filters import keep_codes
@@ -23,7 +23,6 @@ from panelforge.operators.reshape import drop_missing, parse_year, split_columns
 from panelforge.plans import insights
 from panelforge.plans.analytics import Extracts
 from panelforge.plans.load import load_table
-from panelforge.contracts import Pivot
 from panelforge.session import checkpoint_root
 from panelforge.sources import sinks
 
@@ -152,7 +151,7 @@ def pruned_read(spark: SparkSession, base: str) -> DataFrame:
                         & F.col("country").isin("NATION_1", "NATION_7", "NATION_19"))
 
 
-GENDER_GAP_COLUMNS = [c for c in ANALYTICS_SCHEMAS["gender_gap"].names]
+GENDER_GAP_COLUMNS = list(ANALYTICS_SCHEMAS["gender_gap"].names)
 
 
 def check_not_null(spark: SparkSession, base: str) -> DataFrame:
