@@ -7,7 +7,7 @@ from panelforge.contracts import ANALYTICS_SCHEMAS, STAGING_SCHEMAS
 from panelforge.plans.analytics import Extracts
 from panelforge.plans.refresh import refresh
 from panelforge.sources import sinks
-from tests.conftest import SF_SMALL, rows
+from tests.conftest import SF_MID, SF_SMALL, rows
 from tools.oracle_check import compare, duck
 
 # FIXTURES.md part B, rows wide / long / staged at sf0.001.
@@ -97,3 +97,11 @@ def test_staging_checks_halt_before_the_sink(spark, scratch, monkeypatch):
                                                          "unique": ("country",)})
     with pytest.raises(checks.QualityCheckError):
         refresh_mod.refresh(spark, SF_SMALL, scratch, variant="local")
+
+
+def test_fanout_doubles_every_key(spark):
+    """FIXTURES.md: at sf0.01 every pay-gap key appears twice and gender_gap has 350 rows."""
+    ex = Extracts(spark, SF_MID, pay_gap_fanout=True)
+    staged = ex.stage("gender_pay_gap")
+    assert staged.groupBy("country", "year").count().filter("count != 2").count() == 0
+    assert ex.final("gender_gap").count() == 350
