@@ -21,13 +21,13 @@ def conditional_pivot(df: DataFrame, value: str, rule: Pivot,
     aggregate before the shuffle, so a hot key is combined map-side.
     """
     agg = _AGGREGATES[rule.function]
-    columns = [agg(F.when(F.col(rule.dimension) == code, F.col(value))).alias(out)
-               for out, code in rule.columns]
-    out = df.groupBy(*keys).agg(*columns)
-    if rule.delta:
+    measures = {out: agg(F.when(F.col(rule.dimension) == code, F.col(value)))
+                for out, code in rule.columns}
+    columns = [m.alias(out) for out, m in measures.items()]
+    if rule.delta:  # written over the aggregates, as in SQL; Catalyst computes each once
         name, left, right = rule.delta
-        out = out.withColumn(name, F.col(left) - F.col(right))
-    return out
+        columns.append((measures[left] - measures[right]).alias(name))
+    return df.groupBy(*keys).agg(*columns)
 
 
 def pivot_values(df: DataFrame, keys: Sequence[str], dimension: str, codes: Sequence[str],

@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.contracts import GEO_COLUMN, YEAR_COLUMN_PATTERN
@@ -69,13 +69,25 @@ def unpivot_years(df: DataFrame, id_allow_list: Iterable[str], value: str,
         year_cols = [c for c in year_cols if int(c.lstrip("_")) in wanted]
         if not year_cols:
             raise ValueError(f"none of the years {sorted(wanted)} is in the extract")
-    widened = df.select(*ids, *[F.col(f"`{c}`").cast("double").alias(c) for c in year_cols])
+    widened = df.selectExpr(*[quote(c) for c in ids],
+                            *[f"CAST({quote(c)} AS DOUBLE) AS {quote(c)}" for c in year_cols])
     return widened.unpivot(ids, year_cols, name, value)
 
 
+def quote(name: str) -> str:
+    """A column name as a SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def present(value: str) -> Column:
+    """True when a cell holds a number: not null and not NaN (``IS NOT NULL``
+    alone would keep NaN)."""
+    return F.col(value).isNotNull() & ~F.isnan(F.col(value))
+
+
 def drop_missing(df: DataFrame, value: str) -> DataFrame:
-    """Drop rows whose value is null or NaN (``IS NOT NULL`` would keep NaN)."""
-    return df.na.drop(subset=[value])
+    """Drop rows whose value is null or NaN."""
+    return df.filter(present(value))
 
 
 def parse_year(df: DataFrame, label: str = "year_label", out: str = "year") -> DataFrame:

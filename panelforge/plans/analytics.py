@@ -26,7 +26,8 @@ def final_table(name: str, staged: Mapping[str, DataFrame], with_year_date: bool
     joined = left_join_all(staged[spec.anchor], [staged[n] for n in spec.joined])
     columns = ANALYTICS_SCHEMAS[name].names
     if with_year_date:
-        return joined.withColumn("year_date", period_end_date("year")).select(*columns)
+        return joined.select(*[period_end_date("year").alias(c) if c == "year_date" else c
+                               for c in columns])
     return joined.select(*[c for c in columns if c != "year_date"])
 
 

@@ -7,8 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 
 from panelforge.contracts import Dataset
-from panelforge.operators.filters import keep_codes, require_rows
-from panelforge.operators.reshape import drop_missing, parse_year, unpivot_years
+from panelforge.functions.scalar import label_to_year
+from panelforge.operators.filters import dimension_predicate, require_rows
+from panelforge.operators.reshape import present, unpivot_years
 
 
 def load_table(extract: DataFrame, dataset: Dataset, years: Iterable[int] | None = None,
@@ -28,9 +29,12 @@ def load_table(extract: DataFrame, dataset: Dataset, years: Iterable[int] | None
         require_rows(extract, dataset.name)
     value = dataset.value_column
     long = unpivot_years(extract, dataset.id_columns, value, years=years)
-    long = keep_codes(long, dataset.filters)
-    long = drop_missing(long, value)
-    out = parse_year(long).select(*dataset.load_columns)
+    keep = present(value)
+    codes = dimension_predicate(dataset.filters)
+    if codes is not None:
+        keep = codes & keep
+    out = long.filter(keep).select(
+        *[label_to_year("year_label").alias(c) if c == "year" else c for c in dataset.load_columns])
     if check_output:
         require_rows(out, f"{dataset.name} after filters")
     return out

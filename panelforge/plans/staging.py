@@ -19,4 +19,6 @@ def stage_table(loaded: DataFrame, dataset: Dataset) -> DataFrame:
         out = loaded.select("country", "year", value)
     else:
         out = conditional_pivot(loaded, value, dataset.staging)
-    return out.select(*STAGING_SCHEMAS[dataset.name].names)
+    if out.columns != STAGING_SCHEMAS[dataset.name].names:
+        raise ValueError(f"{dataset.name}: staging columns {out.columns} break the contract")
+    return out

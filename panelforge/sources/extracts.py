@@ -24,10 +24,10 @@ planned for scale:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.contracts import ALL_SECTORS, TOTAL_ECONOMY, WORKING_AGE
@@ -109,83 +109,74 @@ def observed_years(spark: SparkSession, base: str) -> list[int]:
 
 
 # --- dimension mappings (FIXTURES.md part B) -------------------------------
+# Written as SQL expressions: each is parsed once on the JVM side, instead of
+# one Python-to-JVM call per column operator.
 
-def _sex() -> Column:
-    flag = F.col("l_returnflag")
-    return (F.when(flag == "A", "M").when(flag == "R", "F").when(flag == "N", "T")
-            .otherwise(flag))
+SEX = ("CASE l_returnflag WHEN 'A' THEN 'M' WHEN 'R' THEN 'F' WHEN 'N' THEN 'T' "
+       "ELSE l_returnflag END")
+MARRIAGE_INDICATOR = ("CASE l_returnflag WHEN 'A' THEN 'MAGEMAR1' WHEN 'R' THEN 'FAGEMAR1' "
+                      "WHEN 'N' THEN 'OTHER' ELSE l_returnflag END")
+AGE = f"CASE WHEN o_orderpriority = '3-MEDIUM' THEN '{WORKING_AGE}' ELSE o_orderpriority END"
 
 
-def _marriage_indicator() -> Column:
-    flag = F.col("l_returnflag")
-    return (F.when(flag == "A", "MAGEMAR1").when(flag == "R", "FAGEMAR1")
-            .when(flag == "N", "OTHER").otherwise(flag))
+def _sector(building_as: str) -> str:
+    return f"CASE WHEN c_mktsegment = 'BUILDING' THEN '{building_as}' ELSE c_mktsegment END"
 
 
-def _sector(building_as: str) -> Column:
-    seg = F.col("c_mktsegment")
-    return F.when(seg == "BUILDING", F.lit(building_as)).otherwise(seg)
+# Cell aggregates over the cube rows for which ``{keep}`` holds.
+def _ratio(total: str, count: str) -> str:
+    return f"sum(CASE WHEN {{keep}} THEN {total} END) / sum(CASE WHEN {{keep}} THEN {count} END)"
 
 
-def _age() -> Column:
-    prio = F.col("o_orderpriority")
-    return F.when(prio == "3-MEDIUM", F.lit(WORKING_AGE)).otherwise(prio)
+def _sum(measure: str, scale: float = 1.0) -> str:
+    cell = f"sum(CASE WHEN {{keep}} THEN {measure} END)"
+    return cell if scale == 1.0 else f"{cell} / {scale!r}D"
 
 
-def _ratio(total: str, count: str) -> Callable[[Column], Column]:
-    return lambda keep: F.sum(F.when(keep, F.col(total))) / F.sum(F.when(keep, F.col(count)))
-
-
-def _sum(measure: str, scale: float = 1.0) -> Callable[[Column], Column]:
-    if scale == 1.0:
-        return lambda keep: F.sum(F.when(keep, F.col(measure)))
-    return lambda keep: F.sum(F.when(keep, F.col(measure))) / F.lit(scale)
-
-
-def _max(measure: str) -> Callable[[Column], Column]:
-    return lambda keep: F.max(F.when(keep, F.col(measure)))
+def _max(measure: str) -> str:
+    return f"max(CASE WHEN {{keep}} THEN {measure} END)"
 
 
 @dataclass(frozen=True)
 class ExtractRecipe:
-    """How one wide extract is cut from the cube."""
+    """How one wide extract is cut from the cube (SQL expressions over its columns)."""
 
-    level: str                                  # which cube rows: "line" or "order"
-    dimensions: tuple[tuple[str, Column], ...]  # id columns in extract order
-    cell: Callable[[Column], Column]            # aggregate over the cube rows where a condition holds
-    where: Column | None = None
+    level: str                              # which cube rows: "line" or "order"
+    dimensions: tuple[tuple[str, str], ...]  # (id column, expression), in extract order
+    cell: str                               # aggregate with a ``{keep}`` row condition
+    where: str | None = None
 
 
 def recipes(pay_gap_unit_from_status: bool = False) -> dict[str, ExtractRecipe]:
     """The seven recipes.  ``pay_gap_unit_from_status`` gives the pay-gap
     extract a second unit, which duplicates every (country, year) key."""
-    freq = ("freq", F.lit("A"))
-    country = ("country", F.col("country"))
+    freq = ("freq", "'A'")
+    country = ("country", "country")
     orders_per_10 = _sum("orders", 10.0)
-    pay_unit = F.col("l_linestatus") if pay_gap_unit_from_status else F.lit("PC")
+    pay_unit = "l_linestatus" if pay_gap_unit_from_status else "'PC'"
     return {
         "marriage_rate": ExtractRecipe(
-            "order", (freq, ("indic_de", F.lit("RATE")), country), orders_per_10),
+            "order", (freq, ("indic_de", "'RATE'"), country), orders_per_10),
         "divorce_rate": ExtractRecipe(
-            "order", (freq, ("indic_de", F.lit("RATE")), country), orders_per_10,
-            where=F.col("o_orderstatus") == "P"),
+            "order", (freq, ("indic_de", "'RATE'"), country), orders_per_10,
+            where="o_orderstatus = 'P'"),
         "age_at_marriage": ExtractRecipe(
-            "line", (freq, ("indic_de", _marriage_indicator()), country),
+            "line", (freq, ("indic_de", MARRIAGE_INDICATOR), country),
             _ratio("qty_sum", "qty_n")),
         "gender_pay_gap": ExtractRecipe(
             "line", (freq, ("unit", pay_unit), ("nace_r2", _sector(TOTAL_ECONOMY)), country),
             _ratio("linenumber_sum", "linenumber_n")),
         "hours_worked": ExtractRecipe(
-            "line", (freq, ("nace_r2", _sector(ALL_SECTORS)), ("wstatus", F.col("o_orderstatus")),
-                     ("worktime", F.col("l_linestatus")), ("age", _age()), ("sex", _sex()),
-                     ("unit", F.lit("HR")), country),
+            "line", (freq, ("nace_r2", _sector(ALL_SECTORS)), ("wstatus", "o_orderstatus"),
+                     ("worktime", "l_linestatus"), ("age", AGE), ("sex", SEX),
+                     ("unit", "'HR'"), country),
             _max("qty_max")),
         "accidents": ExtractRecipe(
-            "line", (freq, ("unit", F.col("l_linestatus")), ("nace_r2", _sector(ALL_SECTORS)),
-                     ("sex", _sex()), country),
+            "line", (freq, ("unit", "l_linestatus"), ("nace_r2", _sector(ALL_SECTORS)),
+                     ("sex", SEX), country),
             _sum("qty_sum")),
         "employed": ExtractRecipe(
-            "line", (freq, ("unit", F.col("l_linestatus")), ("sex", _sex()), ("age", _age()),
+            "line", (freq, ("unit", "l_linestatus"), ("sex", SEX), ("age", AGE),
                      ("nace_r2", _sector(ALL_SECTORS)), country),
             _sum("qty_sum")),
     }
@@ -204,13 +195,11 @@ def wide_extract(cube: DataFrame, recipe: ExtractRecipe, years: Sequence[int]) -
     known value list, in one shuffle); ``nullif(cell, 0)`` turns an empty count
     into null, and a year without rows is null as well.
     """
-    rows = cube.filter(F.col("level") == recipe.level)
-    if recipe.where is not None:
-        rows = rows.filter(recipe.where)
-    dims = [expr.alias(name) for name, expr in recipe.dimensions]
-    cells = [F.nullif(recipe.cell(F.col("year") == F.lit(y)).cast("double"), F.lit(0.0))
+    keep = f"level = '{recipe.level}'" + (f" AND ({recipe.where})" if recipe.where else "")
+    dims = [F.expr(expr).alias(name) for name, expr in recipe.dimensions]
+    cells = [F.expr(f"nullif(CAST({recipe.cell.format(keep=f'year = {y}')} AS DOUBLE), 0D)")
              .alias(year_column_name(y)) for y in years]
-    return rows.groupBy(*dims).agg(*cells)
+    return cube.filter(keep).groupBy(*dims).agg(*cells)
 
 
 def wide_extracts(cube: DataFrame, years: Sequence[int],
