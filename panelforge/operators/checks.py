@@ -60,11 +60,18 @@ def run_checks(df: DataFrame, not_null: Sequence[str] = (), unique: Sequence[str
     return out
 
 
-def enforce(report: DataFrame, name: str, mode: str = "fail") -> list[tuple[str, str, int]]:
+def enforce(report: DataFrame, name: str, mode: str = "fail",
+            detail: str | None = None) -> dict[str | None, list[tuple[str, str, int]]]:
     """Collect the (small, one row per checked column) report; raise on
-    violations when ``mode == 'fail'``, return them when ``mode == 'warn'``."""
-    failed = [(r.check, r.column_name, int(r.violations))
-              for r in report.filter(F.col("violations") > 0).collect()]
+    violations when ``mode == 'fail'``, return them when ``mode == 'warn'``.
+
+    Failures are grouped by the ``detail`` column (e.g. the table name of a
+    combined report), or under ``None``.
+    """
+    failed: dict[str | None, list[tuple[str, str, int]]] = {}
+    for r in report.filter(F.col("violations") > 0).collect():
+        key = r[detail] if detail else None
+        failed.setdefault(key, []).append((r.check, r.column_name, int(r.violations)))
     if failed and mode == "fail":
         raise QualityCheckError(f"{name}: checks failed {failed}")
     return failed

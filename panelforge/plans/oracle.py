@@ -274,6 +274,8 @@ def oracle_sql() -> dict[str, str]:
     q["upsert_sink"] = upsert
     q["upsert_idempotent"] = upsert
     q["partitioned_sink"] = q["relationships"]
+    q["refresh_local"] = q["relationships_local"]
+    q["refresh_cloud"] = q["gender_gap"]
     q["pruned_read"] = with_tables(
         """SELECT * FROM final_relationships
            WHERE year_date BETWEEN DATE '1996-12-31' AND DATE '1999-12-31'

@@ -24,10 +24,12 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from panelforge.contracts import ANALYTICS, ANALYTICS_SCHEMAS, DATASETS, STAGING_SCHEMAS, load_schema
 from panelforge.operators.checks import ANALYTICS_CHECKS, STAGING_CHECKS, enforce, run_checks
 from panelforge.plans.analytics import Extracts, final_table
+from panelforge.operators.filters import require_all_rows
 from panelforge.plans.load import load_table
 from panelforge.plans.staging import stage_table
 from panelforge.sources import sinks
@@ -58,28 +60,41 @@ def refresh(spark: SparkSession, in_dir: str, out_dir: str, variant: str = "clou
     result = RefreshResult(run_dir)
     extracts = Extracts(spark, in_dir)
 
+    # Ingestion and load; the non-empty guards of all seven run as one job each.
+    wide = {name: extracts.wide[name] for name in DATASETS}
+    require_all_rows(wide, "extracts")
+    landed = {}
     for name in DATASETS:
-        wide = extracts.wide[name]
-        raw = sinks.land_wide(wide, f"{run_dir}/raw/{name}")
-        loaded = load_table(sinks.read_written(spark, raw, wide.schema), DATASETS[name],
-                            check_input=True, check_output=require_matches)
+        raw = sinks.land_wide(wide[name], f"{run_dir}/raw/{name}", check_input=False)
+        landed[name] = sinks.read_written(spark, raw, wide[name].schema)
+    require_all_rows(landed, "landed extracts")
+    for name in DATASETS:
+        loaded = load_table(landed[name], DATASETS[name], check_output=require_matches)
         result.paths[f"load.{name}"] = sinks.replace_sink(
             loaded, f"{run_dir}/load/{name}", load_schema(DATASETS[name]))
 
+    # Staging: one check job for all seven tables, then one write each.
+    staged = {name: stage_table(sinks.read_written(spark, result.paths[f"load.{name}"],
+                                                   load_schema(DATASETS[name])), DATASETS[name])
+              for name in DATASETS}
+    reports = [run_checks(df, **STAGING_CHECKS).select(F.lit(name).alias("table_name"), "*")
+               for name, df in staged.items()]
+    report = reports[0]
+    for r in reports[1:]:
+        report = report.unionByName(r)
+    failed = enforce(report, "staging", staging_checks, detail="table_name")
     for name in DATASETS:
-        staged = stage_table(sinks.read_written(spark, result.paths[f"load.{name}"],
-                                                load_schema(DATASETS[name])), DATASETS[name])
-        failed = enforce(run_checks(staged, **STAGING_CHECKS), f"staging.{name}", staging_checks)
-        if failed:
-            result.warnings[f"staging.{name}"] = failed
+        if failed.get(name):
+            result.warnings[f"staging.{name}"] = failed[name]
         path = f"{run_dir}/staging/{name}"
         schema = STAGING_SCHEMAS[name]
         target = previous.get(f"staging.{name}") if variant == "cloud" else None
         if target:
             keys_checked = staging_checks == "fail" and "unique" in STAGING_CHECKS
-            sinks.upsert_sink(spark, staged, target, path, schema=schema, keys_checked=keys_checked)
+            sinks.upsert_sink(spark, staged[name], target, path, schema=schema,
+                              keys_checked=keys_checked)
         else:  # first run or local variant: nothing to merge into
-            sinks.replace_sink(staged, path, schema)
+            sinks.replace_sink(staged[name], path, schema)
         result.paths[f"staging.{name}"] = path
 
     staged_tables = {n: sinks.read_written(spark, result.paths[f"staging.{n}"], STAGING_SCHEMAS[n])
@@ -89,7 +104,7 @@ def refresh(spark: SparkSession, in_dir: str, out_dir: str, variant: str = "clou
         failed = enforce(run_checks(final, **_analytics_checks(name, variant)), name,
                          analytics_checks)
         if failed:
-            result.warnings[f"analytics.{name}"] = failed
+            result.warnings[f"analytics.{name}"] = failed[None]
         path = f"{run_dir}/analytics/{name}"
         if variant == "cloud":
             schema = ANALYTICS_SCHEMAS[name]

@@ -201,6 +201,27 @@ def check_analytics(spark: SparkSession, base: str) -> DataFrame:
     return reports[0].unionByName(reports[1])
 
 
+def refresh_local(spark: SparkSession, base: str) -> DataFrame:
+    """Every layer written by one local-variant run; returns the stored
+    relationships table (sorted, no ``year_date``)."""
+    from panelforge.plans.refresh import refresh
+    result = refresh(spark, base, _scratch(spark, "refresh"), variant="local")
+    schema = ANALYTICS_SCHEMAS["relationships"]
+    return spark.read.parquet(result.paths["analytics.relationships"]).select(
+        *[c for c in schema.names if c != "year_date"])
+
+
+def refresh_cloud(spark: SparkSession, base: str) -> DataFrame:
+    """Two cloud-variant runs, the second upserting into the first; returns
+    the partitioned gender_gap table of the second run."""
+    from panelforge.plans.refresh import refresh
+    out = _scratch(spark, "refresh")
+    first = refresh(spark, base, out, variant="cloud")
+    second = refresh(spark, base, out, variant="cloud", previous=first.paths)
+    return sinks.read_partitioned(spark, second.paths["analytics.gender_gap"],
+                                  ANALYTICS_SCHEMAS["gender_gap"])
+
+
 def _on_final(name: str, fn: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, base: fn(Extracts(spark, base).final(name))
 
@@ -225,6 +246,8 @@ QUERIES: dict[str, Query] = {
     "upsert_idempotent": upsert_idempotent,
     "partitioned_sink": partitioned_sink,
     "pruned_read": pruned_read,
+    "refresh_local": refresh_local,
+    "refresh_cloud": refresh_cloud,
     "check_not_null": check_not_null,
     "check_unique": check_unique,
     "check_non_negative": check_non_negative,

@@ -39,10 +39,12 @@ def assert_schema(df: DataFrame, schema: StructType) -> DataFrame:
     return df
 
 
-def land_wide(df: DataFrame, path: str) -> str:
+def land_wide(df: DataFrame, path: str, check_input: bool = True) -> str:
     """Land one raw extract: reject empty input, rename the geography column,
-    replace the Parquet output.  Returns the path written."""
-    require_rows(df, path)
+    replace the Parquet output.  Returns the path written.  ``check_input``
+    may be turned off when the caller has already checked the input."""
+    if check_input:
+        require_rows(df, path)
     rename_geography(df).write.mode("overwrite").parquet(path)
     return path
 

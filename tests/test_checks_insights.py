@@ -24,7 +24,7 @@ def test_check_counts(spark):
     assert got == {("not_null", "v"): 1, ("non_negative", "v"): 1, ("unique", "country,year"): 1}
     with pytest.raises(checks.QualityCheckError):
         checks.enforce(report, "t")
-    assert len(checks.enforce(report, "t", mode="warn")) == 3
+    assert len(checks.enforce(report, "t", mode="warn")[None]) == 3
 
 
 def test_in_plan_assertion_fails_the_job(spark):
