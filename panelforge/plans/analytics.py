@@ -14,7 +14,7 @@ from panelforge.operators.joins import left_join_all
 from panelforge.plans.load import load_table
 from panelforge.plans.staging import stage_table
 from panelforge.session import checkpoint_root
-from panelforge.sources.extracts import read_cube, recipes, wide_extract
+from panelforge.sources.extracts import observed_years, read_cube, recipes, wide_extract
 
 
 def final_table(name: str, staged: Mapping[str, DataFrame], with_year_date: bool = True) -> DataFrame:
@@ -79,9 +79,11 @@ class Extracts:
 
     @property
     def years(self) -> list[int]:
+        """Year columns of the extracts.  Observed during ``materialize``; for
+        an unmaterialized cube, read from ``orders`` alone (a one-column scan),
+        which may add all-null columns for years without lines."""
         if self._years is None:
-            self._years = sorted(int(r.year) for r in
-                                 self.cube.select("year").distinct().collect())
+            self._years = observed_years(self.spark, self.base)
         return self._years
 
     @property

@@ -13,9 +13,10 @@ planned for scale:
    status), plus one order-level row, *before* any join.  The partial
    aggregate runs map-side, so the shuffle carries a few rows per order, and
    an order holding a third of all lines collapses to at most seven rows.
-2. Order attributes come from ``orders ⋈ customer ⋈ nation``; AQE broadcasts
-   ``nation`` and ``customer`` while their runtime size allows and otherwise
-   keeps a sort-merge join whose skewed partitions (a hot customer) it splits.
+2. Order attributes come from ``orders ⋈ customer ⋈ nation`` without hints:
+   a side is broadcast only when its size estimate (file statistics, or the
+   runtime size AQE measures) is under the threshold; otherwise the join is a
+   sort-merge join whose skewed partitions (a hot customer) AQE splits.
 3. The joined rows are rolled up to a *measure cube* keyed by every dimension
    any extract needs.  Its size is bounded by the dimension domains (nations x
    years x flags x statuses x priorities x segments), not by the data, and all
