@@ -293,6 +293,17 @@ def oracle_sql() -> dict[str, str]:
                                     "accidents_f", "employed_m", "employed_f"),
                "count(*) FILTER (WHERE {c} < 0)", "non_negative"),
         finals=["gender_gap"])
+    load_cols = {"marriage_rate": ("country", "year", "marriage_rate"),
+                 "divorce_rate": ("country", "year", "divorce_rate"),
+                 "age_at_marriage": ("indic_de", "country", "year", "age_at_marriage"),
+                 "gender_pay_gap": ("country", "year", "gender_pay_gap"),
+                 "hours_worked": ("country", "year", "sex", "hours_worked"),
+                 "accidents": ("country", "year", "sex", "accidents"),
+                 "employed": ("country", "year", "sex", "employed")}
+    q["check_load"] = with_tables(
+        "\nUNION ALL\n".join(_check_report(f"load_{n}", n, not_null=load_cols[n])
+                              for n in _DATASETS),
+        datasets=list(_DATASETS))
     q["check_staging"] = with_tables(
         "\nUNION ALL\n".join(_check_report(f"stg_{n}", n, not_null=("country", "year"),
                                              unique=("country", "year")) for n in _DATASETS),

@@ -182,6 +182,17 @@ def _extract(name: str) -> Query:
     return lambda spark, base: Extracts(spark, base).wide[name]
 
 
+def check_load(spark: SparkSession, base: str) -> DataFrame:
+    """Null counts of every column of the seven load tables, one job."""
+    ex = Extracts(spark, base)
+    reports = [checks.not_null_counts(ex.load(n), list(DATASETS[n].load_columns))
+               .select(F.lit(n).alias("table_name"), "*") for n in DATASETS]
+    out = reports[0]
+    for r in reports[1:]:
+        out = out.unionByName(r)
+    return out
+
+
 def check_staging(spark: SparkSession, base: str) -> DataFrame:
     """Not-null and unique-key reports of all seven staging tables, one job."""
     ex = Extracts(spark, base)
@@ -251,6 +262,7 @@ QUERIES: dict[str, Query] = {
     "check_not_null": check_not_null,
     "check_unique": check_unique,
     "check_non_negative": check_non_negative,
+    "check_load": check_load,
     "check_staging": check_staging,
     "check_analytics": check_analytics,
     "domain_profile": domain_profile,
