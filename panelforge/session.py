@@ -22,19 +22,46 @@ _DEFAULTS = {
 }
 
 
+ADVISORY_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def sizing_conf(input_bytes: int, advisory_bytes: int = ADVISORY_PARTITION_BYTES,
+                max_partitions: int = 200_000) -> dict[str, str]:
+    """Shuffle sizing for an input of ``input_bytes`` (compressed, on disk).
+
+    The largest shuffle here (pre-aggregated ``lineitem``) is of the order of
+    the input, so the initial partition count is input / advisory size; AQE
+    then coalesces partitions towards ``advisory_bytes`` and splits skewed
+    ones.  Scan splits use the same size.  At 100 TB this gives about
+    400,000, capped to ``max_partitions``; at sf0.1 the floor of 200 applies.
+    """
+    initial = max(200, min(max_partitions, -(-input_bytes // advisory_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory_bytes),
+        "spark.sql.files.maxPartitionBytes": str(advisory_bytes),
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "panelforge", driver_memory: str | None = None) -> SparkSession:
+                  app_name: str = "panelforge", driver_memory: str | None = None,
+                  input_bytes: int | None = None) -> SparkSession:
     """Return a session with the settings the library relies on.
 
     On a cluster the master and most settings come from spark-submit; here we
-    only fill in what is missing.  ``shuffle_partitions`` should be sized to
-    the data (about 128-256 MB per partition); AQE coalesces small ones.
+    only fill in what is missing.  Pass ``input_bytes`` to size the shuffles
+    from the data (``sizing_conf``); ``shuffle_partitions`` overrides the
+    count (tests use the core count).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for key, value in _DEFAULTS.items():
         builder = builder.config(key, value)
+    if input_bytes:
+        for key, value in sizing_conf(input_bytes).items():
+            builder = builder.config(key, value)
     if driver_memory:  # only effective when this call starts the JVM (local runs)
         builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:

@@ -39,3 +39,13 @@ def test_guarded_corr_ignores_rows_with_one_side_missing(spark):
 
 def test_year_column_names():
     assert [year_column_name(y) for y in (1995, 1996)] == ["_1995", "1996"]
+
+
+def test_sizing_conf_scales_with_input():
+    from panelforge.session import sizing_conf
+    small = sizing_conf(40 * 1024 * 1024)
+    big = sizing_conf(100 * 1024 ** 4)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert big["spark.sql.shuffle.partitions"] == "200000"  # capped
+    mid = sizing_conf(10 * 1024 ** 4)
+    assert mid["spark.sql.shuffle.partitions"] == str(10 * 1024 ** 4 // (256 * 1024 ** 2))
