@@ -7,7 +7,8 @@ raises before a sink when any count is non-zero, which halts downstream steps.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,16 @@ class QualityCheckError(AssertionError):
     pass
 
 
+def union_all(frames: Iterable[DataFrame]) -> DataFrame:
+    """Stack frames with the same columns (by name) into one plan, one job."""
+    return reduce(DataFrame.unionByName, frames)
+
+
+def labelled(reports: Mapping[str, DataFrame]) -> DataFrame:
+    """One report for many tables, with a ``table_name`` column in front."""
+    return union_all(r.select(F.lit(name).alias("table_name"), "*") for name, r in reports.items())
+
+
 def _stack_counts(df: DataFrame, counts: Mapping[str, F.Column], check: str) -> DataFrame:
     row = df.agg(*[expr.cast("bigint").alias(name) for name, expr in counts.items()])
     return (row.unpivot([], list(counts), "column_name", "violations")
@@ -54,10 +65,7 @@ def run_checks(df: DataFrame, not_null: Sequence[str] = (), unique: Sequence[str
         parts.append(non_negative_counts(df, non_negative))
     if unique:
         parts.append(unique_counts(df, unique))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return union_all(parts)
 
 
 def enforce(report: DataFrame, name: str, mode: str = "fail",

@@ -7,6 +7,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelforge.operators.checks import union_all
+
 
 class EmptyInputError(ValueError):
     """An input or a filtered table has no rows."""
@@ -44,11 +46,9 @@ def require_rows(df: DataFrame, name: str) -> DataFrame:
 def require_all_rows(frames: Mapping[str, DataFrame], what: str) -> None:
     """``require_rows`` for many tables in one job: each contributes at most
     one probe row, and the names that returned none are reported."""
-    probes = [df.limit(1).select(F.lit(name).alias("name")) for name, df in frames.items()]
-    union = probes[0]
-    for p in probes[1:]:
-        union = union.unionByName(p)
-    found = {r.name for r in union.collect()}
+    probes = union_all(df.limit(1).select(F.lit(name).alias("name"))
+                       for name, df in frames.items())
+    found = {r.name for r in probes.collect()}
     empty = [name for name in frames if name not in found]
     if empty:
         raise EmptyInputError(f"{what}: no rows in {empty}")

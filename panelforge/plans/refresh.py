@@ -24,10 +24,10 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from panelforge.contracts import ANALYTICS, ANALYTICS_SCHEMAS, DATASETS, STAGING_SCHEMAS, load_schema
-from panelforge.operators.checks import ANALYTICS_CHECKS, STAGING_CHECKS, enforce, run_checks
+from panelforge.operators.checks import (ANALYTICS_CHECKS, STAGING_CHECKS, enforce, labelled,
+                                         run_checks)
 from panelforge.plans.analytics import Extracts, final_table
 from panelforge.operators.filters import require_all_rows
 from panelforge.plans.load import load_table
@@ -77,11 +77,7 @@ def refresh(spark: SparkSession, in_dir: str, out_dir: str, variant: str = "clou
     staged = {name: stage_table(sinks.read_written(spark, result.paths[f"load.{name}"],
                                                    load_schema(DATASETS[name])), DATASETS[name])
               for name in DATASETS}
-    reports = [run_checks(df, **STAGING_CHECKS).select(F.lit(name).alias("table_name"), "*")
-               for name, df in staged.items()]
-    report = reports[0]
-    for r in reports[1:]:
-        report = report.unionByName(r)
+    report = labelled({name: run_checks(df, **STAGING_CHECKS) for name, df in staged.items()})
     failed = enforce(report, "staging", staging_checks, detail="table_name")
     for name in DATASETS:
         if failed.get(name):

@@ -23,6 +23,7 @@ from panelforge.operators.reshape import drop_missing, parse_year, split_columns
 from panelforge.plans import insights
 from panelforge.plans.analytics import Extracts
 from panelforge.plans.load import load_table
+from panelforge.plans.refresh import refresh
 from panelforge.session import checkpoint_root
 from panelforge.sources import sinks
 
@@ -185,37 +186,27 @@ def _extract(name: str) -> Query:
 def check_load(spark: SparkSession, base: str) -> DataFrame:
     """Null counts of every column of the seven load tables, one job."""
     ex = Extracts(spark, base)
-    reports = [checks.not_null_counts(ex.load(n), list(DATASETS[n].load_columns))
-               .select(F.lit(n).alias("table_name"), "*") for n in DATASETS]
-    out = reports[0]
-    for r in reports[1:]:
-        out = out.unionByName(r)
-    return out
+    return checks.labelled({n: checks.not_null_counts(ex.load(n), list(DATASETS[n].load_columns))
+                            for n in DATASETS})
 
 
 def check_staging(spark: SparkSession, base: str) -> DataFrame:
     """Not-null and unique-key reports of all seven staging tables, one job."""
     ex = Extracts(spark, base)
-    reports = [checks.run_checks(ex.stage(n), **checks.STAGING_CHECKS)
-               .select(F.lit(n).alias("table_name"), "*") for n in DATASETS]
-    out = reports[0]
-    for r in reports[1:]:
-        out = out.unionByName(r)
-    return out
+    return checks.labelled({n: checks.run_checks(ex.stage(n), **checks.STAGING_CHECKS)
+                            for n in DATASETS})
 
 
 def check_analytics(spark: SparkSession, base: str) -> DataFrame:
     """The reports the final tables are checked with before they are written."""
     ex = Extracts(spark, base)
-    reports = [checks.run_checks(ex.final(n), **checks.ANALYTICS_CHECKS[n])
-               .select(F.lit(n).alias("table_name"), "*") for n in ("relationships", "gender_gap")]
-    return reports[0].unionByName(reports[1])
+    return checks.labelled({n: checks.run_checks(ex.final(n), **checks.ANALYTICS_CHECKS[n])
+                            for n in ("relationships", "gender_gap")})
 
 
 def refresh_local(spark: SparkSession, base: str) -> DataFrame:
     """Every layer written by one local-variant run; returns the stored
     relationships table (sorted, no ``year_date``)."""
-    from panelforge.plans.refresh import refresh
     result = refresh(spark, base, _scratch(spark, "refresh"), variant="local")
     schema = ANALYTICS_SCHEMAS["relationships"]
     return spark.read.parquet(result.paths["analytics.relationships"]).select(
@@ -225,7 +216,6 @@ def refresh_local(spark: SparkSession, base: str) -> DataFrame:
 def refresh_cloud(spark: SparkSession, base: str) -> DataFrame:
     """Two cloud-variant runs, the second upserting into the first; returns
     the partitioned gender_gap table of the second run."""
-    from panelforge.plans.refresh import refresh
     out = _scratch(spark, "refresh")
     first = refresh(spark, base, out, variant="cloud")
     second = refresh(spark, base, out, variant="cloud", previous=first.paths)
