@@ -73,7 +73,7 @@ class Extracts:
             "errorifexists").parquet(path)
         if self._years is None:
             self._years = sorted(int(y) for y in seen.get["years"])
-        self.cube = self.spark.read.parquet(path)
+        self.cube = self.spark.read.schema(self.cube.schema).parquet(path)
         self._wide = None
         return self
 
