@@ -72,25 +72,37 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+class MissingCheckpointDirError(RuntimeError):
+    pass
+
+
+def _scratch_dir() -> str:
+    return tempfile.mkdtemp(prefix="panelforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; we only set our own when it is unset (tests, local
-    runs), and then under a fresh scratch folder.
+    A cluster names it.  Only a local session (tests, single-machine runs)
+    gets a scratch folder of its own when it is unset; on a cluster a
+    machine-local folder would leave each executor writing to its own disk,
+    so an unset setting is an error there.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # a remote session has no SparkContext: use the setting itself
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
-            configured = tempfile.mkdtemp(prefix="panelforge-ckpt-",
-                                          dir=os.environ.get("TMPDIR", "/tmp"))
+            raise MissingCheckpointDirError("set spark.checkpoint.dir to a shared folder")
         return configured
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="panelforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if not sc.master.startswith("local"):
+            raise MissingCheckpointDirError(
+                "set spark.checkpoint.dir to a folder every executor can reach")
+        configured = _scratch_dir()
     sc.setCheckpointDir(configured)
     return sc._jsc.sc().getCheckpointDir().get()
