@@ -20,10 +20,11 @@ run takes them as ``previous``.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from panelforge.contracts import ANALYTICS, ANALYTICS_SCHEMAS, DATASETS, STAGING_SCHEMAS, load_schema
 from panelforge.operators.checks import (ANALYTICS_CHECKS, STAGING_CHECKS, enforce, labelled,
@@ -42,16 +43,29 @@ class RefreshResult:
     warnings: dict[str, list] = field(default_factory=dict)
 
 
+def _each(names, work, parallel_jobs: int) -> dict:
+    """Run ``work(name)`` for independent tables, up to ``parallel_jobs`` Spark
+    jobs at a time (jobs submitted from several threads share the executors);
+    the first failure is raised."""
+    names = list(names)
+    if parallel_jobs <= 1:
+        return {n: work(n) for n in names}
+    with ThreadPoolExecutor(max_workers=parallel_jobs) as pool:
+        return dict(zip(names, pool.map(work, names)))
+
+
 def refresh(spark: SparkSession, in_dir: str, out_dir: str, variant: str = "cloud",
             previous: Mapping[str, str] | None = None, staging_checks: str = "fail",
-            analytics_checks: str = "warn", require_matches: bool = False) -> RefreshResult:
+            analytics_checks: str = "warn", require_matches: bool = False,
+            parallel_jobs: int = 4) -> RefreshResult:
     """Run every layer once and return where each table was written.
 
     ``staging_checks`` / ``analytics_checks`` are ``fail`` (raise before the
     sink, so nothing downstream runs) or ``warn`` (record and go on): the
     final tables are left joins, so their not-null checks can fail on honest
     data.  ``require_matches`` raises when a load's dimension filters keep no
-    row, instead of writing an empty table.
+    row, instead of writing an empty table.  The writes of one layer are
+    independent and run ``parallel_jobs`` at a time.
     """
     if variant not in ("cloud", "local"):
         raise ValueError(f"unknown variant {variant!r}")
@@ -63,15 +77,20 @@ def refresh(spark: SparkSession, in_dir: str, out_dir: str, variant: str = "clou
     # Ingestion and load; the non-empty guards of all seven run as one job each.
     wide = {name: extracts.wide[name] for name in DATASETS}
     require_all_rows(wide, "extracts")
-    landed = {}
-    for name in DATASETS:
+
+    def land(name: str) -> DataFrame:
         raw = sinks.land_wide(wide[name], f"{run_dir}/raw/{name}", check_input=False)
-        landed[name] = sinks.read_written(spark, raw, wide[name].schema)
+        return sinks.read_written(spark, raw, wide[name].schema)
+
+    landed = _each(DATASETS, land, parallel_jobs)
     require_all_rows(landed, "landed extracts")
-    for name in DATASETS:
+
+    def load(name: str) -> str:
         loaded = load_table(landed[name], DATASETS[name], check_output=require_matches)
-        result.paths[f"load.{name}"] = sinks.replace_sink(
-            loaded, f"{run_dir}/load/{name}", load_schema(DATASETS[name]))
+        return sinks.replace_sink(loaded, f"{run_dir}/load/{name}", load_schema(DATASETS[name]))
+
+    for name, path in _each(DATASETS, load, parallel_jobs).items():
+        result.paths[f"load.{name}"] = path
 
     # Staging: one check job for all seven tables, then one write each.
     staged = {name: stage_table(sinks.read_written(spark, result.paths[f"load.{name}"],
@@ -82,34 +101,46 @@ def refresh(spark: SparkSession, in_dir: str, out_dir: str, variant: str = "clou
     for name in DATASETS:
         if failed.get(name):
             result.warnings[f"staging.{name}"] = failed[name]
+    keys_checked = staging_checks == "fail" and "unique" in STAGING_CHECKS
+
+    def write_staged(name: str) -> str:
         path = f"{run_dir}/staging/{name}"
         schema = STAGING_SCHEMAS[name]
         target = previous.get(f"staging.{name}") if variant == "cloud" else None
         if target:
-            keys_checked = staging_checks == "fail" and "unique" in STAGING_CHECKS
             sinks.upsert_sink(spark, staged[name], target, path, schema=schema,
                               keys_checked=keys_checked)
         else:  # first run or local variant: nothing to merge into
             sinks.replace_sink(staged[name], path, schema)
+        return path
+
+    for name, path in _each(DATASETS, write_staged, parallel_jobs).items():
         result.paths[f"staging.{name}"] = path
 
     staged_tables = {n: sinks.read_written(spark, result.paths[f"staging.{n}"], STAGING_SCHEMAS[n])
                      for n in DATASETS}
+    finals = {name: final_table(name, staged_tables, with_year_date=variant == "cloud")
+              for name in ANALYTICS}
+    report = labelled({name: run_checks(final, **_analytics_checks(name, variant))
+                       for name, final in finals.items()})
+    failed = enforce(report, "analytics", analytics_checks, detail="table_name")
     for name in ANALYTICS:
-        final = final_table(name, staged_tables, with_year_date=variant == "cloud")
-        failed = enforce(run_checks(final, **_analytics_checks(name, variant)), name,
-                         analytics_checks)
-        if failed:
-            result.warnings[f"analytics.{name}"] = failed[None]
+        if failed.get(name):
+            result.warnings[f"analytics.{name}"] = failed[name]
+
+    def write_final(name: str) -> str:
         path = f"{run_dir}/analytics/{name}"
         if variant == "cloud":
             schema = ANALYTICS_SCHEMAS[name]
             old = previous.get(f"analytics.{name}")
-            merged = final if old is None else sinks.merge_rows(
-                sinks.read_partitioned(spark, old, schema), final)
+            merged = finals[name] if old is None else sinks.merge_rows(
+                sinks.read_partitioned(spark, old, schema), finals[name])
             sinks.partitioned_sink(merged, path)
         else:
-            sinks.replace_sink(final.orderBy("country", "year"), path)
+            sinks.replace_sink(finals[name].orderBy("country", "year"), path)
+        return path
+
+    for name, path in _each(ANALYTICS, write_final, parallel_jobs).items():
         result.paths[f"analytics.{name}"] = path
     return result
 
