@@ -19,7 +19,8 @@ from panelforge.operators import checks
 from panelforge.operators.filters import domain_profile as _domain_profile
 from panelforge.operators.filters import keep_codes
 from panelforge.operators.pivot import conditional_pivot, pivot_values, self_join_split
-from panelforge.operators.reshape import drop_missing, parse_year, split_columns, unpivot_years
+from panelforge.operators.reshape import (drop_missing, parse_year, quote, split_columns,
+                                          unpivot_years)
 from panelforge.plans import insights
 from panelforge.plans.analytics import Extracts
 from panelforge.plans.load import load_table
@@ -57,15 +58,13 @@ def join_fanout(spark: SparkSession, base: str) -> DataFrame:
 def unpivot_sql(spark: SparkSession, base: str) -> DataFrame:
     """The explicit-list SQL form: ``UNPIVOT (v FOR year IN (...))``."""
     wide = Extracts(spark, base).wide["marriage_rate"]
-    ids, years = split_columns(wide.columns, DATASETS["marriage_rate"].id_columns)
-    view = f"wide_marriage_rate_{uuid.uuid4().hex[:8]}"
-    wide.createOrReplaceTempView(view)
-    year_list = ", ".join(f"`{c}`" for c in years)
+    _, years = split_columns(wide.columns, DATASETS["marriage_rate"].id_columns)
+    year_list = ", ".join(quote(c) for c in years)
     return spark.sql(f"""
         SELECT country, CAST(REPLACE(year_label, '_', '') AS BIGINT) AS year, marriage_rate
-        FROM {view}
+        FROM {{wide}}
         UNPIVOT (marriage_rate FOR year_label IN ({year_list}))
-        WHERE marriage_rate IS NOT NULL AND NOT isnan(marriage_rate)""")
+        WHERE marriage_rate IS NOT NULL AND NOT isnan(marriage_rate)""", wide=wide)
 
 
 def unpivot_fused(spark: SparkSession, base: str) -> DataFrame:
