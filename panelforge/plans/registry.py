@@ -107,7 +107,7 @@ def replace_sink(spark: SparkSession, base: str) -> DataFrame:
     path = _scratch(spark, "stg_hours_worked")
     sinks.replace_sink(staged.filter(F.col("year") < 1998), path, STAGING_SCHEMAS["hours_worked"])
     sinks.replace_sink(staged, path, STAGING_SCHEMAS["hours_worked"])
-    return spark.read.parquet(path)
+    return sinks.read_written(spark, path, STAGING_SCHEMAS["hours_worked"])
 
 
 def _upsert(spark: SparkSession, base: str, times: int) -> DataFrame:
@@ -132,20 +132,17 @@ def upsert_idempotent(spark: SparkSession, base: str) -> DataFrame:
     return _upsert(spark, base, 2)
 
 
-def _partitioned(spark: SparkSession, base: str) -> tuple[str, DataFrame]:
+def partitioned_sink(spark: SparkSession, base: str) -> DataFrame:
+    """relationships written partitioned by date and clustered by country, read back."""
     rel = Extracts(spark, base).final("relationships")
     path = sinks.partitioned_sink(rel, _scratch(spark, "relationships"))
-    return path, sinks.read_partitioned(spark, path, ANALYTICS_SCHEMAS["relationships"])
-
-
-def partitioned_sink(spark: SparkSession, base: str) -> DataFrame:
-    return _partitioned(spark, base)[1]
+    return sinks.read_partitioned(spark, path, ANALYTICS_SCHEMAS["relationships"])
 
 
 def pruned_read(spark: SparkSession, base: str) -> DataFrame:
     """Date range and country filter on the partitioned table: the date filter
     prunes folders, the country filter skips row groups."""
-    _, table = _partitioned(spark, base)
+    table = partitioned_sink(spark, base)
     return table.filter(F.col("year_date").between(F.lit("1996-12-31").cast("date"),
                                                    F.lit("1999-12-31").cast("date"))
                         & F.col("country").isin("NATION_1", "NATION_7", "NATION_19"))
