@@ -42,4 +42,5 @@ def guarded_corr(x: Column | str, y: Column | str) -> Column:
     xc, yc = _col(x), _col(y)
     both = xc.isNotNull() & yc.isNotNull()
     xs, ys = F.when(both, xc), F.when(both, yc)
-    return safe_ratio(F.covar_pop(xs, ys), F.nullif(F.stddev_pop(xs) * F.stddev_pop(ys), F.lit(0.0)))
+    spread = F.nullif(F.stddev_pop(xs) * F.stddev_pop(ys), F.lit(0.0))
+    return safe_ratio(F.covar_pop(xs, ys), spread)

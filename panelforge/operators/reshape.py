@@ -32,7 +32,8 @@ def rename_geography(df: DataFrame, source: str = GEO_COLUMN, target: str = "cou
     return out
 
 
-def split_columns(columns: Sequence[str], id_allow_list: Iterable[str]) -> tuple[list[str], list[str]]:
+def split_columns(columns: Sequence[str],
+                  id_allow_list: Iterable[str]) -> tuple[list[str], list[str]]:
     """Id columns are those on the allow-list, the rest are years; frame order kept."""
     allowed = set(id_allow_list)
     ids = [c for c in columns if c in allowed]

@@ -17,7 +17,8 @@ from panelforge.session import checkpoint_root
 from panelforge.sources.extracts import observed_years, read_cube, recipes, wide_extract
 
 
-def final_table(name: str, staged: Mapping[str, DataFrame], with_year_date: bool = True) -> DataFrame:
+def final_table(name: str, staged: Mapping[str, DataFrame],
+                with_year_date: bool = True) -> DataFrame:
     """Anchor LEFT JOIN the others on (country, year), plus ``year_date``.
 
     ``with_year_date=False`` gives the local variant, which has no date column.

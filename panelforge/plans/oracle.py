@@ -76,8 +76,10 @@ _IDS = {
 
 # Load tables: kept cells, filtered and projected as the reference does.
 _LOAD = {
-    "marriage_rate": "SELECT country, year, cell AS marriage_rate FROM cells_{n} WHERE cell IS NOT NULL",
-    "divorce_rate": "SELECT country, year, cell AS divorce_rate FROM cells_{n} WHERE cell IS NOT NULL",
+    "marriage_rate": ("SELECT country, year, cell AS marriage_rate FROM cells_{n} "
+                      "WHERE cell IS NOT NULL"),
+    "divorce_rate": ("SELECT country, year, cell AS divorce_rate FROM cells_{n} "
+                     "WHERE cell IS NOT NULL"),
     "age_at_marriage": ("SELECT indic_de, country, year, cell AS age_at_marriage FROM cells_{n} "
                         "WHERE cell IS NOT NULL"),
     "gender_pay_gap": ("SELECT country, year, cell AS gender_pay_gap FROM cells_{n} "

@@ -26,7 +26,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.contracts import ANALYTICS, ANALYTICS_SCHEMAS, DATASETS, STAGING_SCHEMAS, load_schema
+from panelforge.contracts import (ANALYTICS, ANALYTICS_SCHEMAS, DATASETS, STAGING_SCHEMAS,
+                                  load_schema)
 from panelforge.operators.checks import (ANALYTICS_CHECKS, STAGING_CHECKS, enforce, labelled,
                                          run_checks)
 from panelforge.plans.analytics import Extracts, final_table

@@ -115,7 +115,8 @@ def _upsert(spark: SparkSession, base: str, times: int) -> DataFrame:
     written = sinks.replace_sink(Extracts(spark, base).final("relationships"),
                                  _scratch(spark, "relationships"), schema)
     rel = sinks.read_written(spark, written, schema)  # computed once, read by every step below
-    target = sinks.replace_sink(rel.filter(F.col("year") <= 1999), _scratch(spark, "rel_v0"), schema)
+    target = sinks.replace_sink(rel.filter(F.col("year") <= 1999), _scratch(spark, "rel_v0"),
+                                schema)
     source = rel.filter(F.col("year") >= 1998).withColumn(
         "marriage_rate", F.col("marriage_rate") + F.lit(1.0))
     for i in range(times):
