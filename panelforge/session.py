@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -76,6 +77,11 @@ class MissingCheckpointDirError(RuntimeError):
     pass
 
 
+def is_local_master(master: str) -> bool:
+    """One JVM runs driver and tasks: ``local`` or ``local[...]``, not ``local-cluster[...]``."""
+    return master == "local" or master.startswith("local[")
+
+
 def _scratch_dir() -> str:
     return tempfile.mkdtemp(prefix="panelforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
 
@@ -100,9 +106,20 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.get()
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not is_local_master(sc.master):
             raise MissingCheckpointDirError(
                 "set spark.checkpoint.dir to a folder every executor can reach")
         configured = _scratch_dir()
     sc.setCheckpointDir(configured)
     return sc._jsc.sc().getCheckpointDir().get()
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A new folder under ``checkpoint_root``, removed when the driver JVM ends."""
+    path = f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return path
