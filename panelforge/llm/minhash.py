@@ -10,9 +10,11 @@
    after that pair the remaining ones, so a large group of near copies never
    emits all its pairs.
 4. A candidate's similarity is estimated from the bit count of the packed
-   signatures, corrected for chance agreement (1 in 4).  The cut lies six
-   standard deviations under the threshold; every survivor is confirmed on the
-   full shingle sets.
+   signatures, corrected for chance agreement (1 in 4); the cut lies six
+   standard deviations under the threshold.  A parity sketch of the sets then
+   rules out most pairs below the threshold: every shingle flips one of 2,048
+   bits, so two sketches never differ in more bits than the sets differ in
+   shingles.  Every survivor is confirmed on the full shingle sets.
 5. Components of the confirmed links come from large-star/small-star steps.
 
 At a similarity of 0.8 a pair escapes all 32 bands with probability 5e-8.
@@ -37,6 +39,7 @@ MINIMA = 128
 BAND_ROWS = 4
 BITS = 2  # retained of each minimum
 CUT_SIGMAS = 6.0
+PARITY_BITS = 2048
 
 _random = np.random.default_rng(97)
 _XOR = _random.integers(0, 1 << 32, MINIMA, dtype=np.uint32)
@@ -73,13 +76,18 @@ def packed(least: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(low << np.arange(0, 64, BITS, dtype=np.uint64), axis=1)
 
 
+def parity_sketch(shingles: np.ndarray) -> np.ndarray:
+    odd = np.bincount((shingles >> np.uint64(7)).astype(np.int64) % PARITY_BITS, minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
 def signatures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """One row per input row: set size, fingerprint of the set, band keys, packed low bits."""
+    """One row per input row: set size, fingerprint of the set, band keys, packed low bits, parities."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = WindowHasher()
         for batch in parts:
-            sizes, prints, bands, packs = [], [], [], []
+            sizes, prints, bands, packs, parities = [], [], [], [], []
             for text in column(batch, "text"):
                 shingles = shingle_set(text, shingle_words, windows)
                 sizes.append(len(shingles))
@@ -87,20 +95,24 @@ def signatures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     prints.append((None, None))
                     bands.append(np.empty(0, np.uint64))
                     packs.append(np.empty(0, np.uint64))
+                    parities.append(np.empty(0, np.uint64))
                     continue
                 prints.append(fingerprint(shingles.tobytes()))
                 least = minima(shingles)
                 bands.append(band_keys(least))
                 packs.append(packed(least))
+                parities.append(parity_sketch(shingles))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()),
                  pa.array([p[0] for p in prints], pa.int64()),
-                 pa.array([p[1] for p in prints], pa.int64()), long_lists(bands), long_lists(packs)],
-                names=["doc_id", "text_key", "n_shingles", "print_a", "print_b", "bands", "signature"])
+                 pa.array([p[1] for p in prints], pa.int64()), long_lists(bands), long_lists(packs),
+                 long_lists(parities)],
+                names=["doc_id", "text_key", "n_shingles", "print_a", "print_b", "bands", "signature",
+                       "parities"])
 
     return id_and_text(df, id_col, text_col).select("doc_id", text_key(), "text").mapInArrow(
         batches, "doc_id long, text_key long, n_shingles long, print_a long, print_b long, "
-                 "bands array<long>, signature array<long>")
+                 "bands array<long>, signature array<long>, parities array<long>")
 
 
 def _shingle_sets(docs: DataFrame, shingle_words: int) -> DataFrame:
@@ -138,6 +150,19 @@ def _cut(threshold: float) -> float:
     return threshold - CUT_SIGMAS * sigma
 
 
+def possible(threshold_percent: int) -> Column:
+    """Whether (n, signature, parities) of sides a and b allow the threshold, cheapest test first."""
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    differ = None
+    for i in range(PARITY_BITS // 64):
+        one = F.bit_count(F.col("parities_a")[i].bitwiseXOR(F.col("parities_b")[i]))
+        differ = one if differ is None else differ + one
+    return ((F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * threshold_percent)
+            & (estimated_similarity(F.col("signature_a"), F.col("signature_b")) >= _cut(threshold_percent / 100))
+            # of all shingles at most (1 - t) / (1 + t) are in one set only
+            & (differ * (100 + threshold_percent) <= (n_a + n_b) * (100 - threshold_percent)))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle_words: int = SHINGLE_WORDS,
                     threshold_percent: int = THRESHOLD_PERCENT) -> DataFrame:
@@ -153,13 +178,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     spark = df.sparkSession
     scratch = Scratch(spark, "minhash")
-    cut = _cut(threshold_percent / 100)
     base = scratch.table(signatures(df, id_col, text_col, shingle_words), "signatures")
     prints = ["print_a", "print_b"]
     heads = scratch.table(
         base.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*prints)
         .agg(F.min("doc_id").alias("head"), F.first("n_shingles").alias("n"),
-             F.first("bands").alias("bands"), F.first("signature").alias("signature")), "heads")
+             F.first("bands").alias("bands"), F.first("signature").alias("signature"),
+             F.first("parities").alias("parities")), "heads")
 
     members = heads.select(F.col("head").alias("id"), F.explode("bands").alias("band"))
     buckets = scratch.table(
@@ -167,17 +192,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .filter("first < last").select("band", "first"), "buckets")
     shared = scratch.table(members.join(buckets, "band"), "shared")
 
-    slim = heads.select(F.col("head").alias("id"), "n", "signature")
+    tested = heads.select(F.col("head").alias("id"), "n", "signature", "parities")
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        """``tested`` columns of ``df`` under names of one side of a pair."""
+        return df.select(F.col("id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in df.columns if c != "id"])
 
     def similar(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose sizes allow the threshold and whose estimate passes the cut."""
-        out = (pairs.join(slim.select(F.col("id").alias("a"), F.col("n").alias("n_a"),
-                                      F.col("signature").alias("sig_a")), "a")
-               .join(slim.select(F.col("id").alias("b"), F.col("n").alias("n_b"),
-                                 F.col("signature").alias("sig_b")), "b"))
-        return out.filter(
-            (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * threshold_percent)
-            & (estimated_similarity(F.col("sig_a"), F.col("sig_b")) >= cut)).select("a", "b")
+        """Pairs (a, b) that their sizes, estimate and parities allow."""
+        out = pairs.join(side(tested, "a"), "a").join(side(tested, "b"), "b")
+        return out.filter(possible(threshold_percent)).select("a", "b")
 
     # Sets of the documents that share a bucket with another text, computed once for both rounds.
     wanted = shared.select(F.col("id").alias("doc_id")).distinct()
@@ -210,19 +234,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                .agg(F.max_by("component", F.struct("count", "component")).alias("largest"),
                     F.count(F.lit(1)).alias("components")).filter("components > 1"))
     largest = scratch.table(largest.select("band", "largest"), "largest")
-    mixed = scratch.table(placed.join(largest, "band").filter("id <> first")
-                          .join(slim, "id"), "mixed")
-    left = mixed.filter("component <> largest").select(
-        "band", F.col("id").alias("a"), F.col("component").alias("part_a"),
-        F.col("n").alias("n_a"), F.col("signature").alias("sig_a"))
-    right = mixed.select("band", F.col("id").alias("b"), F.col("component").alias("part_b"),
-                         (F.col("component") == F.col("largest")).alias("in_largest"),
-                         F.col("n").alias("n_b"), F.col("signature").alias("sig_b"))
+    mixed = scratch.table(placed.join(largest, "band").filter("id <> first").drop("first")
+                          .join(tested, "id"), "mixed")
+    left = side(mixed.filter("component <> largest"), "a")
+    right = side(mixed, "b")
     rest = left.join(
-        right, (left["band"] == right["band"]) & (F.col("part_a") != F.col("part_b"))
-        & (F.col("in_largest") | (F.col("a") < F.col("b")))
-        & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * threshold_percent)
-        & (estimated_similarity(F.col("sig_a"), F.col("sig_b")) >= cut)).select("a", "b").distinct()
+        right, (F.col("band_a") == F.col("band_b")) & (F.col("component_a") != F.col("component_b"))
+        & ((F.col("component_b") == F.col("largest_b")) | (F.col("a") < F.col("b")))
+        & possible(threshold_percent)).select("a", "b").distinct()
     more = confirmed(rest, "rest")
     if more.take(1):
         parts = scratch.table(connected_components(links.unionByName(more), scratch), "parts")
