@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 from array import array
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import public_tokenizers
@@ -27,7 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import RecentCache, column, id_and_text
+from .common import RecentCache, column, id_and_text, pieces_of
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 1024
@@ -39,6 +39,7 @@ _NEVER = 1 << 60            # the rank of a pair that does not merge
 # A contraction directly after a space is punctuation and a word, as the space joins the quote.
 _UNIT = regex.compile(r"\s*(?:(?<! )'(?:s|t|re|ve|m|ll|d)|\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+)|\s+")
 _SPACES = regex.compile(r"\s*")
+_MARKS = ",.;:!?%$#*&"
 _SPLIT_CONTRACTIONS = ("'re", "'ve", "'ll")  # their two-character prefix is two pre-tokens
 
 
@@ -72,6 +73,7 @@ class PrefixCounter:
         self._pairs = RecentCache(_CACHE_PAIRS)
         self._edges: tuple[dict, dict] = {}, {}
         self._after_space = RecentCache(_CACHE_STRETCHES)
+        self._previous: tuple[bytes, list[int], list[bytes]] = b"", [0], [b""]
 
     def _merged(self, text: bytes) -> list[bytes]:
         parts = [text[i:i + 1] for i in range(len(text))]
@@ -127,10 +129,19 @@ class PrefixCounter:
         return known
 
     def piece_counts(self, piece: bytes) -> list[int]:
-        """Token count of every byte prefix of a pre-token (index 0: nothing)."""
-        counts, last = [0], [b""]
+        """Token count of every byte prefix of a pre-token (index 0: nothing).
+
+        The previous pre-token's table serves for the prefix that both have.
+        """
+        other, counts, last = self._previous
+        same = 0
+        for a, b in zip(piece, other):
+            if a != b:
+                break
+            same += 1
+        counts, last = counts[:same + 1], last[:same + 1]
         tokens, pairs = self._tokens, self._pairs.young
-        for end in range(1, len(piece) + 1):
+        for end in range(same + 1, len(piece) + 1):
             for start in range(max(0, end - self._longest), end):
                 token = piece[start:end]
                 if token in tokens:
@@ -145,6 +156,8 @@ class PrefixCounter:
                         counts.append(counts[start] + 1)
                         last.append(token)
                         break
+        if same or len(piece) > 2:  # a single mark between two words leaves the table in place
+            self._previous = piece, counts, last
         return counts
 
     def _chars(self, piece: str) -> list[int]:
@@ -194,12 +207,25 @@ class PrefixCounter:
         """Differences of a space and a stretch; nothing if the spaces do not close its ends."""
         made = self._after_space.find(stretch)
         if made is None:
-            inner = bool(stretch) and not stretch[0].isspace() and not stretch[-1].isspace()
-            made = self._units(" " + stretch) if inner else b""
+            word = stretch.rstrip(_MARKS)
+            if word.isalpha():  # a word and marks: two pre-tokens
+                counts = self._chars(" " + word)
+                if len(word) < len(stretch):
+                    counts = counts + [counts[-1] + n for n in self._chars(stretch[len(word):])]
+                made = array("h", [n - before for n, before in zip(counts, [0, *counts])]).tobytes()
+            else:
+                inner = bool(stretch) and not stretch[0].isspace() and not stretch[-1].isspace()
+                made = self._units(" " + stretch) if inner else b""
             if len(stretch) <= _CACHE_CHARS:
                 self._after_space.put(stretch, made)
         return made
 
+    def prepare(self, texts: list[str]) -> None:
+        """Compute the new stretches of some texts in alphabetic order: neighbours share prefixes."""
+        fresh = set(chain.from_iterable([text.split(" ")[1:] for text in texts]))
+        for stretch in sorted([s for s in fresh if len(s) <= _CACHE_CHARS]):
+            self._stretch(stretch)
+
     def _plain(self, text: str) -> bytes:
         stretches = text.split(" ")
         if not stretches[0] or stretches[0][-1].isspace():
@@ -260,13 +286,15 @@ def prefix_token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "
         path = tokenizer if "/" in tokenizer else public_tokenizers.path(tokenizer)
         counter = _counter(path)
         for batch in parts:
-            texts = iter(zip(column(batch, "doc_id"), column(batch, "text")))
-            while rows := list(islice(texts, 256)):  # tables are wide: hand them on in small batches
-                ids = [r[0] for r in rows]
-                raw = [r[1] or b"" for r in rows]
-                counts = [counter.table(t.decode()) for t in raw]
+            ids = iter(column(batch, "doc_id"))
+            size = 1 << 18 if tables else 4 << 20  # tables are wide: hand them on in small batches
+            for raws in pieces_of(column(batch, "text"), size):
+                raw = [r or b"" for r in raws]
+                texts = [r.decode() for r in raw]
+                counter.prepare(texts)
+                counts = [counter.table(t) for t in texts]
                 totals = [int(c[-1]) for c in counts]
-                out = [pa.array(ids, pa.int64()), pa.array([len(t) for t in raw], pa.int64()),
+                out = [pa.array(list(islice(ids, len(raw))), pa.int64()), pa.array([len(t) for t in raw], pa.int64()),
                        pa.array(totals, pa.int64()), pa.array([n > limit for n in totals]),
                        pa.array([fitting_prefix(c, limit) for c in counts], pa.int64())]
                 names = ["doc_id", "n_bytes", "n_tokens", "over_limit", "chars_in_limit"]
