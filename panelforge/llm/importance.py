@@ -26,7 +26,7 @@ BUCKETS = 1 << 14
 TARGET_ROWS = 20_000   # bound of the labelled sample the target model is fitted to
 KEEP_SHARE = 0.8       # k, as a share of the documents
 SMOOTHING = 0.5        # added to every bucket count
-TEMPERATURE = 0.02     # scale of the Gumbel noise against the mean log ratio per n-gram
+TEMPERATURE = 0.005    # scale of the Gumbel noise against the mean log ratio per n-gram
 SEED = 11
 
 
