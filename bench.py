@@ -13,15 +13,14 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from panelforge.plans.analytics import Extracts  # noqa: E402
-from panelforge.plans.refresh import refresh  # noqa: E402
+from panelforge.plans.refresh import init_targets, refresh  # noqa: E402
 from panelforge.plans.registry import QUERIES  # noqa: E402
-from panelforge.session import build_session  # noqa: E402
+from panelforge.session import build_session, scratch_dir  # noqa: E402
 
 HEADLINE = [
     "relationships",
@@ -43,7 +42,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app_name="panelforge-bench",
                           driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
-    scratch = tempfile.mkdtemp(prefix="panelforge-bench-")
+    scratch = scratch_dir(spark, "bench")
 
     warmup = [d for d in WARMUP_DIRS
               if os.path.isdir(d) and os.path.abspath(d) != os.path.abspath(sf_dir)]
@@ -72,7 +71,8 @@ def main() -> None:
         extracts.final("gender_gap").collect()
 
     timed("both_final_tables", both_final_tables)
-    timed("refresh_cloud", lambda: refresh(spark, sf_dir, f"{scratch}/out", variant="cloud"))
+    timed("refresh_cloud", lambda: refresh(
+        spark, sf_dir, f"{scratch}/out", previous=init_targets(spark, f"{scratch}/out")))
 
     match = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({

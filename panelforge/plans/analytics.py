@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -13,8 +12,8 @@ from panelforge.functions.scalar import period_end_date
 from panelforge.operators.joins import left_join_all
 from panelforge.plans.load import load_table
 from panelforge.plans.staging import stage_table
-from panelforge.session import checkpoint_root
-from panelforge.sources.extracts import observed_years, read_cube, recipes, wide_extract
+from panelforge.session import scratch_dir
+from panelforge.sources.extracts import ExtractRecipe, read_cube, recipes, wide_extract
 
 
 def final_table(name: str, staged: Mapping[str, DataFrame],
@@ -45,8 +44,8 @@ def needed_datasets(names: Iterable[str]) -> list[str]:
 class Extracts:
     """The seven wide extracts of one input folder, as lazy DataFrames.
 
-    All of them are cut from one measure cube.  ``materialize()`` (the
-    default) runs the cube once and writes it as a Parquet table under the
+    All of them are cut from one measure cube, which holds what ``datasets``
+    need and no more.  It runs once and is written as a Parquet table under the
     session's checkpoint folder, so the query that follows reads a table of a
     few thousand rows instead of re-deriving it in every branch (Catalyst
     pushes different filters into each branch, which defeats exchange reuse).
@@ -55,43 +54,22 @@ class Extracts:
     """
 
     def __init__(self, spark: SparkSession, base: str, pay_gap_fanout: bool = False,
-                 years: Iterable[int] | None = None, materialize: bool = True):
+                 datasets: Iterable[str] = DATASETS):
         self.spark = spark
-        self.base = base
-        self.cube = read_cube(spark, base)
-        self.pay_gap_fanout = pay_gap_fanout
-        self._years = list(years) if years is not None else None
-        self._wide: _WideExtracts | None = None
-        if materialize:
-            self.materialize()
-
-    def materialize(self) -> "Extracts":
+        wanted = recipes(pay_gap_fanout)
+        wanted = {n: wanted[n] for n in datasets}
+        cube = read_cube(spark, base, wanted.values())
+        self.cube, self.years = self._materialize(cube)
+        self.wide = _WideExtracts(self.cube, self.years, wanted)
+
+    def _materialize(self, cube: DataFrame) -> tuple[DataFrame, list[int]]:
         """Write the cube once; the year list is observed during that write
         (a metric gathered with the job, not a second job)."""
-        path = f"{checkpoint_root(self.spark).rstrip('/')}/cube-{uuid.uuid4().hex}"
+        path = f"{scratch_dir(self.spark, 'cube')}/cube"
         seen = Observation("cube")
-        self.cube.observe(seen, F.collect_set("year").alias("years")).write.mode(
-            "errorifexists").parquet(path)
-        if self._years is None:
-            self._years = sorted(int(y) for y in seen.get["years"])
-        self.cube = self.spark.read.schema(self.cube.schema).parquet(path)
-        self._wide = None
-        return self
-
-    @property
-    def years(self) -> list[int]:
-        """Year columns of the extracts.  Observed during ``materialize``; for
-        an unmaterialized cube, read from ``orders`` alone (a one-column scan),
-        which may add all-null columns for years without lines."""
-        if self._years is None:
-            self._years = observed_years(self.spark, self.base)
-        return self._years
-
-    @property
-    def wide(self) -> "_WideExtracts":
-        if self._wide is None:
-            self._wide = _WideExtracts(self.cube, self.years, self.pay_gap_fanout)
-        return self._wide
+        cube.observe(seen, F.collect_set("year").alias("years")).write.parquet(path)
+        return (self.spark.read.schema(cube.schema).parquet(path),
+                sorted(int(y) for y in seen.get["years"]))
 
     def load(self, name: str) -> DataFrame:
         return load_table(self.wide[name], DATASETS[name])
@@ -110,9 +88,8 @@ class _WideExtracts(Mapping[str, DataFrame]):
     """Wide extracts built on first access, so a query only pays for the
     plans it uses."""
 
-    def __init__(self, cube: DataFrame, years: list[int], pay_gap_fanout: bool):
-        self._cube, self._years = cube, years
-        self._recipes = recipes(pay_gap_fanout)
+    def __init__(self, cube: DataFrame, years: list[int], wanted: Mapping[str, ExtractRecipe]):
+        self._cube, self._years, self._recipes = cube, years, wanted
         self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:

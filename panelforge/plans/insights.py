@@ -72,11 +72,12 @@ def divorce_marriage_ratio(relationships: DataFrame) -> DataFrame:
         "country", "year", safe_ratio("divorce_rate", "marriage_rate").alias("divorce_to_marriage"))
 
 
-def pay_gap_correlation(relationships: DataFrame, by: str = "year", digits: int = 6) -> DataFrame:
+def pay_gap_correlation(relationships: DataFrame, by: str | None = "year", digits: int = 6) -> DataFrame:
     """Pearson correlation of the pay gap with marriage and divorce rates (D6):
-    across countries per year (``by="year"``) or across years per country
-    (``by="country"``); null for flat or one-row groups."""
-    return relationships.groupBy(by).agg(
+    across countries per year (``by="year"``), across years per country
+    (``by="country"``) or over the whole panel (``by=None``); null for flat or
+    one-row groups."""
+    return relationships.groupBy(*([by] if by else [])).agg(
         F.count(F.lit(1)).alias("observations"),
         F.round(guarded_corr("gender_pay_gap", "marriage_rate"), digits).alias("corr_marriage"),
         F.round(guarded_corr("gender_pay_gap", "divorce_rate"), digits).alias("corr_divorce"),
@@ -94,8 +95,9 @@ def hours_delta_profile(gender_gap: DataFrame, by: str = "country", digits: int
 
 
 def _change(col: str) -> F.Column:
+    """Change against the year before; null where that year is missing."""
     w = Window.partitionBy("country").orderBy("year")
-    return F.signum(F.col(col) - F.lag(col).over(w))
+    return F.when(F.col("year") - F.lag("year").over(w) == 1, F.col(col) - F.lag(col).over(w))
 
 
 def gap_comovement(gender_gap: DataFrame) -> DataFrame:
@@ -111,10 +113,10 @@ def gap_comovement(gender_gap: DataFrame) -> DataFrame:
     )
     moves = gaps.select(
         "country",
-        _change("gender_pay_gap").alias("d_pay"),
-        _change("hours_worked_delta").alias("d_hours"),
-        _change("employed_gap").alias("d_employed"),
-        _change("accidents_gap").alias("d_accidents"),
+        F.signum(_change("gender_pay_gap")).alias("d_pay"),
+        F.signum(_change("hours_worked_delta")).alias("d_hours"),
+        F.signum(_change("employed_gap")).alias("d_employed"),
+        F.signum(_change("accidents_gap")).alias("d_accidents"),
     )
 
     def agree(col: str) -> F.Column:
@@ -130,14 +132,11 @@ def gap_comovement(gender_gap: DataFrame) -> DataFrame:
 
 
 def marriage_rate_drop(relationships: DataFrame) -> DataFrame:
-    """Largest year-on-year fall of the marriage rate per country (D9);
-    ties go to the earliest year."""
-    w = Window.partitionBy("country").orderBy("year")
-    changes = relationships.select(
-        "country", "year",
-        (F.col("marriage_rate") - F.lag("marriage_rate").over(w)).alias("change"),
-    ).filter(F.col("change").isNotNull())
-    worst = changes.groupBy("country").agg(F.min(F.struct("change", "year")).alias("w"))
+    """Largest year-on-year fall of the marriage rate per country (D9); ties go
+    to the earliest year, and both columns are null where nothing falls."""
+    changes = relationships.select("country", "year", _change("marriage_rate").alias("change"))
+    worst = changes.groupBy("country").agg(
+        F.min(F.when(F.col("change") < 0, F.struct("change", "year"))).alias("w"))
     return worst.select("country", F.col("w.year").alias("drop_year"),
                         F.col("w.change").alias("drop"))
 

@@ -28,13 +28,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelforge.contracts import (ANALYTICS, ANALYTICS_SCHEMAS, DATASETS, STAGING_SCHEMAS,
                                   load_schema)
-from panelforge.operators.checks import (ANALYTICS_CHECKS, STAGING_CHECKS, enforce, labelled,
-                                         run_checks)
-from panelforge.plans.analytics import Extracts, final_table
+from panelforge.operators.checks import (ANALYTICS_CHECKS, LOAD_CHECKS, STAGING_CHECKS,
+                                         duplicate_key_rows, enforce, labelled, run_checks)
 from panelforge.operators.filters import require_all_rows
+from panelforge.operators.reshape import rename_geography
+from panelforge.plans.analytics import Extracts, final_table
 from panelforge.plans.load import load_table
 from panelforge.plans.staging import stage_table
 from panelforge.sources import sinks
+from panelforge.sources.tables import read_table
 
 
 @dataclass
@@ -55,12 +57,32 @@ def _each(names, work, parallel_jobs: int) -> dict:
         return dict(zip(names, pool.map(work, names)))
 
 
-def refresh(spark: SparkSession, in_dir: str, out_dir: str, variant: str = "cloud",
+def landed_extracts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The seven wide extracts of a folder that holds ``<dataset>.parquet`` for each."""
+    return {n: read_table(spark, folder, n) for n in DATASETS}
+
+
+TARGET_SCHEMAS = {**{f"staging.{n}": STAGING_SCHEMAS[n] for n in DATASETS},
+                  **{f"analytics.{n}": ANALYTICS_SCHEMAS[n] for n in ANALYTICS}}
+
+
+def init_targets(spark: SparkSession, out_dir: str) -> dict[str, str]:
+    """Empty staging and final tables, the ``previous`` of a first cloud run."""
+    return sinks.init_tables(spark, out_dir, TARGET_SCHEMAS)
+
+
+def refresh(spark: SparkSession, source: str | Mapping[str, DataFrame], out_dir: str,
+            variant: str = "cloud",
             previous: Mapping[str, str] | None = None, staging_checks: str = "fail",
             analytics_checks: str = "warn", require_matches: bool = False,
             parallel_jobs: int = 4) -> RefreshResult:
     """Run every layer once and return where each table was written.
 
+    ``source`` gives the wide extracts by dataset name (``landed_extracts`` for
+    files), or names a folder of the TPC-H style tables to derive them from.
+    A cloud run merges into ``previous``, which must name all nine targets
+    (``init_targets`` makes empty ones for the first run).
+
     ``staging_checks`` / ``analytics_checks`` are ``fail`` (raise before the
     sink, so nothing downstream runs) or ``warn`` (record and go on): the
     final tables are left joins, so their not-null checks can fail on honest
@@ -71,17 +93,20 @@ def refresh(spark: SparkSession, in_dir: str, out_dir: str, variant: str = "clou
     if variant not in ("cloud", "local"):
         raise ValueError(f"unknown variant {variant!r}")
     previous = dict(previous or {})
+    missing = sorted(set(TARGET_SCHEMAS) - set(previous)) if variant == "cloud" else []
+    if missing:
+        raise sinks.MissingTargetError(f"no target for {missing}: create them with init_targets")
     run_dir = f"{out_dir.rstrip('/')}/run-{uuid.uuid4().hex[:12]}"
     result = RefreshResult(run_dir)
-    extracts = Extracts(spark, in_dir)
+    extracts = Extracts(spark, source).wide if isinstance(source, str) else source
 
     # Ingestion and load; the non-empty guards of all seven run as one job each.
-    wide = {name: extracts.wide[name] for name in DATASETS}
+    wide = {name: extracts[name] for name in DATASETS}
     require_all_rows(wide, "extracts")
 
     def land(name: str) -> DataFrame:
         raw = sinks.land_wide(wide[name], f"{run_dir}/raw/{name}", check_input=False)
-        return sinks.read_written(spark, raw, wide[name].schema)
+        return spark.read.schema(rename_geography(wide[name]).schema).parquet(raw)
 
     landed = _each(DATASETS, land, parallel_jobs)
     require_all_rows(landed, "landed extracts")
@@ -94,25 +119,29 @@ def refresh(spark: SparkSession, in_dir: str, out_dir: str, variant: str = "clou
         result.paths[f"load.{name}"] = path
 
     # Staging: one check job for all seven tables, then one write each.
-    staged = {name: stage_table(sinks.read_written(spark, result.paths[f"load.{name}"],
-                                                   load_schema(DATASETS[name])), DATASETS[name])
+    loaded = {name: sinks.read_written(spark, result.paths[f"load.{name}"], load_schema(DATASETS[name]))
               for name in DATASETS}
-    report = labelled({name: run_checks(df, **STAGING_CHECKS) for name, df in staged.items()})
+    staged = {name: stage_table(loaded[name], DATASETS[name]) for name in DATASETS}
+    report = labelled({name: run_checks(df, **STAGING_CHECKS[name]) for name, df in staged.items()}
+                      | {f"load.{name}": run_checks(loaded[name], **spec)
+                         for name, spec in LOAD_CHECKS.items()})
     failed = enforce(report, "staging", staging_checks, detail="table_name")
     for name in DATASETS:
         if failed.get(name):
             result.warnings[f"staging.{name}"] = failed[name]
-    keys_checked = staging_checks == "fail" and "unique" in STAGING_CHECKS
+    keys_checked = staging_checks == "fail"
 
     def write_staged(name: str) -> str:
         path = f"{run_dir}/staging/{name}"
         schema = STAGING_SCHEMAS[name]
-        target = previous.get(f"staging.{name}") if variant == "cloud" else None
+        target = previous[f"staging.{name}"] if variant == "cloud" else None
         if target:
             sinks.upsert_sink(spark, staged[name], target, path, schema=schema,
                               keys_checked=keys_checked)
-        else:  # first run or local variant: nothing to merge into
-            sinks.replace_sink(staged[name], path, schema)
+        else:
+            ordered = name == "age_at_marriage"  # stored sorted in the local variant
+            sinks.replace_sink(staged[name].orderBy("country", "year") if ordered else staged[name],
+                               path, schema)
         return path
 
     for name, path in _each(DATASETS, write_staged, parallel_jobs).items():
@@ -133,10 +162,11 @@ def refresh(spark: SparkSession, in_dir: str, out_dir: str, variant: str = "clou
         path = f"{run_dir}/analytics/{name}"
         if variant == "cloud":
             schema = ANALYTICS_SCHEMAS[name]
-            old = previous.get(f"analytics.{name}")
-            merged = finals[name] if old is None else sinks.merge_rows(
-                sinks.read_partitioned(spark, old, schema), finals[name])
-            sinks.partitioned_sink(merged, path)
+            sinks.assert_schema(finals[name], schema)
+            if not duplicate_key_rows(finals[name], sinks.KEYS).isEmpty():
+                raise sinks.DuplicateKeyError(f"analytics.{name} repeats keys {list(sinks.KEYS)}")
+            old = sinks.read_target(spark, previous[f"analytics.{name}"], schema)
+            sinks.partitioned_sink(sinks.merge_rows(old, finals[name]), path)
         else:
             sinks.replace_sink(finals[name].orderBy("country", "year"), path)
         return path

@@ -22,42 +22,42 @@ from panelforge.operators.pivot import conditional_pivot, pivot_values, self_joi
 from panelforge.operators.reshape import (drop_missing, parse_year, quote, split_columns,
                                           unpivot_years)
 from panelforge.plans import insights
-from panelforge.plans.analytics import Extracts
+from panelforge.plans.analytics import Extracts, needed_datasets
 from panelforge.plans.load import load_table
-from panelforge.plans.refresh import refresh
-from panelforge.session import checkpoint_root
+from panelforge.plans.refresh import init_targets, landed_extracts, refresh
+from panelforge.session import scratch_dir
 from panelforge.sources import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_root(spark).rstrip('/')}/sinks/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{scratch_dir(spark, 'sinks')}/{name}"
 
 
 def _load(name: str) -> Query:
-    return lambda spark, base: Extracts(spark, base).load(name)
+    return lambda spark, base: Extracts(spark, base, datasets=[name]).load(name)
 
 
 def _stage(name: str) -> Query:
-    return lambda spark, base: Extracts(spark, base).stage(name)
+    return lambda spark, base: Extracts(spark, base, datasets=[name]).stage(name)
 
 
 def _final(name: str, with_year_date: bool = True) -> Query:
     def run(spark: SparkSession, base: str) -> DataFrame:
-        out = Extracts(spark, base).final(name, with_year_date)
+        out = Extracts(spark, base, datasets=needed_datasets([name])).final(name, with_year_date)
         return out if with_year_date else out.orderBy("country", "year")
     return run
 
 
 def join_fanout(spark: SparkSession, base: str) -> DataFrame:
     """gender_gap with a pay-gap extract that carries two units per key."""
-    return Extracts(spark, base, pay_gap_fanout=True).final("gender_gap")
+    return Extracts(spark, base, True, datasets=needed_datasets(["gender_gap"])).final("gender_gap")
 
 
 def unpivot_sql(spark: SparkSession, base: str) -> DataFrame:
     """The explicit-list SQL form: ``UNPIVOT (v FOR year IN (...))``."""
-    wide = Extracts(spark, base).wide["marriage_rate"]
+    wide = Extracts(spark, base, datasets=["marriage_rate"]).wide["marriage_rate"]
     _, years = split_columns(wide.columns, DATASETS["marriage_rate"].id_columns)
     year_list = ", ".join(quote(c) for c in years)
     return spark.sql(f"""
@@ -70,7 +70,7 @@ def unpivot_sql(spark: SparkSession, base: str) -> DataFrame:
 def unpivot_fused(spark: SparkSession, base: str) -> DataFrame:
     """Wide hours extract straight to F/M columns in one plan."""
     spec = DATASETS["hours_worked"]
-    long = unpivot_years(Extracts(spark, base).wide["hours_worked"], spec.id_columns, "value")
+    long = unpivot_years(Extracts(spark, base, datasets=["hours_worked"]).wide["hours_worked"], spec.id_columns, "value")
     long = parse_year(drop_missing(keep_codes(long, spec.filters), "value"))
     rule = Pivot("sex", "avg", (("hours_worked_f", "F"), ("hours_worked_m", "M")))
     return conditional_pivot(long, "value", rule)
@@ -78,17 +78,17 @@ def unpivot_fused(spark: SparkSession, base: str) -> DataFrame:
 
 def unpivot_pruned_years(spark: SparkSession, base: str) -> DataFrame:
     """Only 1996-1999 are expanded: the other year columns are never read."""
-    ex = Extracts(spark, base)
+    ex = Extracts(spark, base, datasets=["hours_worked"])
     return load_table(ex.wide["hours_worked"], DATASETS["hours_worked"], years=range(1996, 2000))
 
 
 def pivot_generic(spark: SparkSession, base: str) -> DataFrame:
-    loaded = Extracts(spark, base).load("hours_worked")
+    loaded = Extracts(spark, base, datasets=["hours_worked"]).load("hours_worked")
     return pivot_values(loaded, ["country", "year"], "sex", ["M", "F"], "hours_worked", "avg")
 
 
 def self_join_split_query(spark: SparkSession, base: str) -> DataFrame:
-    loaded = Extracts(spark, base).load("hours_worked")
+    loaded = Extracts(spark, base, datasets=["hours_worked"]).load("hours_worked")
     return self_join_split(loaded, "hours_worked", "sex",
                            (("hours_worked_m", "M"), ("hours_worked_f", "F")))
 
@@ -96,14 +96,14 @@ def self_join_split_query(spark: SparkSession, base: str) -> DataFrame:
 def land_wide_roundtrip(spark: SparkSession, base: str) -> DataFrame:
     """Land a raw extract (geography column still named ``geo\\TIME_PERIOD``),
     read it back and load it."""
-    raw = Extracts(spark, base).wide["accidents"].withColumnRenamed("country", "geo\\TIME_PERIOD")
+    raw = Extracts(spark, base, datasets=["accidents"]).wide["accidents"].withColumnRenamed("country", "geo\\TIME_PERIOD")
     path = sinks.land_wide(raw, _scratch(spark, "landed_accidents"))
     return load_table(spark.read.parquet(path), DATASETS["accidents"], check_input=True)
 
 
 def replace_sink(spark: SparkSession, base: str) -> DataFrame:
     """Full replace run twice on one path: the second run replaces the first."""
-    staged = Extracts(spark, base).stage("hours_worked")
+    staged = Extracts(spark, base, datasets=["hours_worked"]).stage("hours_worked")
     path = _scratch(spark, "stg_hours_worked")
     sinks.replace_sink(staged.filter(F.col("year") < 1998), path, STAGING_SCHEMAS["hours_worked"])
     sinks.replace_sink(staged, path, STAGING_SCHEMAS["hours_worked"])
@@ -112,7 +112,7 @@ def replace_sink(spark: SparkSession, base: str) -> DataFrame:
 
 def _upsert(spark: SparkSession, base: str, times: int) -> DataFrame:
     schema = ANALYTICS_SCHEMAS["relationships"]
-    written = sinks.replace_sink(Extracts(spark, base).final("relationships"),
+    written = sinks.replace_sink(Extracts(spark, base, datasets=needed_datasets(["relationships"])).final("relationships"),
                                  _scratch(spark, "relationships"), schema)
     rel = sinks.read_written(spark, written, schema)  # computed once, read by every step below
     target = sinks.replace_sink(rel.filter(F.col("year") <= 1999), _scratch(spark, "rel_v0"),
@@ -135,7 +135,7 @@ def upsert_idempotent(spark: SparkSession, base: str) -> DataFrame:
 
 def partitioned_sink(spark: SparkSession, base: str) -> DataFrame:
     """relationships written partitioned by date and clustered by country, read back."""
-    rel = Extracts(spark, base).final("relationships")
+    rel = Extracts(spark, base, datasets=needed_datasets(["relationships"])).final("relationships")
     path = sinks.partitioned_sink(rel, _scratch(spark, "relationships"))
     return sinks.read_partitioned(spark, path, ANALYTICS_SCHEMAS["relationships"])
 
@@ -153,31 +153,31 @@ GENDER_GAP_COLUMNS = list(ANALYTICS_SCHEMAS["gender_gap"].names)
 
 
 def check_not_null(spark: SparkSession, base: str) -> DataFrame:
-    gg = Extracts(spark, base).final("gender_gap")
+    gg = Extracts(spark, base, datasets=needed_datasets(["gender_gap"])).final("gender_gap")
     return checks.not_null_counts(gg, GENDER_GAP_COLUMNS)
 
 
 def check_unique(spark: SparkSession, base: str) -> DataFrame:
     """Duplicate (country, year) keys of the fan-out pay-gap staging table."""
-    staged = Extracts(spark, base, pay_gap_fanout=True).stage("gender_pay_gap")
+    staged = Extracts(spark, base, True, datasets=["gender_pay_gap"]).stage("gender_pay_gap")
     return checks.duplicate_key_rows(staged, ["country", "year"])
 
 
 def check_non_negative(spark: SparkSession, base: str) -> DataFrame:
-    gg = Extracts(spark, base).final("gender_gap")
+    gg = Extracts(spark, base, datasets=needed_datasets(["gender_gap"])).final("gender_gap")
     return checks.non_negative_counts(gg, ["hours_worked_m", "hours_worked_f", "accidents_m",
                                            "accidents_f", "employed_m", "employed_f"])
 
 
 def domain_profile(spark: SparkSession, base: str) -> DataFrame:
-    wide = Extracts(spark, base).wide["hours_worked"]
+    wide = Extracts(spark, base, datasets=["hours_worked"]).wide["hours_worked"]
     dims = [c for c in DATASETS["hours_worked"].id_columns if c != "country"]
     return _domain_profile(wide, dims)
 
 
 def _extract(name: str) -> Query:
     """A wide extract as landed: id columns plus one column per year."""
-    return lambda spark, base: Extracts(spark, base).wide[name]
+    return lambda spark, base: Extracts(spark, base, datasets=[name]).wide[name]
 
 
 def check_load(spark: SparkSession, base: str) -> DataFrame:
@@ -190,7 +190,7 @@ def check_load(spark: SparkSession, base: str) -> DataFrame:
 def check_staging(spark: SparkSession, base: str) -> DataFrame:
     """Not-null and unique-key reports of all seven staging tables, one job."""
     ex = Extracts(spark, base)
-    return checks.labelled({n: checks.run_checks(ex.stage(n), **checks.STAGING_CHECKS)
+    return checks.labelled({n: checks.run_checks(ex.stage(n), **checks.STAGING_CHECKS[n])
                             for n in DATASETS})
 
 
@@ -214,14 +214,33 @@ def refresh_cloud(spark: SparkSession, base: str) -> DataFrame:
     """Two cloud-variant runs, the second upserting into the first; returns
     the partitioned gender_gap table of the second run."""
     out = _scratch(spark, "refresh")
-    first = refresh(spark, base, out, variant="cloud")
+    first = refresh(spark, base, out, variant="cloud", previous=init_targets(spark, out))
     second = refresh(spark, base, out, variant="cloud", previous=first.paths)
     return sinks.read_partitioned(spark, second.paths["analytics.gender_gap"],
                                   ANALYTICS_SCHEMAS["gender_gap"])
 
 
+def refresh_from_landed(spark: SparkSession, base: str) -> DataFrame:
+    """Extracts derived and landed as files, then one cloud run from those files alone."""
+    out = _scratch(spark, "landed")
+    wide = Extracts(spark, base).wide
+    for name in DATASETS:
+        sinks.land_wide(wide[name], f"{out}/{name}.parquet", check_input=False)
+    result = refresh(spark, landed_extracts(spark, out), out, previous=init_targets(spark, out))
+    return sinks.read_partitioned(spark, result.paths["analytics.gender_gap"],
+                                  ANALYTICS_SCHEMAS["gender_gap"])
+
+
+def catalog_roundtrip(spark: SparkSession, base: str) -> DataFrame:
+    """A staging table saved as a named catalog table and read by name."""
+    name = f"stg_hours_worked_{uuid.uuid4().hex[:8]}"
+    sinks.save_table(Extracts(spark, base, datasets=["hours_worked"]).stage("hours_worked"), name,
+                     _scratch(spark, name), STAGING_SCHEMAS["hours_worked"])
+    return spark.table(name)
+
+
 def _on_final(name: str, fn: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, base: fn(Extracts(spark, base).final(name))
+    return lambda spark, base: fn(Extracts(spark, base, datasets=needed_datasets([name])).final(name))
 
 
 QUERIES: dict[str, Query] = {
@@ -246,6 +265,8 @@ QUERIES: dict[str, Query] = {
     "pruned_read": pruned_read,
     "refresh_local": refresh_local,
     "refresh_cloud": refresh_cloud,
+    "refresh_from_landed": refresh_from_landed,
+    "catalog_roundtrip": catalog_roundtrip,
     "check_not_null": check_not_null,
     "check_unique": check_unique,
     "check_non_negative": check_non_negative,
@@ -263,6 +284,8 @@ QUERIES: dict[str, Query] = {
     "hours_delta_by_year": _on_final("gender_gap",
                                      lambda t: insights.hours_delta_profile(t, by="year")),
     "pay_gap_correlation": _on_final("relationships", insights.pay_gap_correlation),
+    "pay_gap_correlation_panel": _on_final(
+        "relationships", lambda t: insights.pay_gap_correlation(t, by=None)),
     "pay_gap_correlation_by_country": _on_final(
         "relationships", lambda t: insights.pay_gap_correlation(t, by="country")),
     "gap_comovement": _on_final("gender_gap", insights.gap_comovement),

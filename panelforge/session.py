@@ -26,20 +26,19 @@ _DEFAULTS = {
 ADVISORY_PARTITION_BYTES = 256 * 1024 * 1024
 
 
-def sizing_conf(input_bytes: int, advisory_bytes: int = ADVISORY_PARTITION_BYTES,
-                max_partitions: int = 200_000) -> dict[str, str]:
+def sizing_conf(input_bytes: int, advisory_bytes: int = ADVISORY_PARTITION_BYTES) -> dict[str, str]:
     """Shuffle sizing for an input of ``input_bytes`` (compressed, on disk).
 
     The largest shuffle here (pre-aggregated ``lineitem``) is of the order of
-    the input, so the initial partition count is input / advisory size; AQE
-    then coalesces partitions towards ``advisory_bytes`` and splits skewed
-    ones.  Scan splits use the same size.  At 100 TB this gives about
-    400,000, capped to ``max_partitions``; at sf0.1 the floor of 200 applies.
+    the input, so the initial partition count is input / advisory size, at
+    every size; AQE then coalesces partitions towards ``advisory_bytes`` and
+    splits skewed ones.  Scan splits use the same size.  ``advisory_bytes`` is
+    the one parameter: at 100 TB, 1 GB gives about 100,000 partitions.
     """
-    initial = max(200, min(max_partitions, -(-input_bytes // advisory_bytes)))
+    initial = str(max(1, -(-input_bytes // advisory_bytes)))
     return {
-        "spark.sql.shuffle.partitions": str(initial),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.shuffle.partitions": initial,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": initial,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory_bytes),
         "spark.sql.files.maxPartitionBytes": str(advisory_bytes),
     }

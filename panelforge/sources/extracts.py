@@ -10,9 +10,10 @@ This derivation is the only step whose work grows with the input, so it is
 planned for scale:
 
 1. ``lineitem`` is aggregated to one row per (order, return flag, line
-   status), plus one order-level row, *before* any join.  The partial
-   aggregate runs map-side, so the shuffle carries a few rows per order, and
-   an order holding a third of all lines collapses to at most seven rows.
+   status), and for order counts to its distinct orders, *before* any join,
+   each only where an extract needs it.  The partial aggregates run map-side,
+   so the shuffle carries a few rows per order, and an order holding a third of
+   all lines collapses to at most seven rows.
 2. Order attributes come from ``orders ⋈ customer ⋈ nation`` without hints:
    a side is broadcast only when its size estimate (file statistics, or the
    runtime size AQE measures) is under the threshold; otherwise the join is a
@@ -25,7 +26,7 @@ planned for scale:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,25 +39,25 @@ CUBE_DIMENSIONS = ("country", "year", "o_orderstatus", "o_orderpriority", "c_mkt
                    "l_returnflag", "l_linestatus")
 
 
-def line_cells(lineitem: DataFrame) -> DataFrame:
-    """Per order: one row per (return flag, line status) and one order-level row.
+# Measures of the cube: per order from its lines, and summed up over orders.
+MEASURES = {
+    "qty_sum": ("sum(l_quantity)", "sum(qty_sum)"),
+    "qty_n": ("count(l_quantity)", "sum(qty_n)"),
+    "qty_max": ("max(l_quantity)", "max(qty_max)"),
+    "linenumber_sum": ("sum(l_linenumber)", "sum(linenumber_sum)"),
+    "linenumber_n": ("count(l_linenumber)", "sum(linenumber_n)"),
+}
 
-    ``level`` is ``line`` or ``order``; the order-level row is what lets the
-    cube count distinct orders exactly at any coarser grain.
-    """
-    lines = lineitem.select("l_orderkey", "l_returnflag", "l_linestatus", "l_quantity",
-                            "l_linenumber")
-    grouped = lines.groupingSets(
-        [["l_orderkey", "l_returnflag", "l_linestatus"], ["l_orderkey"]],
-        "l_orderkey", "l_returnflag", "l_linestatus")
-    return grouped.agg(
-        F.sum("l_quantity").alias("qty_sum"),
-        F.count("l_quantity").alias("qty_n"),
-        F.max("l_quantity").alias("qty_max"),
-        F.sum("l_linenumber").alias("linenumber_sum"),
-        F.count("l_linenumber").alias("linenumber_n"),
-        F.when(F.grouping_id() == 0, F.lit("line")).otherwise(F.lit("order")).alias("level"),
-    )
+
+def line_cells(lineitem: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """Per order one row per (return flag, line status)."""
+    return lineitem.groupBy("l_orderkey", "l_returnflag", "l_linestatus").agg(
+        *[F.expr(MEASURES[m][0]).alias(m) for m in measures]).withColumn("level", F.lit("line"))
+
+
+def order_cells(lineitem: DataFrame) -> DataFrame:
+    """One row per order with lines: the cube counts distinct orders at any coarser grain."""
+    return lineitem.select("l_orderkey").distinct().withColumn("level", F.lit("order"))
 
 
 def order_attributes(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
@@ -64,51 +65,46 @@ def order_attributes(orders: DataFrame, customer: DataFrame, nation: DataFrame)
     o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
                       F.year("o_orderdate").cast("bigint").alias("year")).filter(
         F.col("year").isNotNull())
-    c = customer.select("c_custkey", "c_nationkey", "c_mktsegment")
+    # customers meet their nation first, so that no order is ever dealt by a nation key
     n = nation.select("n_nationkey", F.col("n_name").alias("country"))
+    c = customer.select("c_custkey", "c_nationkey", "c_mktsegment").join(
+        n, F.col("c_nationkey") == F.col("n_nationkey"))
     return (o.join(c, o.o_custkey == c.c_custkey)
-            .join(n, c.c_nationkey == n.n_nationkey)
             .select("o_orderkey", "country", "year", "o_orderstatus", "o_orderpriority",
                     "c_mktsegment"))
 
 
 def measure_cube(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
-                 nation: DataFrame) -> DataFrame:
-    """Every measure any extract needs, keyed by ``CUBE_DIMENSIONS`` and ``level``."""
-    cells = line_cells(lineitem)
+                 nation: DataFrame, wanted: Iterable["ExtractRecipe"]) -> DataFrame:
+    """The measures that ``wanted`` need, keyed by ``CUBE_DIMENSIONS`` and ``level``."""
+    wanted = list(wanted)
+    levels = {r.level for r in wanted}
+    measures = [m for m in MEASURES if any(m in r.cell for r in wanted)]
+    if levels == {"order"}:
+        cells = order_cells(lineitem)
+    elif levels == {"line"}:
+        cells = line_cells(lineitem, measures)
+    else:
+        cells = line_cells(lineitem, measures).unionByName(order_cells(lineitem),
+                                                           allowMissingColumns=True)
     attrs = order_attributes(orders, customer, nation)
     joined = cells.join(attrs, cells.l_orderkey == attrs.o_orderkey)
-    return joined.groupBy(*CUBE_DIMENSIONS, "level").agg(
-        F.sum("qty_sum").alias("qty_sum"),
-        F.sum("qty_n").alias("qty_n"),
-        F.max("qty_max").alias("qty_max"),
-        F.sum("linenumber_sum").alias("linenumber_sum"),
-        F.sum("linenumber_n").alias("linenumber_n"),
-        F.count(F.lit(1)).alias("orders"),
-    )
+    keys = [k for k in CUBE_DIMENSIONS if k in joined.columns]
+    return joined.groupBy(*keys, "level").agg(
+        *[F.expr(MEASURES[m][1]).alias(m) for m in measures],
+        F.count(F.lit(1)).alias("orders"))
 
 
-def read_cube(spark: SparkSession, base: str) -> DataFrame:
+def read_cube(spark: SparkSession, base: str, wanted: Iterable["ExtractRecipe"]) -> DataFrame:
     return measure_cube(
         read_table(spark, base, "lineitem"),
         read_table(spark, base, "orders"),
         read_table(spark, base, "customer"),
         read_table(spark, base, "nation"),
+        wanted,
     )
 
 
-def observed_years(spark: SparkSession, base: str) -> list[int]:
-    """Years present in ``orders``: the year columns of every extract.
-
-    A one-column scan with a partial aggregate; the driver receives one value
-    per calendar year, a bound set by the calendar, not by the data.
-    """
-    rows = (read_table(spark, base, "orders", "o_orderdate")
-            .select(F.year("o_orderdate").alias("y")).filter(F.col("y").isNotNull())
-            .distinct().collect())
-    return sorted(int(r.y) for r in rows)
-
-
 # --- dimension mappings (FIXTURES.md part B) -------------------------------
 # Written as SQL expressions: each is parsed once on the JVM side, instead of
 # one Python-to-JVM call per column operator.
@@ -193,17 +189,12 @@ def wide_extract(cube: DataFrame, recipe: ExtractRecipe, years: Sequence[int]) -
     """One row per combination of id columns, one column per year.
 
     A single aggregate with one conditional measure per year (a pivot with a
-    known value list, in one shuffle); ``nullif(cell, 0)`` turns an empty count
-    into null, and a year without rows is null as well.
+    known value list, in one shuffle).  A year without rows is null; a measured
+    zero stays.
     """
     keep = f"level = '{recipe.level}'" + (f" AND ({recipe.where})" if recipe.where else "")
     dims = [F.expr(expr).alias(name) for name, expr in recipe.dimensions]
-    cells = [F.expr(f"nullif(CAST({recipe.cell.format(keep=f'year = {y}')} AS DOUBLE), 0D)")
+    cells = [F.expr(f"CAST({recipe.cell.format(keep=f'year = {y}')} AS DOUBLE)")
              .alias(year_column_name(y)) for y in years]
     return cube.filter(keep).groupBy(*dims).agg(*cells)
 
-
-def wide_extracts(cube: DataFrame, years: Sequence[int],
-                  pay_gap_unit_from_status: bool = False) -> dict[str, DataFrame]:
-    return {name: wide_extract(cube, r, years)
-            for name, r in recipes(pay_gap_unit_from_status).items()}

@@ -6,7 +6,7 @@ write is a distributed job, and the upsert is an anti-join plus a union.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -65,13 +65,25 @@ def init_table(spark: SparkSession, schema: StructType, path: str) -> str:
 
 def read_target(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     try:
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        df = reader.parquet(path)
-        if schema is None:
-            df.schema  # noqa: B018 - resolve now so a missing path fails here
-        return df
+        return read_written(spark, path, schema) if schema is not None else spark.read.parquet(path)
     except AnalysisException as exc:
-        raise MissingTargetError(f"upsert target {path} does not exist") from exc
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            raise MissingTargetError(f"upsert target {path} does not exist") from exc
+        raise
+
+
+def save_table(df: DataFrame, name: str, path: str, schema: StructType | None = None) -> str:
+    """Full replace of a catalog table of Parquet files at ``path`` (shared storage)."""
+    if schema is not None:
+        assert_schema(df, schema)
+    df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
+    return name
+
+
+def init_tables(spark: SparkSession, root: str, schemas: Mapping[str, StructType]) -> dict[str, str]:
+    """Create the empty targets of a first run; returns the paths by table name."""
+    return {name: init_table(spark, schema, f"{root.rstrip('/')}/init/{name.replace('.', '/')}")
+            for name, schema in schemas.items()}
 
 
 def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -127,8 +139,16 @@ def partitioned_sink(df: DataFrame, path: str, partition_by: str = "year_date",
 
 
 def read_written(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read back a table this library wrote, with its declared schema: no
-    footer-reading job to infer what is already known."""
+    """Read a stored table whose columns must be those of its declared schema.
+
+    Reading with a schema alone would give nulls for a column that the files
+    do not have, so the stored footer is compared first.
+    """
+    stored = spark.read.parquet(path).schema
+    got = {f.name: f.dataType for f in stored.fields}
+    want = {f.name: f.dataType for f in schema.fields}
+    if got != want:
+        raise SchemaMismatchError(f"{path} stores {got}, the contract is {want}")
     return spark.read.schema(schema).parquet(path)
 
 

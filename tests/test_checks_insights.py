@@ -27,10 +27,25 @@ def test_check_counts(spark):
     assert len(checks.enforce(report, "t", mode="warn")[None]) == 3
 
 
-def test_in_plan_assertion_fails_the_job(spark):
-    df = spark.createDataFrame([(-1.0,)], "v double")
-    with pytest.raises(Exception):
-        checks.assert_in_plan(df, df.v >= 0, "negative").collect()
+def test_changes_only_between_neighbouring_years(spark):
+    rel = spark.createDataFrame(
+        [("BE", y, v) for y, v in ((2005, 10.0), (2006, 9.5), (2010, 5.0), (2011, 4.0))]
+        + [("NL", y, float(y)) for y in (2005, 2006, 2007)], "country string, year bigint, marriage_rate double")
+    got = {r.country: (r.drop_year, r["drop"]) for r in insights.marriage_rate_drop(rel).collect()}
+    assert got == {"BE": (2011, -1.0), "NL": (None, None)}
+    gaps = rel.selectExpr("country", "year", "marriage_rate AS gender_pay_gap", "1.0D AS hours_worked_delta",
+                          "marriage_rate AS employed_m", "0.0D AS employed_f", "0.0D AS accidents_m",
+                          "marriage_rate AS accidents_f")
+    moves = {r.country: r for r in insights.gap_comovement(gaps).collect()}
+    assert moves["BE"].pay_changes == 2 and moves["NL"].pay_changes == 2
+    assert moves["BE"].employed_agree == 1.0 and moves["BE"].accidents_agree == 0.0
+
+
+def test_panel_correlation_is_one_row(spark):
+    rel = spark.createDataFrame([(1.0, 2.0, 3.0), (2.0, 4.0, 1.0), (3.0, 6.0, 2.0)],
+                                "gender_pay_gap double, marriage_rate double, divorce_rate double")
+    rows = insights.pay_gap_correlation(rel, by=None).collect()
+    assert len(rows) == 1 and rows[0].corr_marriage == 1.0 and rows[0].corr_divorce == -0.5
 
 
 def test_empty_input_and_filter_matching_nothing(spark):

@@ -5,7 +5,8 @@ import pytest
 import __spark_entry__ as entry_mod
 from panelforge.contracts import ANALYTICS_SCHEMAS, STAGING_SCHEMAS
 from panelforge.plans.analytics import Extracts
-from panelforge.plans.refresh import refresh
+from panelforge.plans.refresh import init_targets, refresh
+from panelforge.plans.registry import QUERIES
 from panelforge.sources import sinks
 from tests.conftest import SF_MID, SF_SMALL, rows
 from tools.oracle_check import compare, duck
@@ -57,7 +58,7 @@ def con():
     return duck(SF_SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(entry_mod.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     oracle = entry_mod.oracle_sql()
     assert name in oracle, f"{name} has no oracle SQL"
@@ -76,7 +77,9 @@ def test_refresh_local_matches_queries(spark, scratch):
 
 
 def test_refresh_cloud_is_idempotent(spark, scratch):
-    first = refresh(spark, SF_SMALL, scratch, variant="cloud")
+    with pytest.raises(sinks.MissingTargetError):
+        refresh(spark, SF_SMALL, scratch, variant="cloud")
+    first = refresh(spark, SF_SMALL, scratch, variant="cloud", previous=init_targets(spark, scratch))
     second = refresh(spark, SF_SMALL, scratch, variant="cloud", previous=first.paths)
     for name in ("staging.hours_worked", "analytics.gender_gap"):
         a = spark.read.parquet(first.paths[name])
@@ -89,14 +92,33 @@ def test_refresh_cloud_is_idempotent(spark, scratch):
         STAGING_SCHEMAS["employed"].names
 
 
-def test_staging_checks_halt_before_the_sink(spark, scratch, monkeypatch):
+def landed(spark, extracts):
+    """The seven extracts as in-memory frames: nothing of the TPC-H tables is read."""
+    return {n: spark.createDataFrame(extracts.wide[n].collect(), extracts.wide[n].schema)
+            for n in extracts.wide}
+
+
+def test_refresh_from_extracts_alone(spark, scratch, extracts):
+    wide = landed(spark, extracts)
+    res = refresh(spark, wide, scratch, variant="local")
+    rel = spark.read.parquet(res.paths["analytics.relationships"])
+    assert rows(rel) == rows(extracts.final("relationships", with_year_date=False))
+
+
+def test_negative_values_halt_before_the_sink(spark, scratch, extracts):
     from panelforge.operators import checks
-    from panelforge.plans import refresh as refresh_mod
-    monkeypatch.setattr(refresh_mod, "STAGING_CHECKS", {"not_null": ("country", "year"),
-                                                         "non_negative": ("year",),
-                                                         "unique": ("country",)})
-    with pytest.raises(checks.QualityCheckError):
-        refresh_mod.refresh(spark, SF_SMALL, scratch, variant="local")
+    wide = landed(spark, extracts)
+    wide["employed"] = wide["employed"].withColumn("_1997", -wide["employed"]["_1997"])
+    with pytest.raises(checks.QualityCheckError, match="employed_m"):
+        refresh(spark, wide, scratch, variant="local")
+
+
+def test_a_measured_zero_survives_the_load(spark):
+    from panelforge.contracts import DATASETS
+    from panelforge.plans.load import load_table
+    wide = spark.createDataFrame([("A", "RATE", "BE", 0.0, None)],
+                                 "freq string, indic_de string, country string, _1995 double, `1996` double")
+    assert rows(load_table(wide, DATASETS["marriage_rate"])) == [("BE", 1995, 0.0)]
 
 
 def test_fanout_doubles_every_key(spark):

@@ -45,7 +45,7 @@ def test_sizing_conf_scales_with_input():
     from panelforge.session import sizing_conf
     small = sizing_conf(40 * 1024 * 1024)
     big = sizing_conf(100 * 1024 ** 4)
-    assert small["spark.sql.shuffle.partitions"] == "200"
-    assert big["spark.sql.shuffle.partitions"] == "200000"  # capped
+    assert small["spark.sql.shuffle.partitions"] == "1"
+    assert big["spark.sql.shuffle.partitions"] == str(4 * 100 * 1024)
     mid = sizing_conf(10 * 1024 ** 4)
     assert mid["spark.sql.shuffle.partitions"] == str(10 * 1024 ** 4 // (256 * 1024 ** 2))

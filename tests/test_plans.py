@@ -4,7 +4,7 @@ from panelforge.contracts import DATASETS
 from panelforge.plans.load import load_table
 from panelforge.plans.staging import stage_table
 from panelforge.sources import sinks
-from panelforge.sources.extracts import read_cube
+from panelforge.sources.extracts import read_cube, recipes
 from tests.conftest import SF_SMALL
 
 
@@ -23,11 +23,17 @@ def test_load_from_a_landed_extract_has_no_shuffle(spark, scratch):
 
 
 def test_cube_prunes_columns_and_aggregates_before_the_shuffle(spark):
-    text = read_cube(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    wanted = recipes()
+    text = read_cube(spark, SF_SMALL, wanted.values())._jdf.queryExecution().executedPlan().toString()
     assert ("ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double,"
             "l_returnflag:string,l_linestatus:string>") in text
     first_exchange = text.index("Exchange hashpartitioning(l_orderkey")
     assert text.find("partial_sum(l_quantity", first_exchange) > first_exchange  # below it
+    assert "Expand" not in text and "hashpartitioning(c_nationkey" not in text.split("o_custkey")[0]
+    counts = plan(read_cube(spark, SF_SMALL, [wanted["divorce_rate"]]))
+    assert "ReadSchema: struct<l_orderkey:bigint>" in counts
+    hours = plan(read_cube(spark, SF_SMALL, [wanted["hours_worked"]]))
+    assert "l_linenumber" not in hours and "Expand" not in hours
 
 
 def test_staging_pivot_is_one_shuffle(spark):

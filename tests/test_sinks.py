@@ -47,6 +47,13 @@ def test_upsert_requires_existing_target(spark, scratch):
                           f"{scratch}/t1", schema=REL)
 
 
+def test_a_target_that_breaks_its_contract_is_not_read_as_nulls(spark, scratch):
+    stored = rel(spark, [("BE", 2005, 1.0)]).withColumnRenamed(REL.names[-1], "misnamed")
+    stored.write.parquet(f"{scratch}/t0")
+    with pytest.raises(sinks.SchemaMismatchError):
+        sinks.upsert_sink(spark, rel(spark, [("BE", 2006, 1.0)]), f"{scratch}/t0", f"{scratch}/t1", schema=REL)
+
+
 def test_upsert_into_initialised_empty_table(spark, scratch):
     target = sinks.init_table(spark, REL, f"{scratch}/empty")
     out = sinks.upsert_sink(spark, rel(spark, [("BE", 2005, 1.0)]), target, f"{scratch}/t1", schema=REL)

@@ -40,10 +40,11 @@ def test_hot_keys_keep_results_exact(spark, skewed_dir, name):
 
 def test_hot_order_collapses_before_the_join(spark, skewed_dir):
     """After the map-side pre-aggregation a hot order is at most one row per
-    (flag, status) plus one order-level row, whatever its line count."""
-    from panelforge.sources.extracts import line_cells
+    (flag, status), and one row where orders are counted, whatever its line count."""
+    from panelforge.sources.extracts import MEASURES, line_cells, order_cells
     lines = spark.read.parquet(f"{skewed_dir}/lineitem.parquet")
-    per_order = line_cells(lines).groupBy("l_orderkey").count()
+    per_order = line_cells(lines, list(MEASURES)).groupBy("l_orderkey").count()
+    assert order_cells(lines).groupBy("l_orderkey").count().filter("count > 1").isEmpty()
     hot = lines.groupBy("l_orderkey").count().orderBy(F.desc("count")).first()
     assert hot["count"] > lines.count() / 4
-    assert per_order.filter(F.col("l_orderkey") == hot["l_orderkey"]).first()["count"] <= 7
+    assert per_order.filter(F.col("l_orderkey") == hot["l_orderkey"]).first()["count"] <= 6
