@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -161,6 +162,26 @@ class RecentCache:
         self.young[key] = value
 
 
+class Entries:
+    """Entries of various lengths in one array, fetched by number."""
+
+    def __init__(self, store: np.ndarray, lengths: np.ndarray):
+        self.store, self.lengths = store, lengths
+        self.starts = np.cumsum(lengths) - lengths
+
+    def row(self, numbers: np.ndarray) -> np.ndarray:
+        """The numbered entries one after the other."""
+        n = self.lengths[numbers]
+        return self.store[np.repeat(self.starts[numbers] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
+
+def distinct(parts: list[list[str]]) -> tuple[np.ndarray, list[str]]:
+    """Numbers of all strings of all parts, and the strings by number."""
+    flat = np.array([*chain.from_iterable(parts), None], dtype=object)[:-1]  # stays one-dimensional
+    codes, found = pd.factorize(flat)
+    return codes, list(found)
+
+
 def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component): every node of ``edges`` (a, b) with the smallest node it reaches.
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 from array import array
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -27,11 +27,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import RecentCache, column, id_and_text, pieces_of
+from .common import Entries, RecentCache, column, distinct, id_and_text, pieces_of
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 1024
-_CACHE_STRETCHES = 400_000  # in each of the two generations that a worker keeps
+_CACHE_STRETCHES = 800_000  # in each of the two generations that a worker keeps
 _CACHE_CHARS = 48           # longer stretches are computed each time
 _CACHE_PAIRS = 200_000
 _NEVER = 1 << 60            # the rank of a pair that does not merge
@@ -73,6 +73,7 @@ class PrefixCounter:
         self._pairs = RecentCache(_CACHE_PAIRS)
         self._edges: tuple[dict, dict] = {}, {}
         self._after_space = RecentCache(_CACHE_STRETCHES)
+        self._tails: dict[str, list[int]] = {}
         self._previous: tuple[bytes, list[int], list[bytes]] = b"", [0], [b""]
 
     def _merged(self, text: bytes) -> list[bytes]:
@@ -211,7 +212,13 @@ class PrefixCounter:
             if word.isalpha():  # a word and marks: two pre-tokens
                 counts = self._chars(" " + word)
                 if len(word) < len(stretch):
-                    counts = counts + [counts[-1] + n for n in self._chars(stretch[len(word):])]
+                    marks = stretch[len(word):]
+                    tail = self._tails.get(marks)
+                    if tail is None:
+                        tail = self._chars(marks)
+                        if len(marks) <= 3:  # of few marks, so the table stays small
+                            self._tails[marks] = tail
+                    counts = counts + [counts[-1] + n for n in tail]
                 made = array("h", [n - before for n, before in zip(counts, [0, *counts])]).tobytes()
             else:
                 inner = bool(stretch) and not stretch[0].isspace() and not stretch[-1].isspace()
@@ -220,24 +227,41 @@ class PrefixCounter:
                 self._after_space.put(stretch, made)
         return made
 
-    def prepare(self, texts: list[str]) -> None:
-        """Compute the new stretches of some texts in alphabetic order: neighbours share prefixes."""
-        fresh = set(chain.from_iterable([text.split(" ")[1:] for text in texts]))
-        for stretch in sorted([s for s in fresh if len(s) <= _CACHE_CHARS]):
-            self._stretch(stretch)
-
     def _plain(self, text: str) -> bytes:
         stretches = text.split(" ")
         if not stretches[0] or stretches[0][-1].isspace():
             return self._units(text)
-        found = list(map(self._after_space.young.get, stretches))
-        found[0] = self._units(stretches[0])
-        for i, known in enumerate(found):
-            if not known:
-                found[i] = self._stretch(stretches[i])
-                if not found[i]:
-                    return self._units(text)
-        return b"".join(found)
+        found = [self._units(stretches[0]), *map(self._stretch, stretches[1:])]
+        return b"".join(found) if all(found) else self._units(text)
+
+    def _differences(self, stretches: list[str]) -> list[bytes]:
+        """Those of distinct stretches.  New ones are computed in alphabetic order: neighbours
+        share prefixes."""
+        found = list(map(self._after_space.find, stretches))
+        fresh = [i for i, known in enumerate(found) if known is None]
+        for i in sorted(fresh, key=stretches.__getitem__):
+            found[i] = self._stretch(stretches[i])
+        return found
+
+    def tables(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """``table`` of many texts: each distinct stretch is looked up once."""
+        parts = [text.split(" ") for text in texts]
+        codes, stretches = distinct([part[1:] for part in parts])
+        found = self._differences(stretches)
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 2
+        entries = Entries(np.frombuffer(b"".join(found), np.int16), lengths)
+        at = 0
+        for text, part in zip(texts, parts):
+            own = codes[at:at + len(part) - 1]
+            at += len(part) - 1
+            open_end = not part[0] or part[0][-1].isspace()
+            if open_end or (lengths[own] == 0).any() or self._special.search(text):
+                yield self.table(text)
+                continue
+            first = np.frombuffer(self._units(part[0]), np.int16)
+            counts = np.zeros(len(text) + 1, np.int32)
+            np.cumsum(np.concatenate([first, entries.row(own)]), out=counts[1:], dtype=np.int32)
+            yield counts
 
     def table(self, text: str) -> np.ndarray:
         """counts[i]: tokens of the first i characters."""
@@ -291,8 +315,7 @@ def prefix_token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "
             for raws in pieces_of(column(batch, "text"), size):
                 raw = [r or b"" for r in raws]
                 texts = [r.decode() for r in raw]
-                counter.prepare(texts)
-                counts = [counter.table(t) for t in texts]
+                counts = list(counter.tables(texts))
                 totals = [int(c[-1]) for c in counts]
                 out = [pa.array(list(islice(ids, len(raw))), pa.int64()), pa.array([len(t) for t in raw], pa.int64()),
                        pa.array(totals, pa.int64()), pa.array([n > limit for n in totals]),
