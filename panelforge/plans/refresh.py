@@ -12,9 +12,10 @@ Two variants share the code path:
   the previous run's tables; the final tables are partitioned by
   ``year_date`` and clustered by ``country``.
 
-Plain Parquet has no atomic in-place merge, so every run writes its own
-folder (``<out>/run-<id>/<layer>/<table>``) and returns the paths; the next
-run takes them as ``previous``.
+Every run writes its own folder (``<out>/run-<id>/<layer>/<table>``) and
+returns the paths; the next run takes them as ``previous``.  Only the final
+tables, once partitioned, stay where they are: a run merges the partitions it
+touches in its own folder and then replaces just those.
 """
 
 from __future__ import annotations
@@ -162,10 +163,13 @@ def refresh(spark: SparkSession, source: str | Mapping[str, DataFrame], out_dir:
         path = f"{run_dir}/analytics/{name}"
         if variant == "cloud":
             schema = ANALYTICS_SCHEMAS[name]
+            target = previous[f"analytics.{name}"]
+            old = sinks.read_target(spark, target, schema)
+            if sinks.is_partitioned(old):
+                return sinks.upsert_partitions(spark, finals[name], target, path, schema)
             sinks.assert_schema(finals[name], schema)
             if not duplicate_key_rows(finals[name], sinks.KEYS).isEmpty():
                 raise sinks.DuplicateKeyError(f"analytics.{name} repeats keys {list(sinks.KEYS)}")
-            old = sinks.read_target(spark, previous[f"analytics.{name}"], schema)
             sinks.partitioned_sink(sinks.merge_rows(old, finals[name]), path)
         else:
             sinks.replace_sink(finals[name].orderBy("country", "year"), path)

@@ -5,18 +5,25 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
+# Results depend on these: a bad year label must raise, a date must not move by a day.
+_REQUIRED = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
+}
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.ansi.enabled": "true",
+    "spark.sql.sources.partitionOverwriteMode": "static",
+}
+# Fixed once the JVM runs, so only for sessions that this module starts on one machine.
+_LOCAL = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.sql.sources.partitionOverwriteMode": "static",
     # Python call-site capture costs several JVM round trips per column
     # function; plans here are built from hundreds of them.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -46,32 +53,50 @@ def sizing_conf(input_bytes: int, advisory_bytes: int = ADVISORY_PARTITION_BYTES
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "panelforge", driver_memory: str | None = None,
-                  input_bytes: int | None = None) -> SparkSession:
+                  input_bytes: int | None = None,
+                  conf: Mapping[str, str] | None = None) -> SparkSession:
     """Return a session with the settings the library relies on.
 
-    On a cluster the master and most settings come from spark-submit; here we
-    only fill in what is missing.  Pass ``input_bytes`` to size the shuffles
-    from the data (``sizing_conf``); ``shuffle_partitions`` overrides the
-    count (tests use the core count).
+    On a cluster the master and most settings come from spark-submit; here
+    only what is missing is filled in, so a setting that is given stays.  The
+    two that results depend on (``_REQUIRED``) raise where another value is
+    given.  Pass ``input_bytes`` to size the shuffles from the data
+    (``sizing_conf``); ``shuffle_partitions`` sets the count itself (tests use
+    the core count) and ``conf`` any other setting.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in _DEFAULTS.items():
+    local = _LOCAL if master and is_local_master(master) else {}
+    for key, value in {**local, **(conf or {})}.items():
         builder = builder.config(key, value)
-    if input_bytes:
-        for key, value in sizing_conf(input_bytes).items():
-            builder = builder.config(key, value)
     if driver_memory:  # only effective when this call starts the JVM (local runs)
         builder = builder.config("spark.driver.memory", driver_memory)
-    if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
+    sizes = sizing_conf(input_bytes) if input_bytes else {}
+    fill_settings(spark, {**_REQUIRED, **_DEFAULTS, **sizes})
+    if shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
     return spark
 
 
+class SettingError(ValueError):
+    pass
+
+
+def fill_settings(spark: SparkSession, settings: Mapping[str, str]) -> None:
+    """Set what the session was not given; raise where a required value differs."""
+    given = spark.conf.getAll
+    wrong = {k: given[k] for k, v in _REQUIRED.items() if k in given and given[k].lower() != v.lower()}
+    if wrong:
+        raise SettingError(f"given {wrong}, results need {_REQUIRED}")
+    for key, value in settings.items():
+        if key not in given:
+            spark.conf.set(key, value)
+
+
 class MissingCheckpointDirError(RuntimeError):
     pass
 

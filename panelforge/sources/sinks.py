@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
@@ -122,7 +123,7 @@ def upsert_sink(spark: SparkSession, source: DataFrame, target_path: str, output
 
 
 def partitioned_sink(df: DataFrame, path: str, partition_by: str = "year_date",
-                     cluster_by: Sequence[str] = ("country",)) -> str:
+                     cluster_by: Sequence[str] = ("country",), overwrite: str = "static") -> str:
     """Date-partitioned folders, rows sorted by the cluster keys inside files.
 
     ``REBALANCE`` on the partition column lets AQE size the write tasks from
@@ -130,14 +131,53 @@ def partitioned_sink(df: DataFrame, path: str, partition_by: str = "year_date",
     date holding a large share of the rows is split across several tasks
     (no sampling job, unlike a range partitioning).  Sorting by the cluster
     keys inside each task gives row groups tight ``country`` min/max
-    statistics for data skipping.
+    statistics for data skipping.  ``overwrite="dynamic"`` replaces only the
+    partitions that ``df`` holds.
     """
     laid_out = (df.hint("rebalance", partition_by)
                 .sortWithinPartitions(partition_by, *cluster_by))
-    laid_out.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    (laid_out.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+     .partitionBy(partition_by).parquet(path))
     return path
 
 
+def is_partitioned(df: DataFrame, partition_by: str = "year_date") -> bool:
+    """Whether a stored table has files and all of them lie in folders of ``partition_by``."""
+    files = df.inputFiles()
+    return bool(files) and all(f"/{partition_by}=" in f for f in files)
+
+
+def upsert_partitions(spark: SparkSession, source: DataFrame, target_path: str, staging_path: str,
+                      schema: StructType, keys: Sequence[str] = KEYS,
+                      partition_by: str = "year_date") -> str:
+    """Keyed upsert into a partitioned table that rewrites only the partitions ``source`` touches.
+
+    The key must determine the partition.  Touched partitions are merged into
+    ``staging_path`` and then replace their folders in ``target_path`` by a
+    dynamic partition overwrite; the files of all others stay.  The commit
+    moves folder by folder, so it is not atomic: a reader may meet new and old
+    partitions side by side, and a run that ended midway is mended by running
+    it again.
+    """
+    if staging_path.rstrip("/") == target_path.rstrip("/"):
+        raise ValueError("the merged partitions must be staged outside their table")
+    assert_schema(source, schema)
+    if not duplicate_key_rows(source, keys).isEmpty():
+        raise DuplicateKeyError(f"source repeats keys {list(keys)}")
+    target = read_target(spark, target_path, schema)
+    # at most one value per folder; as literals they prune the scan to the touched folders
+    touched = [r[0] for r in source.select(partition_by).distinct().collect()]
+    if not touched:
+        return target_path
+    column = F.col(partition_by)
+    old = target.filter(column.isin([v for v in touched if v is not None])
+                        | (column.isNull() & F.lit(None in touched)))
+    merged = merge_rows(old.select(*schema.names), source, keys)
+    staged = partitioned_sink(merged, staging_path, partition_by)
+    partitioned_sink(spark.read.schema(schema).parquet(staged), target_path, partition_by, overwrite="dynamic")
+    return target_path
+
+
 def read_written(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Read a stored table whose columns must be those of its declared schema.
 

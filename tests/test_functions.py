@@ -49,3 +49,22 @@ def test_sizing_conf_scales_with_input():
     assert big["spark.sql.shuffle.partitions"] == str(4 * 100 * 1024)
     mid = sizing_conf(10 * 1024 ** 4)
     assert mid["spark.sql.shuffle.partitions"] == str(10 * 1024 ** 4 // (256 * 1024 ** 2))
+
+
+def test_given_settings_stay(spark):
+    from panelforge.session import SettingError, fill_settings
+    session = spark.newSession()
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+    session.conf.unset("spark.sql.files.maxPartitionBytes")
+    fill_settings(session, {"spark.sql.adaptive.enabled": "true", "spark.sql.files.maxPartitionBytes": "1048576"})
+    assert session.conf.get("spark.sql.adaptive.enabled") == "false"
+    assert session.conf.get("spark.sql.files.maxPartitionBytes") == "1048576"
+    session.conf.set("spark.sql.session.timeZone", "America/New_York")
+    with pytest.raises(SettingError, match="New_York"):
+        fill_settings(session, {})
+
+
+def test_only_one_jvm_counts_as_local():
+    from panelforge.session import is_local_master
+    assert is_local_master("local") and is_local_master("local[8]")
+    assert not is_local_master("local-cluster[3,2,1024]")

@@ -106,6 +106,43 @@ def test_partition_filter_prunes_folders(spark, scratch):
     assert q.count() == 1
 
 
+def test_upsert_rewrites_only_touched_partitions(spark, scratch):
+    import os
+
+    def files(table, year):
+        folder = f"{table}/year_date={year}-12-31"
+        return {f: os.stat(f"{folder}/{f}").st_mtime_ns for f in os.listdir(folder)}
+
+    table = sinks.partitioned_sink(
+        rel(spark, [("BE", 2005, 1.0), ("BE", 2006, 2.0), ("NL", 2006, 3.0), ("DE", None, 4.0)]), f"{scratch}/t")
+    untouched, touched = files(table, 2005), files(table, 2006)
+    source = rel(spark, [("BE", 2006, 9.0), ("FR", 2007, 5.0)])
+    for i in range(2):  # the second run changes nothing
+        sinks.upsert_partitions(spark, source, table, f"{scratch}/staged{i}", REL)
+        assert rows(sinks.read_partitioned(spark, table, REL), "country", "year", "marriage_rate") == rows(
+            rel(spark, [("BE", 2005, 1.0), ("BE", 2006, 9.0), ("NL", 2006, 3.0), ("FR", 2007, 5.0),
+                        ("DE", None, 4.0)]), "country", "year", "marriage_rate")
+    assert files(table, 2005) == untouched and files(table, 2006) != touched
+
+
+def test_upsert_of_partitions_without_rows_or_with_bad_keys(spark, scratch):
+    table = sinks.partitioned_sink(rel(spark, [("BE", 2005, 1.0), ("BE", None, 2.0)]), f"{scratch}/t")
+    sinks.upsert_partitions(spark, rel(spark, []), table, f"{scratch}/s0", REL)
+    sinks.upsert_partitions(spark, rel(spark, [("NL", None, 3.0)]), table, f"{scratch}/s1", REL)
+    assert rows(spark.read.parquet(table), "country", "marriage_rate") == [("BE", 1.0), ("BE", 2.0), ("NL", 3.0)]
+    with pytest.raises(sinks.DuplicateKeyError):
+        sinks.upsert_partitions(spark, rel(spark, [("BE", 2005, 1.0)] * 2), table, f"{scratch}/s2", REL)
+    with pytest.raises(ValueError):
+        sinks.upsert_partitions(spark, rel(spark, [("BE", 2005, 1.0)]), table, table, REL)
+
+
+def test_only_partitioned_tables_count_as_such(spark, scratch):
+    flat = sinks.init_table(spark, REL, f"{scratch}/flat")
+    table = sinks.partitioned_sink(rel(spark, [("BE", 2005, 1.0)]), f"{scratch}/t")
+    assert not sinks.is_partitioned(spark.read.parquet(flat))
+    assert sinks.is_partitioned(spark.read.parquet(table))
+
+
 def test_land_wide_renames_and_rejects_empty(spark, scratch):
     from pyspark.sql.types import DoubleType, StringType, StructField, StructType
     schema = StructType([StructField("freq", StringType()), StructField("geo\\TIME_PERIOD", StringType()),

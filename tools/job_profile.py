@@ -24,11 +24,10 @@ def main() -> None:
     name = sys.argv[1]
     sf_dir = sys.argv[2] if len(sys.argv) > 2 else "/root/testdata/sf0.01"
     log_dir = tempfile.mkdtemp(prefix="panelforge-events-")
-    from panelforge import session
-    session._DEFAULTS.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
-                              "spark.eventLog.compress": "false"})
+    from panelforge.session import build_session
     from panelforge.plans.registry import QUERIES
-    spark = session.build_session("local[8]", 8)
+    spark = build_session("local[8]", 8, conf={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
+                                               "spark.eventLog.compress": "false"})
     QUERIES[name](spark, sf_dir).collect()
     start = time.time() * 1000
     QUERIES[name](spark, sf_dir).collect()

@@ -16,14 +16,14 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from panelforge.plans.analytics import Extracts  # noqa: E402
 from panelforge.session import build_session  # noqa: E402
-from panelforge.sources.extracts import read_cube  # noqa: E402
+from panelforge.sources.extracts import read_cube, recipes  # noqa: E402
 
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", 8)
     sections = {
-        "measure cube (raw tables)": read_cube(spark, sf_dir),
+        "measure cube (raw tables)": read_cube(spark, sf_dir, recipes().values()),
     }
     ex = Extracts(spark, sf_dir)
     sections["load_employed (from the written cube)"] = ex.load("employed")
