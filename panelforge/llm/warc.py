@@ -2,7 +2,8 @@
 
 Writing.  Records are cut into shards by ranges of the page id.  The cuts come
 from exact byte sums over equal id blocks, not from sampling, so the same input
-always gives the same files.  Inside a shard records are sorted; a task streams
+always gives the same files.  Every shard is one partition, and so is its
+reading.  Inside a shard records are sorted; a task streams
 them into gzip members and rolls to a new file when the compressed size is
 reached.  HTTP headers, WARC headers and digests are regenerated.
 
@@ -122,23 +123,22 @@ def _sharded(pages: DataFrame, shard_bytes: int) -> tuple[Column, int]:
     """The shard of a page by its id, cut at exact sums of payload bytes, and the shard count."""
     low, high = pages.agg(F.min("page_id"), F.max("page_id")).first()
     if low is None:
-        return F.lit(0).cast("long"), 1
-    width = max(1, -(-(high - low + 1) // ID_BLOCKS))
-    block = F.floor((F.col("page_id") - low) / F.lit(width)).cast("long")
-    sizes = pages.groupBy(block.alias("block")).agg(F.sum("payload_bytes").alias("size")).collect()
-    cuts, size = [], 0  # first block of every shard but the first
-    for row in sorted((r for r in sizes if r["block"] is not None), key=lambda r: r["block"]):
-        if size and size + row["size"] > shard_bytes:
-            cuts.append(row["block"])
-            size = 0
-        size += row["size"]
-    if not cuts:
-        return F.lit(0).cast("long"), 1
-    bounds = F.array(*[F.lit(c).cast("long") for c in cuts]) if len(cuts) <= 200 else None
-    if bounds is None:  # many shards: the cuts as one literal that is parsed once
-        bounds = F.from_json(F.lit(str(cuts)), "array<bigint>")
-    shard = F.size(F.filter(bounds, lambda cut: cut <= block)).cast("long")
-    return F.when(F.col("page_id").isNull(), F.lit(0)).otherwise(shard).cast("long"), len(cuts) + 1
+        return F.lit(0), 1
+    bits = 0  # an id block is 2 ** bits ids
+    while (high >> bits) - (low >> bits) >= ID_BLOCKS:
+        bits += 1
+    block = (F.shiftright("page_id", bits) - (low >> bits)).cast("int")
+    sizes = dict(pages.filter("page_id IS NOT NULL").groupBy(block.alias("block"))
+                 .agg(F.sum("payload_bytes")).collect())  # at most one row per id block
+    shards, shard, size = [], 0, 0  # by block number
+    for number in range(max(sizes) + 1):
+        more = sizes.get(number, 0)
+        if size and size + more > shard_bytes:
+            shard, size = shard + 1, 0
+        size += more
+        shards.append(shard)
+    of_block = F.from_json(F.lit(str(shards)), "array<int>")  # a constant, so it is parsed once
+    return F.coalesce(F.get(of_block, block), F.lit(0)), shard + 1
 
 
 def write_archives(pages: DataFrame, root: str, id_col: str = "page_id", url_col: str = "url",
@@ -171,8 +171,7 @@ def write_archives(pages: DataFrame, root: str, id_col: str = "page_id", url_col
                         F.lit(0).alias("kind")))
     records = rows.withColumns({"holder": F.lit(None).cast("long"), "kind": F.lit(1)})
     both = verdicts.unionByName(records).withColumn("shard", shard)
-    parts = max(n_shards, int(spark.conf.get("spark.sql.shuffle.partitions"))) if n_shards > 1 else 1
-    both = both.repartition(parts, "shard").sortWithinPartitions(
+    both = both.repartitionById(n_shards, "shard").sortWithinPartitions(
         "shard", "page_id", "digest", "kind", "url")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,9 +269,9 @@ def read_archives(manifest: DataFrame, root: str, payloads: bool = False) -> Dat
                     if rows:
                         yield pa.RecordBatch.from_pylist(rows, _RECORDS_ARROW)
 
-    files = manifest.select("name")
-    n = max(1, files.count())
-    return files.repartition(n, "name").mapInArrow(read, RECORDS)
+    n_shards = (manifest.agg(F.max("shard")).first()[0] or 0) + 1
+    files = manifest.select("name", F.col("shard").cast("int").alias("shard"))
+    return files.repartitionById(n_shards, "shard").select("name").mapInArrow(read, RECORDS)
 
 
 _RECORDS_ARROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()),

@@ -526,6 +526,17 @@ def test_warc_files_are_the_same_in_every_run(spark, tmp_path):
     assert found[0] == found[1]
 
 
+def test_warc_shards_follow_the_ids_at_any_range(spark):
+    ids = [-2 ** 63, -7, -1, 0, 1, 2 ** 53, 2 ** 53 + 1, 2 ** 63 - 1]
+    for part in (ids, [4, 5, 6, 7], [-2 ** 63, -2 ** 63 + 1]):
+        df = spark.createDataFrame([(i, 10) for i in part] + [(None, 10)], "page_id long, payload_bytes long")
+        shard, n = warc._sharded(df, 10)
+        rows = df.select("page_id", shard.alias("shard")).collect()
+        known = [r.shard for r in sorted((r for r in rows if r.page_id is not None), key=lambda r: r.page_id)]
+        assert known == sorted(known) and set(known) == set(range(n)) and n > 1
+        assert [r.shard for r in rows if r.page_id is None] == [0]
+
+
 def test_warc_members_are_plain_gzip_records(spark, tmp_path):
     manifest = warc.write_archives(pages(spark), f"file://{tmp_path}/a")
     data = b"".join(gzip.open(tmp_path / "a" / m.name).read() for m in manifest.collect())
