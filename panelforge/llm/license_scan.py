@@ -1,8 +1,9 @@
 """Licence scan: TF-IDF cosine to templates, and inheritance along directories.
 
-A file is cut into segments at markup tags and line ends.  Every segment, and
-the file as a whole, is compared with notice templates by the cosine of sparse
-TF-IDF vectors.  Inverse document frequencies of the template terms are counted
+A file is cut into segments at markup tags and line ends.  Every segment, the
+file as a whole, and every run of as many terms as a template has, across
+segments and inside them, is compared with notice templates by the cosine of
+sparse TF-IDF vectors.  Inverse document frequencies of the template terms are counted
 over all files; a word of no template weighs as a term that no file has.
 
 A file that is named like a licence file licenses its directory; among web
@@ -18,6 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +27,8 @@ from pyspark.sql import functions as F
 from .common import Scratch, column, pick
 
 THRESHOLD = 0.6
+_CHUNK = 1 << 14  # terms whose runs are bounded at a time
+_SLACK = 1e-9     # scores this close are equal
 
 # Short forms of public licence notices.
 TEMPLATES = (
@@ -38,7 +42,12 @@ TEMPLATES = (
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of "
                 "the GNU General Public License as published by the Free Software Foundation, either version 3 "
                 "of the License, or any later version"),
+    ("GPL-3.0", "you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+                "published by the Free Software Foundation, either version 3 of the License, or any later version"),
     ("LGPL-3.0", "licensed under the GNU Lesser General Public License, version 3"),
+    # with the core of the GPL header above it, Lesser alone tells the two headers apart
+    ("LGPL-3.0", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+                 "published by the Free Software Foundation, either version 3 of the License, or any later version"),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are "
                      "permitted provided that the following conditions are met"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
@@ -59,7 +68,7 @@ def terms_of(text: str) -> list[str]:
 class TemplateIndex:
     """Normalised TF-IDF vectors of the templates, by term."""
 
-    def __init__(self, document_counts: dict[str, int], n_files: int):
+    def __init__(self, document_counts: dict[str, int], n_files: int, threshold: float = THRESHOLD):
         def idf(count: int) -> float:
             return math.log((1 + n_files) / (1 + count)) + 1
         self.idf = {t: idf(document_counts.get(t, 0)) for t in template_terms()}
@@ -70,6 +79,77 @@ class TemplateIndex:
             norm = math.sqrt(sum(w * w for w in weights.values()))
             for t, w in weights.items():
                 self.postings.setdefault(t, []).append((i, w / norm))
+        self.threshold = threshold
+        self.lengths = sorted({len(terms_of(text)) for _, text in TEMPLATES})
+        # columns of the last row: a term of no template
+        self.numbers = {t: k for k, t in enumerate(sorted(self.idf))}
+        self.gains = np.zeros((len(self.idf) + 1, len(TEMPLATES)))
+        self.squares = np.full(len(self.idf) + 1, self.unknown)
+        for t, k in self.numbers.items():
+            self.squares[k] = self.idf[t] ** 2
+            for i, v in self.postings[t]:
+                self.gains[k, i] = self.idf[t] * v
+        self.telling = self._telling()
+
+    def _telling(self) -> set[str]:
+        """Terms of which a run at the threshold holds one: all other terms of a template together lie below it."""
+        out = set()
+        for i in range(len(TEMPLATES)):
+            total = 0.0
+            for v, t in sorted((v, t) for t, found in self.postings.items() for j, v in found if j == i):
+                total += v * v
+                if total >= self.threshold ** 2 - _SLACK:
+                    out.add(t)
+        return out
+
+    def runs(self, terms: list[str]) -> Iterator[tuple[float, int, str]]:
+        """(cosine, start, licence) of the best run of each length, of equal ones the first; none without a telling term."""
+        if self.telling.isdisjoint(terms):
+            return
+        reach = self.lengths[-1]
+        at = np.array([i for i, t in enumerate(terms) if t in self.telling])
+        other = len(self.numbers)
+        ids = dict(self.numbers)
+        numbers = np.array([ids.setdefault(t, len(ids)) for t in terms])
+        breaks = np.flatnonzero(np.diff(at) >= 2 * reach)
+        for first, last in zip(at[np.r_[0, breaks + 1]], at[np.r_[breaks, len(at) - 1]]):
+            high = min(len(terms), last + reach)
+            for begin in range(max(0, first - reach + 1), high, _CHUNK):
+                part = numbers[begin:min(high, begin + _CHUNK + reach - 1)]
+                rows = np.minimum(part, other)
+                dots = np.zeros((len(part) + 1, len(TEMPLATES)))
+                np.cumsum(self.gains[rows], axis=0, out=dots[1:])
+                squares = self.squares[rows]
+                norms = np.zeros(len(part) + 1)
+                before = np.zeros(len(part))  # of each term, how often it stands in the n - 1 terms before it
+                for n in range(1, min(reach, len(part)) + 1):
+                    if n > 1:
+                        before[n - 1:] += part[n - 1:] == part[:len(part) - n + 1]
+                    # a count of c adds c squared, so its last term adds 2 c - 1
+                    norms = norms[:-1] + (squares * (1 + 2 * before))[n - 1:]
+                    if n in self.lengths:
+                        cosines = (dots[n:] - dots[:-n])[:_CHUNK] / np.sqrt(norms[:_CHUNK, None])
+                        best = cosines.max(axis=1)
+                        i = int(np.argmax(best >= best.max() - _SLACK))
+                        k = int(np.argmax(cosines[i] >= best[i] - _SLACK))
+                        yield float(best[i]), int(begin + i), TEMPLATES[k][0]
+
+    def notice(self, segments: list[list[str]]) -> tuple[float, str | None]:
+        """Best score of a file and its licence; of equal scores the one that begins first."""
+        found, start, whole = (0.0, None), 0, []
+        for terms in segments:
+            score = self.best(terms)
+            if score[0] > found[0] + _SLACK:
+                found, start = score, len(whole)
+            whole += terms
+        score = self.best(whole)
+        if score[0] > found[0] + _SLACK:
+            found, start = score, 0
+        for score, begin, name in self.runs(whole):
+            if score >= self.threshold - _SLACK and (
+                    score > found[0] + _SLACK or score >= found[0] - _SLACK and begin < start):
+                found, start = (score, name), begin
+        return found
 
     def best(self, terms: list[str]) -> tuple[float, str | None]:
         """Highest cosine and its licence; of equal ones the first template's."""
@@ -114,19 +194,10 @@ def _own_notices(files: DataFrame, index: TemplateIndex, threshold: float) -> Da
         for batch in parts:
             found = []
             for text in column(batch, "text"):
-                best, opening, whole = (0.0, None), False, []
-                first = True
-                for segment in _SEGMENT.split(text or ""):
-                    terms = terms_of(segment)
-                    if not terms:
-                        continue
-                    whole += terms
-                    score = index.best(terms)
-                    opening = opening or (first and score[0] >= threshold)
-                    best = max(best, score, key=lambda s: s[0])
-                    first = False
-                best = max(best, index.best(whole), key=lambda s: s[0])
-                found.append((best[0], best[1] if best[0] >= threshold else None, opening))
+                segments = [t for t in map(terms_of, _SEGMENT.split(text or "")) if t]
+                opening = bool(segments) and index.best(segments[0])[0] >= threshold
+                score, name = index.notice(segments)
+                found.append((score, name if score >= threshold else None, opening))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("file_id"), batch.column("path"), pa.array([f[0] for f in found], pa.float64()),
                  pa.array([f[1] for f in found], pa.string()), pa.array([f[2] for f in found], pa.bool_())],
@@ -139,7 +210,9 @@ def license_scan(df: DataFrame, id_col: str, path_col: str, text_col: str,
                  threshold: float = THRESHOLD, titles: bool = False) -> DataFrame:
     """file_id, path, own_license, score, is_license_file, inherited_from, license: one row per row of ``df``.
 
-    ``own_license`` is that of the best template at ``threshold`` or above;
+    ``own_license`` is that of the best template at ``threshold`` or above, in
+    a segment, the whole file or a run of terms (``score`` below the threshold
+    is that of segments and file alone);
     ``license`` is it, or else that of the nearest ancestor directory with a
     licence file, named in ``inherited_from``.  With ``titles`` a file whose
     first segment is a notice is a licence file too.  Of several licence files in a
@@ -150,7 +223,7 @@ def license_scan(df: DataFrame, id_col: str, path_col: str, text_col: str,
     scratch = Scratch(df.sparkSession, "licenses")
     files = pick(df, file_id=id_col, path=path_col, text=text_col).select(
         F.col("file_id").cast("long"), F.col("path").cast("string"), F.col("text").cast("string"))
-    index = TemplateIndex(*_document_counts(files))
+    index = TemplateIndex(*_document_counts(files), threshold)
     own = _own_notices(files, index, threshold)
     name = F.regexp_extract("path", r"([^/]*)$", 1)
     folder = F.when(F.col("path").contains("/"), F.regexp_replace("path", r"/[^/]*$", "")).when(

@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -488,6 +489,40 @@ def test_license_cosine_equals_dense_vectors():
     assert index.best([]) == (0.0, None)
 
 
+def test_license_notices_across_lines_and_inside_sentences(spark):
+    code = "\n".join(f"value_{i} = compute(value_{i - 1}, offset={i})" for i in range(1, 201))
+    lesser = ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+              "General Public License as published by the Free Software Foundation; either version 3 of the License, or "
+              "(at your option) any later version.")
+    notices = [*license_scan.TEMPLATES, ("LGPL-3.0", lesser), ("GPL-3.0", lesser.replace("Lesser ", ""))]
+    texts = []
+    for name, notice in notices:
+        for width in (30, 60):
+            texts.append((name, "\n".join(f"# {line}" for line in textwrap.wrap(notice, width)) + f"\n{code}"))
+        texts.append((name, f"{code}\nCopyright 2021 The Example Authors and others. {notice}, see the file at the top "
+                            f"of the tree for its details, or ask whoever gave you this file.\n{code}"))
+    texts.append((None, code))
+    df = spark.createDataFrame([(i, f"d{i}/a.py", t) for i, (_, t) in enumerate(texts)], "id long, p string, t string")
+    got = {r.file_id: (r.own_license, r.score) for r in license_scan.license_scan(df, "id", "p", "t").collect()}
+    for i, (name, text) in enumerate(texts):
+        assert got[i][0] == name, text[:400]
+        assert name is None or got[i][1] >= (0.99 if i < 3 * len(license_scan.TEMPLATES) else 0.85)
+
+
+def test_license_runs_equal_brute_force():
+    rng = random.Random(8)
+    vocabulary = sorted(license_scan.template_terms()) + [f"z{i}" for i in range(9)]
+    index = license_scan.TemplateIndex({t: rng.randrange(900) for t in vocabulary[::2]}, 1000)
+    for _ in range(120):
+        terms = [rng.choice(vocabulary[:rng.choice([5, 30, 99])]) for _ in range(rng.randrange(1, 120))]
+        terms[9:9] = [t for t in license_scan.terms_of(rng.choice(license_scan.TEMPLATES)[1]) if rng.random() < 0.9]
+        parts = [t for t in (terms[:7], terms[7:20], terms[20:]) if t]
+        units = max(index.best(t)[0] for t in [*parts, terms])
+        runs = max((index.best(terms[i:i + n])[0] for n in index.lengths for i in range(len(terms) - n + 1)), default=0)
+        want = max(units, runs) if runs >= license_scan.THRESHOLD else units
+        assert math.isclose(index.notice(parts)[0], want, abs_tol=1e-8)
+
+
 # ---- WARC
 
 PAGES = [(5, "http://a/5", "p" * 200), (3, "http://a/3", "p" * 200), (9, "http://a/9", "p" * 200), (1, "http://a/1", "short"),
