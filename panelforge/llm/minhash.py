@@ -81,6 +81,9 @@ def parity_sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
+_PRINTS = ["print_a", "print_b"]
+
+
 def signatures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """One row per input row: set size, fingerprint of the set, band keys, packed low bits, parities."""
@@ -176,10 +179,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     theirs and it is not kept, else its component is null and it is kept.
     Other columns are ignored.
     """
+    return _placed(df, id_col, text_col, shingle_words, threshold_percent).drop(*_PRINTS)
+
+
+def _placed(df: DataFrame, id_col: str, text_col: str, shingle_words: int = SHINGLE_WORDS,
+            threshold_percent: int = THRESHOLD_PERCENT) -> DataFrame:
+    """``near_duplicates`` with the fingerprint of every row's set."""
     spark = df.sparkSession
     scratch = Scratch(spark, "minhash")
     base = scratch.table(signatures(df, id_col, text_col, shingle_words), "signatures")
-    prints = ["print_a", "print_b"]
+    prints = _PRINTS
     heads = scratch.table(
         base.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*prints)
         .agg(F.min("doc_id").alias("head"), F.first("n_shingles").alias("n"),
@@ -251,16 +260,68 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .select(*prints, F.coalesce("component", "head").alias("component")), "classes")
     out = base.select("doc_id", "text_key", "n_shingles", *prints).join(classes, prints, "left")
     component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "text_key", "n_shingles", component.alias("component_id"),
+    return out.select("doc_id", "text_key", "n_shingles", *prints, component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          **options: int) -> DataFrame:
-    """``df`` with the row of the smallest id of every component; all columns stay."""
+    """``df`` with one row of every component; all columns stay.
+
+    It is that of the smallest id; of several, that of the smallest text key,
+    then of the smallest values in the order of the columns.  Different texts of
+    one id are judged each, so none goes with a text it is not linked to.  Rows
+    of null id stay only if no row with an id has their set, one for each set.
+    Rows without shingles are copies of nothing and all stay.
+    """
     names, flat = df.columns, numbered(df)
-    out = near_duplicates(df, id_col, text_col, **options).filter("NOT kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    scratch = Scratch(df.sparkSession, "survivors")
     text = F.col(f"c{names.index(text_col)}").cast("string").cast("binary")
-    return flat.join(out, F.col(f"c{names.index(id_col)}").cast("long").eqNullSafe(F.col("_id"))
-                     & F.xxhash64(text).eqNullSafe(F.col("_key")), "left_anti").toDF(*names)
+    flat = flat.withColumns({"_id": F.col(f"c{names.index(id_col)}").cast("long"), "_key": F.xxhash64(text)})
+
+    def same(left: DataFrame, right: DataFrame) -> Column:
+        return left["_id"].eqNullSafe(right["_id"]) & (left["_key"] == right["_key"])
+
+    # a component is named by its id; rows of null id alone by their set
+    keys = _placed(df, id_col, text_col, **options).filter("n_shingles > 0").groupBy(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), *_PRINTS).agg(
+        F.count(F.lit(1)).alias("n"), F.first("component_id").alias("component"))
+    keys = scratch.table(keys, "keys")
+    nameless = F.col("component").isNull()
+    named = keys.withColumns({"kind": F.when(nameless, 2).otherwise(0),
+                              "a": F.when(nameless, F.col("print_a")).otherwise(F.col("component")),
+                              "b": F.when(nameless, F.col("print_b")).otherwise(F.lit(0))})
+
+    # Where an id has several texts, its components are found again with a node for every set.
+    several = keys.filter("_id IS NOT NULL").groupBy("_id").agg(
+        F.min(F.struct(*_PRINTS)).alias("low"), F.max(F.struct(*_PRINTS)).alias("high")).filter("low <> high")
+    again = scratch.table(keys.join(several, "_id", "left_semi").select("component").distinct(), "again")
+    if again.take(1):
+        sets = keys.join(again, "component", "left_semi").groupBy(*_PRINTS).agg(
+            F.min(F.struct(F.col("_id").isNull(), "_id", "_key")).alias("least"))
+        sets = scratch.table(sets.select(*_PRINTS, "least._id", "least._key",
+                                         F.monotonically_increasing_id().alias("node")), "sets")
+        texts = flat.select("_id", "_key", text.alias("text"))
+        texts = scratch.table(texts.join(sets, same(texts, sets)).groupBy("node").agg(
+            F.min("text").alias("text")), "texts")
+        found = near_duplicates(texts, "node", "text", **options).select(
+            F.col("doc_id").alias("node"), F.col("component_id").alias("own"))
+        found = scratch.table(sets.select(*_PRINTS, "node").join(found, "node").drop("node"), "found")
+        own = F.col("own").isNotNull()
+        named = named.join(found, _PRINTS, "left").withColumns({
+            "kind": F.when(own, 1).otherwise(F.col("kind")), "a": F.coalesce("own", "a"),
+            "b": F.when(own, 0).otherwise(F.col("b"))})
+
+    stay = named.groupBy("kind", "a", "b").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_key")).alias("least"))
+    stay = scratch.table(stay.select("least._id", "least._key"), "stay")
+    one = scratch.table(keys.filter("n > 1").join(stay, same(keys, stay), "left_semi").select("_id", "_key"), "one")
+    gone = keys.join(stay, same(keys, stay), "left_anti").select("_id", "_key").unionByName(one)
+    gone = scratch.table(gone, "gone")
+    columns = [f"c{i}" for i in range(len(names))]
+    out = flat.join(gone, same(flat, gone), "left_anti").select(*columns)
+    if one.take(1):
+        ordered = [c for c, kind in flat.select(*columns).dtypes if "map<" not in kind and kind != "variant"]
+        rows = flat.join(one, same(flat, one), "left_semi").groupBy("_id", "_key").agg(
+            F.min_by(F.struct(*columns), F.struct(*ordered)).alias("row"))
+        out = out.unionByName(rows.select("row.*"))
+    return out.toDF(*names)

@@ -82,6 +82,30 @@ def test_stages_take_odd_rows(spark):
             assert out.columns == docs.columns
 
 
+def test_near_duplicate_stage_keeps_one_row_of_repeats(spark):
+    """Repeated rows, copies without an id, and several texts of one id."""
+    def words(name, n=60):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    def near(text, *, at):
+        parts = text.split()
+        return " ".join([*parts[:at], "changed", *parts[at + 1:]])
+    a, b, c, d, e, f = map(words, "abcdef")
+    rows = [(3, a, "y", "s", 1), (3, a, "x", "s", 1), (3, a, "y", "s", 1), (5, a, "x", "s", 1), (5, a, "x", "s", 1), (6, near(a, at=0), "x", "s", 1)]
+    rows += [(None, b, lang, "s", 1) for lang in ("z", "x", None, "y")] + [(None, a, "x", "s", 1)]
+    rows += [(7, c, "x", "s", 1), (7, d, "x", "s", 1), (7, d, "x", "s", 1), (8, near(d, at=0), "x", "s", 1)]  # unlinked texts of one id
+    rows += [(9, e, "x", "s", 1), (9, near(e, at=0), "x", "s", 1), (2, near(e, at=0), "x", "s", 1)]  # linked ones
+    rows += [(10, f, "x", "s", 1), (10, near(near(f, at=0), at=59), "x", "s", 1), (11, near(f, at=0), "x", "s", 1)]
+    rows += [(None, None, "x", "s", 1), (12, "", "x", "s", 0), (12, "", "x", "s", 0), (13, words("g"), "x", "s", 1)]
+    docs = spark.createDataFrame(rows, read_table(spark, SF, "documents").schema).repartition(4)
+    got = sorted((tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()), key=str)
+    tens = [r for r in got if r[0] == 10]
+    assert len(tens) == 1 and tens[0] in rows
+    want = [(3, a, "x", "s", 1), (None, b, None, "s", 1), (7, c, "x", "s", 1), (7, d, "x", "s", 1),
+            (2, near(e, at=0), "x", "s", 1), *rows[-4:]]
+    assert sorted((r for r in got if r[0] != 10), key=str) == sorted(want, key=str)
+
+
 def test_registered_queries_return_their_whole_tables(spark):
     queries = __spark_entry__.queries()
     names = [n for n in queries if n.startswith("op")]
