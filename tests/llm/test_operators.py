@@ -472,6 +472,22 @@ def test_license_inheritance(spark):
     assert got[9][3] is None and got[10][3] is None and got[11][3] is None
 
 
+def test_license_titles_license_a_hot_directory(spark):
+    page = "<title>%s</title><p>some words of page %d</p>"
+    rows = [(i, "host/hot/%d" % i, page % ("A title", i)) for i in range(300)]
+    rows += [(300, "host/index", page % ("Released under the MIT License", 300)),
+             (301, "host/hot/deep/x", page % ("Licensed under CC BY 4.0", 301)), (302, "host/hot/deep/y", page % ("Other", 302)),
+             (303, "elsewhere/z", page % ("Other", 303))]
+    df = spark.createDataFrame(rows, "id long, p string, t string")
+    for titles in (True, False):
+        out = license_scan.license_scan(df, "id", "p", "t", titles=titles).collect()
+        assert len(out) == len(rows)
+        got = {r.file_id: (r.is_license_file, r.inherited_from, r.license) for r in out}
+        assert all(got[i] == ((False, "host", "MIT") if titles else (False, None, None)) for i in range(300))
+        assert got[300] == (titles, None, "MIT") and got[303] == (False, None, None)
+        assert got[302] == ((False, "host/hot/deep", "CC-BY-4.0") if titles else (False, None, None))
+
+
 def test_license_cosine_equals_dense_vectors():
     texts = ["Released under the MIT License", "the work is under way", "MIT License license foo"]
     counts = Counter(t for text in texts for t in set(license_scan.terms_of(text)) & license_scan.template_terms())
