@@ -84,6 +84,16 @@ def pieces_of(texts: list[bytes | None], max_bytes: int = 4 << 20) -> Iterator[l
         yield piece
 
 
+def valid_utf8(raw: bytes | None) -> bytes:
+    """Well-formed UTF-8: null is empty, malformed bytes become U+FFFD."""
+    raw = raw or b""
+    try:
+        raw.decode()
+        return raw
+    except UnicodeDecodeError:
+        return raw.decode("utf-8", "replace").encode()
+
+
 def text_key() -> Column:
     """Tells apart the texts of rows that repeat a doc_id."""
     return F.xxhash64("text").alias("text_key")

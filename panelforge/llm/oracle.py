@@ -149,10 +149,61 @@ FROM doc_words d LEFT JOIN sizes z ON d.doc_id = z.doc_id
 JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON d.doc_id = c.a
 """
 
+# Every document against every item, without an index.
+_RANKED_SEARCH = r"""
+WITH doc_terms AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+totals AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS terms FROM doc_terms WHERE len(w) > 0),
+asked AS (
+  SELECT item_id, t, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark)
+  GROUP BY ALL),
+held AS (
+  SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS t FROM doc_terms)
+  WHERE t IN (SELECT t FROM asked) GROUP BY ALL),
+weighed AS (
+  SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM held, totals GROUP BY t, docs),
+parts AS (
+  SELECT doc_id, h.t, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms))) AS part
+  FROM held h JOIN weighed ON h.t = weighed.t, totals),
+scored AS (
+  SELECT item_id, doc_id, sum(times * part)::BIGINT AS score FROM asked JOIN parts ON asked.t = parts.t GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 10
+"""
+
+# Lines joined again around the sentinels; the restored text is the text.
+_FILL_IN_MIDDLE = r"""
+WITH lines AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+         sha256('7:' || doc_id) AS h FROM documents),
+drawn AS (
+  SELECT doc_id, text, u, len(u)::BIGINT AS n,
+         list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(h, i, 8))::BIGINT) AS h FROM lines),
+cut AS (
+  SELECT doc_id, text, n, array_to_string(u[:least(h[1] % (n + 1), h[2] % (n + 1))], '') AS prefix,
+         array_to_string(u[least(h[1] % (n + 1), h[2] % (n + 1)) + 1:greatest(h[1] % (n + 1), h[2] % (n + 1))], '') AS middle,
+         array_to_string(u[greatest(h[1] % (n + 1), h[2] % (n + 1)) + 1:], '') AS suffix,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 100
+              THEN 'plain' WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": _QUALITY_RULES,
     "op3_decontamination": _CONTAMINATION,
     "op4_warc": _WARC,
     "op8_substring_dedup": _SUBSTRING_DEDUP,
     "op9_minhash": _MINHASH,
+    "op11_ball_tree": _RANKED_SEARCH,
+    "op13_fill_in_middle": _FILL_IN_MIDDLE,
 }

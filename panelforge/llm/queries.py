@@ -5,14 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelforge.sources.tables import read_table
 
+from .ball_tree import ranked_search
 from .decontaminate import contamination
+from .fill_in_middle import fill_in_middle, restore_middle
 from .importance import importance_sample
 from .language_id import held_out, identify_language, train_language_model
 from .license_scan import license_scan, url_path
 from .minhash import near_duplicates
+from .packing import pack_documents
 from .pieces import encode_pieces
 from .quality_rules import quality_rules
 from .substring_dedup import repeated_passages
@@ -69,7 +73,23 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_token_counts(read_table(spark, sf_dir, "documents"))
 
 
+def op11_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = restore_middle(fill_in_middle(read_table(spark, sf_dir, "documents")))
+    digests = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn for fn in (
         op1_license_scan, op2_quality_rules, op3_decontamination, op4_warc, op5_importance_resampling,
-        op6_language_id, op7_pieces, op8_substring_dedup, op9_minhash, op10_token_counts)}
+        op6_language_id, op7_pieces, op8_substring_dedup, op9_minhash, op10_token_counts,
+        op11_ball_tree, op12_packing, op13_fill_in_middle)}
