@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import (DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+                               TimestampNTZType)
 
 KEYS = ("country", "year")
 
@@ -151,6 +152,19 @@ ANALYTICS_SCHEMAS: dict[str, StructType] = {
 }
 
 
+_I, _T = IntegerType(), TimestampNTZType()
+
+# The columns of the input tables that the extracts are derived from.
+SOURCE_SCHEMAS: dict[str, StructType] = {
+    "lineitem": _schema(("l_orderkey", _L), ("l_linenumber", _I), ("l_quantity", _D), ("l_returnflag", _S),
+                        ("l_linestatus", _S)),
+    "orders": _schema(("o_orderkey", _L), ("o_custkey", _L), ("o_orderstatus", _S), ("o_orderpriority", _S),
+                      ("o_orderdate", _T)),
+    "customer": _schema(("c_custkey", _L), ("c_nationkey", _I), ("c_mktsegment", _S)),
+    "nation": _schema(("n_nationkey", _I), ("n_name", _S)),
+}
+
+
 def load_schema(dataset: Dataset) -> StructType:
     types = {"country": _S, "year": _L, "sex": _S, "indic_de": _S}
     return _schema(*[(c, types.get(c, _D)) for c in dataset.load_columns])

@@ -262,16 +262,20 @@ def oracle_sql() -> dict[str, str]:
            FROM final_relationships WHERE year >= 1998""",
         finals=["relationships"])
     q["upsert_sink"] = upsert
-    q["upsert_idempotent"] = upsert
+    q["upsert_idempotent"] = q["upsert_partitions"] = upsert
     q["partitioned_sink"] = q["relationships"]
     q["refresh_local"] = q["relationships_local"]
     q["refresh_cloud"] = q["refresh_from_landed"] = q["gender_gap"]
+    q["refresh_halting"] = q["stg_employed"]
     q["catalog_roundtrip"] = q["stg_hours_worked"]
+    q["bucketed_relationships"] = q["relationships_sql"] = q["relationships"]
+    q["bucketed_gender_gap"] = q["gender_gap_sql"] = q["gender_gap"]
     q["pruned_read"] = with_tables(
         """SELECT * FROM final_relationships
            WHERE year_date BETWEEN DATE '1996-12-31' AND DATE '1999-12-31'
              AND country IN ('NATION_1', 'NATION_7', 'NATION_19')""",
         finals=["relationships"])
+    q["clustered_catalog"] = q["pruned_read"]
     q["check_not_null"] = with_tables(
         _stack("final_gender_gap", _GG_COLS, "count(*) - count({c})", "not_null"),
         finals=["gender_gap"])
@@ -312,6 +316,7 @@ def oracle_sql() -> dict[str, str]:
                         unique=("country", "year_date"),
                         non_negative=("hours_worked_m", "hours_worked_f")),
         finals=["relationships", "gender_gap"])
+    q["write_staging_checked"], q["write_analytics_checked"] = q["check_staging"], q["check_analytics"]
     dims = ("freq", "nace_r2", "wstatus", "worktime", "age", "sex", "unit")
     q["domain_profile"] = with_tables(
         "\nUNION ALL\n".join(

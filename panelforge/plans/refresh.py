@@ -12,32 +12,34 @@ Two variants share the code path:
   the previous run's tables; the final tables are partitioned by
   ``year_date`` and clustered by ``country``.
 
-Every run writes its own folder (``<out>/run-<id>/<layer>/<table>``) and
-returns the paths; the next run takes them as ``previous``.  Only the final
-tables, once partitioned, stay where they are: a run merges the partitions it
-touches in its own folder and then replaces just those.
+Every run writes its own folder (``<out>/run-<id>/<layer>/<table>``) and, when
+a layer is complete and its checks have passed, points ``<out>/current`` at it,
+which is where the next run, in whatever process, finds its targets.  Only the
+final tables, once partitioned, stay where they are: a run merges the
+partitions it touches in its own folder and then moves just those into place,
+by a commit that the next run finishes if this one dies.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from panelforge.contracts import (ANALYTICS, ANALYTICS_SCHEMAS, DATASETS, STAGING_SCHEMAS,
-                                  load_schema)
-from panelforge.operators.checks import (ANALYTICS_CHECKS, LOAD_CHECKS, STAGING_CHECKS,
-                                         duplicate_key_rows, enforce, labelled, run_checks)
-from panelforge.operators.filters import require_all_rows
+from panelforge.contracts import ANALYTICS, ANALYTICS_SCHEMAS, DATASETS, KEYS, STAGING_SCHEMAS, load_schema
+from panelforge.operators.checks import (ANALYTICS_CHECKS, LOAD_CHECKS, STAGING_CHECKS, guard_errors, guarded,
+                                         judge)
+from panelforge.operators.filters import EmptyInputError
 from panelforge.operators.reshape import rename_geography
-from panelforge.plans.analytics import Extracts, final_table
+from panelforge.plans.analytics import Extracts, final_table, needed_datasets
 from panelforge.plans.load import load_table
 from panelforge.plans.staging import stage_table
-from panelforge.sources import sinks
-from panelforge.sources.tables import read_table
+from panelforge.sources import sinks, versions
+from panelforge.sources.tables import read_extract
 
 
 @dataclass
@@ -60,7 +62,7 @@ def _each(names, work, parallel_jobs: int) -> dict:
 
 def landed_extracts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The seven wide extracts of a folder that holds ``<dataset>.parquet`` for each."""
-    return {n: read_table(spark, folder, n) for n in DATASETS}
+    return {n: read_extract(spark, folder, n) for n in DATASETS}
 
 
 TARGET_SCHEMAS = {**{f"staging.{n}": STAGING_SCHEMAS[n] for n in DATASETS},
@@ -68,8 +70,15 @@ TARGET_SCHEMAS = {**{f"staging.{n}": STAGING_SCHEMAS[n] for n in DATASETS},
 
 
 def init_targets(spark: SparkSession, out_dir: str) -> dict[str, str]:
-    """Empty staging and final tables, the ``previous`` of a first cloud run."""
-    return sinks.init_tables(spark, out_dir, TARGET_SCHEMAS)
+    """Empty staging and final tables, which a first cloud run merges into."""
+    paths = sinks.init_tables(spark, out_dir, TARGET_SCHEMAS)
+    versions.publish(spark, out_dir, paths)
+    return paths
+
+
+def current_tables(spark: SparkSession, out_dir: str) -> dict[str, str]:
+    """Where the current version of every staging and final table of a warehouse folder lies."""
+    return versions.current(spark, out_dir, TARGET_SCHEMAS)
 
 
 def refresh(spark: SparkSession, source: str | Mapping[str, DataFrame], out_dir: str,
@@ -81,102 +90,102 @@ def refresh(spark: SparkSession, source: str | Mapping[str, DataFrame], out_dir:
 
     ``source`` gives the wide extracts by dataset name (``landed_extracts`` for
     files), or names a folder of the TPC-H style tables to derive them from.
-    A cloud run merges into ``previous``, which must name all nine targets
+    A cloud run merges into the current versions that ``out_dir`` points at, or
+    into ``previous`` where it names a table; all nine targets must exist
     (``init_targets`` makes empty ones for the first run).
 
-    ``staging_checks`` / ``analytics_checks`` are ``fail`` (raise before the
-    sink, so nothing downstream runs) or ``warn`` (record and go on): the
-    final tables are left joins, so their not-null checks can fail on honest
-    data.  ``require_matches`` raises when a load's dimension filters keep no
-    row, instead of writing an empty table.  The writes of one layer are
+    Every table is evaluated once: its checks are counted while it is written,
+    and it is published only after they were judged.  ``staging_checks`` /
+    ``analytics_checks`` are ``fail`` (raise, so nothing of the layer or after
+    it is published), ``halt`` (the same, but the job itself ends at the first
+    null or negative value) or ``warn`` (record and go on): the final tables
+    are left joins, so their not-null checks can fail on honest data.
+    ``require_matches`` raises when a load's dimension filters keep no row,
+    instead of writing an empty table.  The writes of one layer are
     independent and run ``parallel_jobs`` at a time.
     """
     if variant not in ("cloud", "local"):
         raise ValueError(f"unknown variant {variant!r}")
-    previous = dict(previous or {})
-    missing = sorted(set(TARGET_SCHEMAS) - set(previous)) if variant == "cloud" else []
-    if missing:
-        raise sinks.MissingTargetError(f"no target for {missing}: create them with init_targets")
+    for mode in (staging_checks, analytics_checks):
+        if mode not in ("fail", "halt", "warn"):
+            raise ValueError(f"unknown check mode {mode!r}")
+    targets: dict[str, str] = {}
+    if variant == "cloud":
+        targets = {**versions.current(spark, out_dir, TARGET_SCHEMAS), **(previous or {})}
+        missing = sorted(set(TARGET_SCHEMAS) - set(targets))
+        if missing:
+            raise sinks.MissingTargetError(f"no target for {missing}: create them with init_targets")
     run_dir = f"{out_dir.rstrip('/')}/run-{uuid.uuid4().hex[:12]}"
     result = RefreshResult(run_dir)
     extracts = Extracts(spark, source).wide if isinstance(source, str) else source
 
-    # Ingestion and load; the non-empty guards of all seven run as one job each.
-    wide = {name: extracts[name] for name in DATASETS}
-    require_all_rows(wide, "extracts")
+    def write_layer(layer: str, names: Iterable[str], write: Callable[[str], str]) -> None:
+        written = {f"{layer}.{n}": path for n, path in _each(names, write, parallel_jobs).items()}
+        versions.publish(spark, out_dir, written)
+        result.paths.update(written)
+
+    def judged(table: str, mode: str) -> Callable[[list], None]:
+        def check(report: list) -> None:
+            failed = judge(report, table, mode)
+            if failed:
+                result.warnings[table] = failed
+        return check
 
-    def land(name: str) -> DataFrame:
-        raw = sinks.land_wide(wide[name], f"{run_dir}/raw/{name}", check_input=False)
-        return spark.read.schema(rename_geography(wide[name]).schema).parquet(raw)
+    def halting(df: DataFrame, table: str, spec: dict, mode: str) -> DataFrame:
+        return guarded(df, table, **spec) if mode == "halt" else df
 
-    landed = _each(DATASETS, land, parallel_jobs)
-    require_all_rows(landed, "landed extracts")
+    # Ingestion and load; an extract without rows is not published.
+    landed: dict[str, DataFrame] = {}
+
+    def land(name: str) -> str:
+        wide = rename_geography(extracts[name])
+        path = sinks.land_wide(wide, f"{run_dir}/raw/{name}")
+        landed[name] = spark.read.schema(wide.schema).parquet(path)
+        return path
 
     def load(name: str) -> str:
-        loaded = load_table(landed[name], DATASETS[name], check_output=require_matches)
-        return sinks.replace_sink(loaded, f"{run_dir}/load/{name}", load_schema(DATASETS[name]))
-
-    for name, path in _each(DATASETS, load, parallel_jobs).items():
-        result.paths[f"load.{name}"] = path
-
-    # Staging: one check job for all seven tables, then one write each.
-    loaded = {name: sinks.read_written(spark, result.paths[f"load.{name}"], load_schema(DATASETS[name]))
-              for name in DATASETS}
-    staged = {name: stage_table(loaded[name], DATASETS[name]) for name in DATASETS}
-    report = labelled({name: run_checks(df, **STAGING_CHECKS[name]) for name, df in staged.items()}
-                      | {f"load.{name}": run_checks(loaded[name], **spec)
-                         for name, spec in LOAD_CHECKS.items()})
-    failed = enforce(report, "staging", staging_checks, detail="table_name")
-    for name in DATASETS:
-        if failed.get(name):
-            result.warnings[f"staging.{name}"] = failed[name]
-    keys_checked = staging_checks == "fail"
-
-    def write_staged(name: str) -> str:
-        path = f"{run_dir}/staging/{name}"
-        schema = STAGING_SCHEMAS[name]
-        target = previous[f"staging.{name}"] if variant == "cloud" else None
-        if target:
-            sinks.upsert_sink(spark, staged[name], target, path, schema=schema,
-                              keys_checked=keys_checked)
-        else:
-            ordered = name == "age_at_marriage"  # stored sorted in the local variant
-            sinks.replace_sink(staged[name].orderBy("country", "year") if ordered else staged[name],
-                               path, schema)
+        path, table, spec = f"{run_dir}/load/{name}", f"load.{name}", LOAD_CHECKS.get(name, {})
+        loaded = halting(load_table(landed[name], DATASETS[name]), table, spec, staging_checks)
+        seen = Observation()
+        counted = loaded.observe(seen, F.count(F.lit(1)).alias("n")) if require_matches else loaded
+        check = judged(table, staging_checks)
+
+        def guard(report: list) -> None:
+            if require_matches and not seen.get["n"]:
+                raise EmptyInputError(f"{name} after filters: no rows")
+            check(report)
+
+        sinks.write_watched(counted, path, load_schema(DATASETS[name]), guard, spec)
         return path
 
-    for name, path in _each(DATASETS, write_staged, parallel_jobs).items():
-        result.paths[f"staging.{name}"] = path
-
-    staged_tables = {n: sinks.read_written(spark, result.paths[f"staging.{n}"], STAGING_SCHEMAS[n])
-                     for n in DATASETS}
-    finals = {name: final_table(name, staged_tables, with_year_date=variant == "cloud")
-              for name in ANALYTICS}
-    report = labelled({name: run_checks(final, **_analytics_checks(name, variant))
-                       for name, final in finals.items()})
-    failed = enforce(report, "analytics", analytics_checks, detail="table_name")
-    for name in ANALYTICS:
-        if failed.get(name):
-            result.warnings[f"analytics.{name}"] = failed[name]
-
-    def write_final(name: str) -> str:
-        path = f"{run_dir}/analytics/{name}"
+    def stage(name: str) -> str:
+        path, table, spec = f"{run_dir}/staging/{name}", f"staging.{name}", STAGING_CHECKS[name]
+        schema, check = STAGING_SCHEMAS[name], judged(table, staging_checks)
+        loaded = sinks.read_written(spark, result.paths[f"load.{name}"], load_schema(DATASETS[name]))
+        staged = halting(stage_table(loaded, DATASETS[name]), table, spec, staging_checks)
         if variant == "cloud":
-            schema = ANALYTICS_SCHEMAS[name]
-            target = previous[f"analytics.{name}"]
-            old = sinks.read_target(spark, target, schema)
-            if sinks.is_partitioned(old):
-                return sinks.upsert_partitions(spark, finals[name], target, path, schema)
-            sinks.assert_schema(finals[name], schema)
-            if not duplicate_key_rows(finals[name], sinks.KEYS).isEmpty():
-                raise sinks.DuplicateKeyError(f"analytics.{name} repeats keys {list(sinks.KEYS)}")
-            sinks.partitioned_sink(sinks.merge_rows(old, finals[name]), path)
-        else:
-            sinks.replace_sink(finals[name].orderBy("country", "year"), path)
+            return sinks.upsert_sink(spark, staged, targets[table], path, schema=schema, check=check, checks=spec)
+        ordered = KEYS if name == "age_at_marriage" else ()  # stored sorted in the local variant
+        sinks.write_watched(staged, path, schema, check, spec, order_by=ordered)
         return path
 
-    for name, path in _each(ANALYTICS, write_final, parallel_jobs).items():
-        result.paths[f"analytics.{name}"] = path
+    def analyse(name: str) -> str:
+        path, table, spec = f"{run_dir}/analytics/{name}", f"analytics.{name}", _analytics_checks(name, variant)
+        check = judged(table, analytics_checks)
+        staged = {n: sinks.read_written(spark, result.paths[f"staging.{n}"], STAGING_SCHEMAS[n])
+                  for n in needed_datasets([name])}
+        final = halting(final_table(name, staged, variant == "cloud"), table, spec, analytics_checks)
+        if variant == "local":
+            sinks.write_watched(final, path, check=check, checks=spec, order_by=KEYS)
+            return path
+        return sinks.upsert_partitioned(spark, final, targets[table], path, ANALYTICS_SCHEMAS[name],
+                                        check=check, checks=spec)
+
+    with guard_errors():
+        write_layer("raw", DATASETS, land)
+        write_layer("load", DATASETS, load)
+        write_layer("staging", DATASETS, stage)
+        write_layer("analytics", ANALYTICS, analyse)
     return result
 
 

@@ -8,7 +8,6 @@ and return what they read back.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +21,9 @@ from panelforge.operators.pivot import conditional_pivot, pivot_values, self_joi
 from panelforge.operators.reshape import (drop_missing, parse_year, quote, split_columns,
                                           unpivot_years)
 from panelforge.plans import insights
-from panelforge.plans.analytics import Extracts, needed_datasets
+from panelforge.plans.analytics import Extracts, final_table, needed_datasets
 from panelforge.plans.load import load_table
-from panelforge.plans.refresh import init_targets, landed_extracts, refresh
+from panelforge.plans.refresh import current_tables, init_targets, landed_extracts, refresh
 from panelforge.session import scratch_dir
 from panelforge.sources import sinks
 
@@ -140,15 +139,30 @@ def partitioned_sink(spark: SparkSession, base: str) -> DataFrame:
     return sinks.read_partitioned(spark, path, ANALYTICS_SCHEMAS["relationships"])
 
 
-def pruned_read(spark: SparkSession, base: str) -> DataFrame:
-    """Date range and country filter on the partitioned table: the date filter
-    prunes folders, the country filter skips row groups."""
-    table = partitioned_sink(spark, base)
+def upsert_partitions(spark: SparkSession, base: str) -> DataFrame:
+    """The rows of ``upsert_sink`` by a table partitioned by date: only the years from 1998 on are rewritten."""
+    schema = ANALYTICS_SCHEMAS["relationships"]
+    written = sinks.replace_sink(Extracts(spark, base, datasets=needed_datasets(["relationships"])).final("relationships"),
+                                 _scratch(spark, "relationships"), schema)
+    rel = sinks.read_written(spark, written, schema)
+    table = sinks.partitioned_sink(rel.filter(F.col("year") <= 1999), _scratch(spark, "rel_by_date"))
+    source = rel.filter(F.col("year") >= 1998).withColumn("marriage_rate", F.col("marriage_rate") + F.lit(1.0))
+    sinks.upsert_partitions(spark, source, table, _scratch(spark, "rel_staged"), schema)
+    return sinks.read_partitioned(spark, table, schema)
+
+
+def _in_late_nineties(table: DataFrame) -> DataFrame:
     return table.filter(F.col("year_date").between(F.lit("1996-12-31").cast("date"),
                                                    F.lit("1999-12-31").cast("date"))
                         & F.col("country").isin("NATION_1", "NATION_7", "NATION_19"))
 
 
+def pruned_read(spark: SparkSession, base: str) -> DataFrame:
+    """Date range and country filter on the partitioned table: the date filter
+    prunes folders, the country filter skips row groups."""
+    return _in_late_nineties(partitioned_sink(spark, base))
+
+
 GENDER_GAP_COLUMNS = list(ANALYTICS_SCHEMAS["gender_gap"].names)
 
 
@@ -211,32 +225,114 @@ def refresh_local(spark: SparkSession, base: str) -> DataFrame:
 
 
 def refresh_cloud(spark: SparkSession, base: str) -> DataFrame:
-    """Two cloud-variant runs, the second upserting into the first; returns
-    the partitioned gender_gap table of the second run."""
+    """Two cloud-variant runs, the second upserting into what the folder points
+    at; returns the current partitioned gender_gap table."""
     out = _scratch(spark, "refresh")
-    first = refresh(spark, base, out, variant="cloud", previous=init_targets(spark, out))
-    second = refresh(spark, base, out, variant="cloud", previous=first.paths)
-    return sinks.read_partitioned(spark, second.paths["analytics.gender_gap"],
+    init_targets(spark, out)
+    refresh(spark, base, out, variant="cloud")
+    refresh(spark, base, out, variant="cloud")
+    return sinks.read_partitioned(spark, current_tables(spark, out)["analytics.gender_gap"],
                                   ANALYTICS_SCHEMAS["gender_gap"])
 
 
+def refresh_halting(spark: SparkSession, base: str) -> DataFrame:
+    """A local run whose staging checks are part of the written plans; returns the stored employed table."""
+    result = refresh(spark, base, _scratch(spark, "refresh"), variant="local", staging_checks="halt")
+    return sinks.read_written(spark, result.paths["staging.employed"], STAGING_SCHEMAS["employed"])
+
+
 def refresh_from_landed(spark: SparkSession, base: str) -> DataFrame:
     """Extracts derived and landed as files, then one cloud run from those files alone."""
     out = _scratch(spark, "landed")
     wide = Extracts(spark, base).wide
     for name in DATASETS:
         sinks.land_wide(wide[name], f"{out}/{name}.parquet", check_input=False)
-    result = refresh(spark, landed_extracts(spark, out), out, previous=init_targets(spark, out))
+    init_targets(spark, out)
+    result = refresh(spark, landed_extracts(spark, out), out)
     return sinks.read_partitioned(spark, result.paths["analytics.gender_gap"],
                                   ANALYTICS_SCHEMAS["gender_gap"])
 
 
 def catalog_roundtrip(spark: SparkSession, base: str) -> DataFrame:
     """A staging table saved as a named catalog table and read by name."""
-    name = f"stg_hours_worked_{uuid.uuid4().hex[:8]}"
-    sinks.save_table(Extracts(spark, base, datasets=["hours_worked"]).stage("hours_worked"), name,
-                     _scratch(spark, name), STAGING_SCHEMAS["hours_worked"])
-    return spark.table(name)
+    staged = Extracts(spark, base, datasets=["hours_worked"]).stage("hours_worked")
+    with sinks.catalog_names(spark) as (name,):
+        sinks.save_table(staged, name, _scratch(spark, name), STAGING_SCHEMAS["hours_worked"])
+        return spark.table(name)
+
+
+def _bucketed_final(name: str) -> Query:
+    """A final table joined from bucketed catalog tables: their rows are dealt by the key already."""
+    def run(spark: SparkSession, base: str) -> DataFrame:
+        needed = needed_datasets([name])
+        ex = Extracts(spark, base, datasets=needed)
+        with sinks.catalog_names(spark, len(needed)) as names:
+            for table, dataset in zip(names, needed):
+                sinks.save_bucketed(ex.stage(dataset), table, _scratch(spark, table), STAGING_SCHEMAS[dataset])
+            return final_table(name, {d: spark.table(t) for t, d in zip(names, needed)})
+    return run
+
+
+def clustered_catalog(spark: SparkSession, base: str) -> DataFrame:
+    """``pruned_read`` by name on a catalog table partitioned by date and clustered by country.
+
+    The catalog lists the partitions when the read runs, so its rows are stored
+    before the entry goes.
+    """
+    schema = ANALYTICS_SCHEMAS["relationships"]
+    rel = Extracts(spark, base, datasets=needed_datasets(["relationships"])).final("relationships")
+    with sinks.catalog_names(spark) as (name,):
+        sinks.save_bucketed(rel, name, _scratch(spark, name), schema, keys=("country",), partition_by=("year_date",))
+        found = _in_late_nineties(spark.table(name)).select(*schema.names)
+        return sinks.read_written(spark, sinks.replace_sink(found, _scratch(spark, "found"), schema), schema)
+
+
+# The final tables as a SQL user writes them over the staging tables.
+RELATIONSHIPS_SQL = """
+SELECT make_date(CAST(m.year AS INT), 12, 31) AS year_date, m.country, m.year, m.marriage_rate, d.divorce_rate,
+       a.age_at_marriage_f, a.age_at_marriage_m, p.gender_pay_gap
+FROM stg_marriage_rate m
+LEFT JOIN stg_divorce_rate d ON m.country = d.country AND m.year = d.year
+LEFT JOIN stg_age_at_marriage a ON m.country = a.country AND m.year = a.year
+LEFT JOIN stg_gender_pay_gap p ON m.country = p.country AND m.year = p.year"""
+GENDER_GAP_SQL = """
+SELECT make_date(CAST(h.year AS INT), 12, 31) AS year_date, h.country, h.year, h.hours_worked_m, h.hours_worked_f,
+       h.hours_worked_delta, p.gender_pay_gap, x.accidents_m, x.accidents_f, e.employed_m, e.employed_f
+FROM stg_hours_worked h
+LEFT JOIN stg_gender_pay_gap p ON h.country = p.country AND h.year = p.year
+LEFT JOIN stg_accidents x ON h.country = x.country AND h.year = x.year
+LEFT JOIN stg_employed e ON h.country = e.country AND h.year = e.year"""
+
+
+def _sql_final(name: str, sql: str) -> Query:
+    """A final table as Spark SQL over stored staging tables named by views."""
+    def run(spark: SparkSession, base: str) -> DataFrame:
+        ex = Extracts(spark, base, datasets=needed_datasets([name]))
+        stored = {}
+        for dataset in needed_datasets([name]):
+            path = sinks.replace_sink(ex.stage(dataset), _scratch(spark, dataset), STAGING_SCHEMAS[dataset])
+            stored[f"stg_{dataset}"] = sinks.read_written(spark, path, STAGING_SCHEMAS[dataset])
+        with sinks.named_views(spark, stored):
+            return spark.sql(sql)
+    return run
+
+
+def _written_reports(spark: SparkSession, tables: dict[str, DataFrame], specs: dict[str, dict]) -> DataFrame:
+    """Write every table with its checks counted on the way; the reports, a row per checked column."""
+    rows = [(n, *row) for n, df in tables.items()
+            for row in sinks.write_watched(df, _scratch(spark, n), checks=specs[n])]
+    return spark.createDataFrame(rows, "table_name string, check string, column_name string, violations bigint")
+
+
+def write_staging_checked(spark: SparkSession, base: str) -> DataFrame:
+    """The reports of ``check_staging``, counted while the seven staging tables are written."""
+    return _written_reports(spark, Extracts(spark, base).staged(DATASETS), checks.STAGING_CHECKS)
+
+
+def write_analytics_checked(spark: SparkSession, base: str) -> DataFrame:
+    """The reports of ``check_analytics``, counted while the final tables are written."""
+    ex = Extracts(spark, base)
+    return _written_reports(spark, {n: ex.final(n) for n in checks.ANALYTICS_CHECKS}, checks.ANALYTICS_CHECKS)
 
 
 def _on_final(name: str, fn: Callable[[DataFrame], DataFrame]) -> Query:
@@ -266,7 +362,16 @@ QUERIES: dict[str, Query] = {
     "refresh_local": refresh_local,
     "refresh_cloud": refresh_cloud,
     "refresh_from_landed": refresh_from_landed,
+    "refresh_halting": refresh_halting,
     "catalog_roundtrip": catalog_roundtrip,
+    "upsert_partitions": upsert_partitions,
+    "bucketed_relationships": _bucketed_final("relationships"),
+    "bucketed_gender_gap": _bucketed_final("gender_gap"),
+    "clustered_catalog": clustered_catalog,
+    "relationships_sql": _sql_final("relationships", RELATIONSHIPS_SQL),
+    "gender_gap_sql": _sql_final("gender_gap", GENDER_GAP_SQL),
+    "write_staging_checked": write_staging_checked,
+    "write_analytics_checked": write_analytics_checked,
     "check_not_null": check_not_null,
     "check_unique": check_unique,
     "check_non_negative": check_non_negative,

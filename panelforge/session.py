@@ -118,13 +118,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     machine-local folder would leave each executor writing to its own disk,
     so an unset setting is an error there.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # a remote session has no SparkContext: use the setting itself
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if not configured:
-            raise MissingCheckpointDirError("set spark.checkpoint.dir to a shared folder")
-        return configured
+    sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
@@ -147,3 +141,9 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     files.mkdirs(folder)
     files.deleteOnExit(folder)
     return path
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder before the JVM ends."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.contracts import ALL_SECTORS, TOTAL_ECONOMY, WORKING_AGE
-from panelforge.sources.tables import read_table
+from panelforge.sources.tables import read_source
 
 CUBE_DIMENSIONS = ("country", "year", "o_orderstatus", "o_orderpriority", "c_mktsegment",
                    "l_returnflag", "l_linestatus")
@@ -97,10 +97,10 @@ def measure_cube(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
 
 def read_cube(spark: SparkSession, base: str, wanted: Iterable["ExtractRecipe"]) -> DataFrame:
     return measure_cube(
-        read_table(spark, base, "lineitem"),
-        read_table(spark, base, "orders"),
-        read_table(spark, base, "customer"),
-        read_table(spark, base, "nation"),
+        read_source(spark, base, "lineitem"),
+        read_source(spark, base, "orders"),
+        read_source(spark, base, "customer"),
+        read_source(spark, base, "nation"),
         wanted,
     )
 
