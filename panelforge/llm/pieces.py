@@ -8,9 +8,9 @@ nothing beyond the N best.
 No piece of the vocabulary has a space after another character, so the lattice
 falls apart where a space follows a word.  The N best of a text combine the N
 best of its stretches, and only the N - 1 stretches whose second best loses
-least can differ from the best.  A Viterbi pass in either direction gives each
-distinct stretch its best segmentation and that loss, once per worker; the
-A-star search runs where alternatives can count.
+least can differ from the best.  A Viterbi pass in either direction, over all
+distinct stretches of a batch side by side (``piece_batch``), gives each its best
+segmentation and that loss; the A-star search runs where alternatives can count.
 """
 
 from __future__ import annotations
@@ -18,8 +18,6 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-import struct
-from array import array
 from collections.abc import Iterator
 from itertools import chain, islice
 
@@ -28,19 +26,22 @@ import public_tokenizers
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import Entries, RecentCache, column, distinct, id_and_text, pieces_of
+from .common import Entries, RecentCache, column, distinct, id_and_text, numbered, pieces_of
+from .piece_batch import LONGEST, PieceTrie, best_of
 
 MODEL = "piece_bpe_32k.model"
 N_BEST = 4
 _SPACE = "▁"  # how the model's file writes a space
 _STRETCH = re.compile(" *[^ ]+| +")
-_CACHE_STRETCHES = 400_000  # in each of the two generations that a worker keeps
+_CACHE_STRETCHES = 20_000   # searched ones, in each of the two generations that a worker keeps
 _CACHE_CHARS = 48           # longer stretches are searched each time
-_HEAD = struct.Struct("<qq")  # score and gap in front of the packed ids
 _NEVER = 1 << 60            # the loss of a second segmentation where there is none
 
 Segmentation = tuple[int, tuple[int, ...]]           # loss against the best, piece ids
+Change = tuple[int, int, tuple[int, ...]]            # from this position, so many ids, become these
 Best = tuple[int, int, tuple[int, ...]]
 Forward = tuple[str, list[list], list[int], list[tuple]]
 
@@ -79,8 +80,9 @@ class PieceLattice:
         self.byte_score = min(ordinary) - 1
         # every ending of a piece; None where it is not a piece itself
         self._ends = {p[i:]: None for p in self.pieces for i in range(1, len(p))} | self.pieces
-        self._known = RecentCache(_CACHE_STRETCHES)
-        self._searched = RecentCache(_CACHE_STRETCHES // 20)
+        self._searched = RecentCache(_CACHE_STRETCHES)
+        self._trie = PieceTrie(self.pieces)
+        self._byte_ids = np.array([self.bytes[b] for b in range(256)], np.int32)
 
     def forward(self, text: str, before: Forward | None = None) -> Forward:
         """Per end position: the edges (start, score, ids) that arrive, latest start first, the best
@@ -141,7 +143,7 @@ class PieceLattice:
                     second = forward[start] + score
         path.reverse()
         ids = path[0] if len(path) == 1 else tuple(chain.from_iterable(path))
-        return (forward[-1], min(forward[-1] - second, _NEVER), ids), passed
+        return (forward[-1], forward[-1] - second if second > -_NEVER else _NEVER, ids), passed
 
     def search(self, text: str, n: int) -> list[Segmentation]:
         """The n best segmentations of ``text``."""
@@ -165,17 +167,20 @@ class PieceLattice:
                                       behind + score, (made, link)))
         return found
 
-    def _all_best(self, stretches: list[str]) -> list[bytes]:
-        """``best`` of distinct stretches, packed.  New ones are searched in alphabetic order:
-        neighbours share prefixes."""
-        known = list(map(self._known.find, stretches))
-        before = None
-        for i in sorted([i for i, k in enumerate(known) if k is None], key=stretches.__getitem__):
-            (score, gap, ids), before = self.best(" " + stretches[i], before)
-            known[i] = _HEAD.pack(score, gap) + array("i", ids).tobytes()
-            if len(stretches[i]) <= _CACHE_CHARS:
-                self._known.put(stretches[i], known[i])
-        return known
+    def best_of(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray, Entries]:
+        """``best`` of many stretches: scores, what the second best lose, ids."""
+        long = [i for i, s in enumerate(stretches) if len(s) >= LONGEST]
+        if not long:
+            return best_of(stretches, self._trie, self.byte_score, self._byte_ids, _NEVER)
+        skipped = set(long)
+        short = [i for i in range(len(stretches)) if i not in skipped]
+        scores, gaps, ids = best_of([stretches[i] for i in short], self._trie, self.byte_score, self._byte_ids, _NEVER)
+        found = [self.best(" " + stretches[i])[0] for i in long]
+        place = np.argsort(np.array(short + long), kind="stable")
+        entries = Entries(np.concatenate([ids.store, *[np.array(made, np.int32) for _, _, made in found]]),
+                          np.concatenate([ids.lengths, [len(made) for _, _, made in found]]).astype(np.int64))
+        return (np.append(scores, [score for score, _, _ in found])[place], np.append(gaps, [gap for _, gap, _ in found])[place],
+                Entries(entries.row(place), entries.lengths[place]))
 
     def _alternatives(self, stretch: str, n: int) -> list[Segmentation]:
         found = self._searched.find((stretch, n))
@@ -194,44 +199,49 @@ class PieceLattice:
             return text.split(" ")
         return [s[1:] for s in _STRETCH.findall(" " + text)]
 
-    def ranked(self, texts: list[str], n: int = N_BEST) -> Iterator[tuple[int, np.ndarray, list[tuple[int, dict]]]]:
-        """Per text: best score, ids of the best segmentation, and the n best as (loss, changed
-        stretches).  Each distinct stretch of the texts is looked up once."""
+    def ranked(self, texts: list[str], n: int = N_BEST) -> Iterator[tuple[int, np.ndarray, list[tuple[int, list[Change]]]]]:
+        """Per text: best score, ids of the best segmentation, and the n best as (loss, changes to the
+        best, in order).  Each distinct stretch of the texts is looked up once."""
         parts = list(map(self.stretches, texts))
         codes, stretches = distinct(parts)
-        known = self._all_best(stretches)
-        heads = np.frombuffer(b"".join([k[:_HEAD.size] for k in known]), "<i8")
-        scores, gaps = heads[::2], heads[1::2]
-        ids = Entries(np.frombuffer(b"".join([k[_HEAD.size:] for k in known]), "<i4"),
-                      np.fromiter(map(len, known), np.int64, len(known)) // 4 - _HEAD.size // 4)
+        scores, gaps, ids = self.best_of(stretches)
         at = 0
         for part in parts:
             own = codes[at:at + len(part)]
             at += len(part)
-            loose = np.argsort(gaps[own], kind="stable")[:n - 1].tolist()
+            loose = [i for i in np.argsort(gaps[own], kind="stable")[:n - 1].tolist() if gaps[own[i]] < _NEVER]
             # combinations of choices in the loose stretches, best first
             options: list[tuple[int, tuple]] = [(0, ())]
-            found = [(i, self._alternatives(part[i], n)) for i in loose if gaps[own[i]] < _NEVER]
+            found = [(i, self._alternatives(part[i], n)) for i in loose]
             for _, choices in found:
                 options = heapq.nsmallest(n, [(loss + more, (*choice, k)) for loss, choice in options
                                               for k, (more, _) in enumerate(choices)])
+            begins = np.cumsum(ids.lengths[own])
             yield (int(scores[own].sum()), ids.row(own),
-                   [(loss, {i: choices[k][1] for (i, choices), k in zip(found, choice) if k})
+                   [(loss, sorted((int(begins[i] - ids.lengths[own[i]]), int(ids.lengths[own[i]]), choices[k][1])
+                                  for (i, choices), k in zip(found, choice) if k))
                     for loss, choice in options])
 
     def nbest(self, text: str, n: int = N_BEST) -> tuple[int, list[Segmentation]]:
         """Best score and n best segmentations of a whole text."""
-        score, _, options = next(self.ranked([text], n))
-        best = [tuple(np.frombuffer(k[_HEAD.size:], "<i4").tolist()) for k in self._all_best(self.stretches(text))]
-        return score, [(loss, tuple(chain.from_iterable([changed.get(i, ids) for i, ids in enumerate(best)])))
-                       for loss, changed in options]
+        score, best, options = next(self.ranked([text], n))
+        return score, [(loss, changed(best.tolist(), changes)) for loss, changes in options]
 
     def decode(self, ids: tuple[int, ...] | np.ndarray) -> str:
         """The text of piece ids; drops the one space that encoding puts in front."""
-        raw = self._spelled.row(np.asarray(ids, np.int64)).tobytes()
+        ids = np.asarray(ids, np.int64)
+        if len(ids) and ids.min() < 0:
+            raise IndexError(f"no piece {ids.min()}")
+        raw = self._spelled.row(ids).tobytes()
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
+def changed(best: list[int], changes: list[Change]) -> tuple[int, ...]:
+    for at, n, ids in reversed(changes):
+        best = [*best[:at], *ids, *best[at + n:]]
+    return tuple(best)
+
+
 _LATTICES: dict[str, PieceLattice] = {}  # one per worker process and file
 
 
@@ -243,37 +253,90 @@ def _lattice(path: str) -> PieceLattice:
 
 def encode_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_best: int = N_BEST,
                   model: str = MODEL) -> DataFrame:
-    """doc_id, n_chars, n_pieces, score, losses, pieces, pieces_sha256, round_trip: one row per row of ``df``.
+    """doc_id, n_chars, n_pieces, score, losses, pieces, alternatives, pieces_sha256, round_trip: one row per row of ``df``.
 
     ``pieces`` is the best segmentation (ids); ``score`` its score; ``losses``
     what each of the ``n_best`` best segmentations scores less, best first (so
     it starts with 0, and is shorter where the text has fewer segmentations).
-    ``pieces_sha256`` hashes the ids as little-endian 32-bit numbers.
-    ``round_trip`` tells whether decoding them gives the text again.  A null or empty text has no pieces and the score 0.
-    Rows that repeat an id are encoded each; other columns are ignored.
+    ``alternatives`` holds the others in the same order, as what they change:
+    in place of ``n`` ids of ``pieces`` from position ``at``, ``pieces`` (see
+    ``segmentations``).  ``pieces_sha256`` hashes the best ids as little-endian
+    32-bit numbers.  ``round_trip`` tells whether decoding them gives the text
+    again.  A null or empty text has no pieces and the score 0.  Malformed UTF-8
+    is replaced by U+FFFD first.  Texts of any length are encoded whole.  Rows
+    that repeat an id are encoded each; other columns are ignored; an empty
+    table gives no rows.
     """
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = _lattice(model if "/" in model else public_tokenizers.path(model))
         for batch in parts:
             ids = iter(column(batch, "doc_id"))
             for raws in pieces_of(column(batch, "text")):
-                texts = [(raw or b"").decode() for raw in raws]
+                texts = [(raw or b"").decode("utf-8", "replace") for raw in raws]
                 rows, made = [], []
                 for text, (score, best, found) in zip(texts, lattice.ranked(texts, n_best)):
                     made.append(best)
-                    rows.append((len(text), len(best), score, [loss for loss, _ in found],
+                    others = [[{"at": at, "n": n, "pieces": new} for at, n, new in changes] for _, changes in found[1:]]
+                    rows.append((len(text), len(best), score, [loss for loss, _ in found], others,
                                  hashlib.sha256(best.tobytes()).hexdigest(), lattice.decode(best) == text))
                 ends = np.cumsum([0] + [len(m) for m in made]).astype(np.int32)
                 columns = [pa.array(list(values), kind) for values, kind in zip(zip(*rows), _KINDS)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(islice(ids, len(texts))), pa.int64()), *columns[:4],
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(made))), *columns[4:]],
-                    names=["doc_id", "n_chars", "n_pieces", "score", "losses", "pieces", "pieces_sha256",
+                    names=["doc_id", "n_chars", "n_pieces", "score", "losses", "pieces", "alternatives", "pieces_sha256",
                            "round_trip"])
 
     return id_and_text(df, id_col, text_col).mapInArrow(
-        batches, "doc_id long, n_chars long, n_pieces long, score long, losses array<long>, "
-                 "pieces array<int>, pieces_sha256 string, round_trip boolean")
+        batches, "doc_id long, n_chars long, n_pieces long, score long, losses array<long>, pieces array<int>, "
+                 "alternatives array<array<struct<at: int, n: int, pieces: array<int>>>>, pieces_sha256 string, "
+                 "round_trip boolean")
+
+
+_KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()),
+          pa.list_(pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32()), ("pieces", pa.list_(pa.int32()))]))),
+          pa.string(), pa.bool_())
+
+
+def segmentations(encoded: DataFrame) -> DataFrame:
+    """doc_id, rank, score, pieces: the N best segmentations of every row of ``encode_pieces``, best first from rank 1.
+
+    A null or empty text has one, without pieces.  Rows that repeat an id give
+    theirs each.
+    """
+    def rewritten(pieces, change):
+        return F.concat(F.slice(pieces, F.lit(1), change["at"]), change["pieces"],
+                        F.slice(pieces, change["at"] + change["n"] + 1, F.size(pieces)))
+
+    every = F.concat(F.array(F.array().cast(encoded.schema["alternatives"].dataType.elementType)), "alternatives")
+    rows = encoded.select("doc_id", "score", "losses", "pieces", F.posexplode(every).alias("at", "changes"))
+    # from the last change to the first, so that positions hold
+    pieces = F.aggregate(F.reverse("changes"), F.col("pieces"), rewritten)
+    return rows.select("doc_id", (F.col("at") + 1).alias("rank"), (F.col("score") - F.col("losses")[F.col("at")]).alias("score"),
+                       pieces.alias("pieces"))
+
+
+def decode_pieces(df: DataFrame, pieces_col: str = "pieces", decoded_col: str = "decoded", model: str = MODEL) -> DataFrame:
+    """``df`` with the text that the ids of ``pieces_col`` spell, as ``decoded_col`` at the end.
+
+    The inverse of ``encode_pieces``, for any of its segmentations.  Null or
+    empty pieces spell the empty text, a null id nothing; an id that the model
+    does not have raises.  Ids that end within a character give U+FFFD.
+    """
+    names, flat = df.columns, numbered(df)
+    source = f"c{names.index(pieces_col)}"
+    inner = [*flat.columns, "decoded"]
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = _lattice(model if "/" in model else public_tokenizers.path(model))
+        for batch in parts:
+            for at in range(0, batch.num_rows, _DECODE_ROWS):
+                part = batch.slice(at, _DECODE_ROWS)
+                rows = [lattice.decode([i for i in row or () if i is not None]) for row in column(part, source)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rows, pa.string())], names=inner)
+
+    made = flat.mapInArrow(batches, StructType([*flat.schema.fields, StructField("decoded", StringType())]))
+    return made.toDF(*names, decoded_col)
 
 
-_KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.string(), pa.bool_())
+_DECODE_ROWS = 500

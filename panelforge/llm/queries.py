@@ -57,7 +57,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_pieces(read_table(spark, sf_dir, "documents")).drop("pieces")
+    return encode_pieces(read_table(spark, sf_dir, "documents"))
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

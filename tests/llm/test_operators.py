@@ -330,6 +330,44 @@ def test_encode_pieces_round_trip(spark, lattice):
         assert by_id[doc].losses[0] == 0 and list(by_id[doc].losses) == sorted(by_id[doc].losses)
 
 
+def test_batched_viterbi_equals_the_lattice(lattice):
+    rng = random.Random(12)
+    texts = ["", " ", "  ", "é▁x", " \n", "日本語😀", "漢a", "aaaaaaaa", "😀😀x", "\x00", "a b", "  q", "x" * 63, "y" * 64, "the " * 40,
+             "tionble" * 30]
+    texts += ["".join(rng.choice("abethionßç漢😀1. ") for _ in range(rng.randrange(1, 63))) for _ in range(400)]
+    scores, gaps, ids = lattice.best_of(texts)
+    for i, text in enumerate(texts):
+        assert (int(scores[i]), int(gaps[i]), tuple(ids.row(np.array([i])).tolist())) == lattice.best(" " + text)[0]
+    assert [len(a) for a in lattice.best_of([])[:2]] == [0, 0]
+
+
+def test_every_segmentation_decodes_to_its_text(spark, lattice):
+    docs = [d for d in ODD if d[0] is not None] + [(1, "the of  thtion"), (2, "日本 テ😀 x"), (3, "one")]
+    encoded = pieces.encode_pieces(frame(spark, docs))
+    rows = pieces.decode_pieces(pieces.segmentations(encoded).withColumn("raw", F.lit(1)), "pieces", "text").collect()
+    texts = {i: t or "" for i, t in docs}
+    found = {}
+    for r in rows:
+        assert r.text == texts[r.doc_id]
+        found.setdefault(r.doc_id, []).append((r.rank, r.score, tuple(r.pieces)))
+    for i, text in texts.items():
+        score, best = lattice.nbest(text)
+        assert sorted(found[i]) == [(k + 1, score - loss, ids) for k, (loss, ids) in enumerate(best)]
+        assert len({ids for _, _, ids in found[i]}) == len(best)
+
+
+def test_decoding_odd_rows(spark):
+    df = spark.createDataFrame([(1, [], 5), (2, None, 6), (3, [28705, None], 7)], "c1 int, c0 array<int>, decoded int")
+    got = pieces.decode_pieces(df, "c0", "text").collect()
+    assert [(r.c1, r.decoded, r.text) for r in got] == [(1, 5, ""), (2, 6, ""), (3, 7, "")]
+    for bad in (-1, 40000):
+        with pytest.raises(Exception, match="IndexError|no piece"):
+            pieces.decode_pieces(spark.createDataFrame([([bad],)], "pieces array<int>")).collect()
+    malformed = spark.sql("SELECT 1L AS doc_id, cast(X'61FF62' AS string) AS text")
+    row = pieces.decode_pieces(pieces.encode_pieces(malformed)).first()
+    assert row.round_trip and row.decoded == "a\ufffdb"
+
+
 # ---- language
 
 def labelled(n=240):
