@@ -57,7 +57,7 @@ TEMPLATES = (
 )
 LICENSE_NAMES = r"(?i)^(un)?(licen[cs]e|copying|copyright|notice)([.-].*)?$"
 
-_SEGMENT = re.compile(r"<[^>]*>|\n")
+_SEGMENT = re.compile(r"<[^<>]*>|\n")  # a < that no > closes before the next < is text
 _TERM = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 
 
@@ -173,13 +173,17 @@ def template_terms() -> set[str]:
     return {t for _, text in TEMPLATES for t in terms_of(text)}
 
 
+def _decoded(raw: bytes | None) -> str:
+    return (raw or b"").decode("utf-8", "replace")
+
+
 def _document_counts(files: DataFrame) -> tuple[dict[str, int], int]:
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = template_terms(), Counter()
         for batch in parts:
             for text in column(batch, "text"):
                 counts[""] += 1
-                counts.update(known.intersection(terms_of(_SEGMENT.sub(" ", text))) if text else ())
+                counts.update(known.intersection(terms_of(_SEGMENT.sub(" ", _decoded(text)))) if text else ())
         yield pa.RecordBatch.from_pydict({"term": list(counts), "n": list(counts.values())},
                                          pa.schema([("term", pa.string()), ("n", pa.int64())]))
 
@@ -194,7 +198,7 @@ def _own_notices(files: DataFrame, index: TemplateIndex, threshold: float) -> Da
         for batch in parts:
             found = []
             for text in column(batch, "text"):
-                segments = [t for t in map(terms_of, _SEGMENT.split(text or "")) if t]
+                segments = [t for t in map(terms_of, _SEGMENT.split(_decoded(text))) if t]
                 opening = bool(segments) and index.best(segments[0])[0] >= threshold
                 score, name = index.notice(segments)
                 found.append((score, name if score >= threshold else None, opening))
@@ -218,11 +222,13 @@ def license_scan(df: DataFrame, id_col: str, path_col: str, text_col: str,
     first segment is a notice is a licence file too.  Of several licence files in a
     directory the best score decides, then the smallest path.  Null texts have
     no notice; null paths inherit nothing.  Rows that repeat an id or path are
-    judged each; other columns are ignored.
+    judged each; other columns are ignored; an empty table gives no rows.
+    Malformed UTF-8 is replaced by U+FFFD.  A ``<`` that is not closed before
+    the next one is text.
     """
     scratch = Scratch(df.sparkSession, "licenses")
     files = pick(df, file_id=id_col, path=path_col, text=text_col).select(
-        F.col("file_id").cast("long"), F.col("path").cast("string"), F.col("text").cast("string"))
+        F.col("file_id").cast("long"), F.col("path").cast("string"), F.col("text").cast("string").cast("binary"))
     index = TemplateIndex(*_document_counts(files), threshold)
     own = _own_notices(files, index, threshold)
     name = F.regexp_extract("path", r"([^/]*)$", 1)
@@ -239,11 +245,16 @@ def license_scan(df: DataFrame, id_col: str, path_col: str, text_col: str,
         F.min_by("own_license", F.struct("path", "own_license")).alias("folder_license"))
     holders = scratch.table(holders, "holders")
 
-    # every distinct folder with itself and its ancestors, nearest first by length
-    folders = own.filter("folder IS NOT NULL").select("folder").distinct()
-    parts = F.split("folder", "/")
-    lineage = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda n: F.concat_ws("/", F.slice(parts, 1, n)))
-    expanded = folders.select("folder", F.explode(F.array_distinct(lineage)).alias("ancestor"))
+    # every distinct folder with those of itself and its ancestors that lie as deep as some holder;
+    # the driver gets one number per such depth
+    def depth(folder: str):
+        return F.when(F.col(folder) == "", 0).otherwise(F.size(F.split(folder, "/")))
+
+    depths = sorted(r[0] for r in holders.select(depth("folder")).distinct().collect())
+    folders = own.filter("folder IS NOT NULL").select("folder", depth("folder").alias("depth")).distinct()
+    level = F.explode(F.from_json(F.lit(str(depths)), "array<int>")).alias("level")
+    expanded = folders.select("folder", "depth", level).filter("level <= depth").select(
+        "folder", F.expr("substring_index(folder, '/', level)").alias("ancestor"))
     nearest = expanded.join(holders.withColumnRenamed("folder", "ancestor"), "ancestor").groupBy("folder").agg(
         F.max_by(F.struct("ancestor", "folder_license"), F.length("ancestor")).alias("near"))
     nearest = scratch.table(nearest, "nearest")

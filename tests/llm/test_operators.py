@@ -577,6 +577,25 @@ def test_license_runs_equal_brute_force():
         assert math.isclose(index.notice(parts)[0], want, abs_tol=1e-8)
 
 
+def test_licenses_of_long_texts_and_deep_paths(spark):
+    import time
+    deep = "/".join(f"d{i % 7}" for i in range(100_000))
+    rows = [(1, "a/LICENSE", "Licensed under the MIT License"), (2, "a/b/c/x.py", "code"), (3, "z/" + deep + "/x.py", "code"),
+            (4, f"a/{deep}/x.py", "code"), (5, f"q/{deep}/LICENSE", "Licensed under CC BY 4.0"), (6, f"q/{deep}/e/f.py", None),
+            (7, "q/f.py", ""), (8, "m/x", "<" * 1_000_000), (9, "m/y", "<b" * 500_000 + "\nLicensed under CC BY 4.0\n")]
+    df = spark.createDataFrame([(*r, "k") for r in rows], "page_id long, path string, body string, folder string")
+    start = time.time()
+    got = {r.file_id: r for r in license_scan.license_scan(df, "page_id", "path", "body").collect()}
+    assert time.time() - start < 60
+    assert [got[i].license for i in range(1, 10)] == ["MIT", "MIT", None, "MIT", "CC-BY-4.0", "CC-BY-4.0", None, None, "CC-BY-4.0"]
+    assert got[4].inherited_from == "a" and got[6].inherited_from == f"q/{deep}"
+
+
+def test_licenses_of_malformed_text(spark):
+    df = spark.sql("SELECT 1L AS id, 'f' AS path, cast(concat(X'FF0A', cast('Licensed under CC BY 4.0' AS binary)) AS string) AS body")
+    assert license_scan.license_scan(df, "id", "path", "body").first().license == "CC-BY-4.0"
+
+
 # ---- WARC
 
 PAGES = [(5, "http://a/5", "p" * 200), (3, "http://a/3", "p" * 200), (9, "http://a/9", "p" * 200), (1, "http://a/1", "short"),
