@@ -8,25 +8,26 @@ rank per step; occurrences are located by walking to sampled suffix positions,
 and overlapping occurrences merge into removal spans.
 
 The phrases are a stated query set.  They go to the tasks in blocks of bounded
-size; every block meets every document, so nothing is shuffled and no document
-leaves its task.
+size, one block per pass over the documents; a pass shuffles nothing and no
+document leaves its task.  The hits of further passes, few rows without texts,
+are written and join the first pass's by document.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, id_and_text, keep_rows, pick, pieces_of
+from .common import Scratch, column, id_and_text, keep_rows, numbered, pick, pieces_of, text_key
 
 WINDOW_WORDS = 13
 SHARD_WORDS = 1 << 18      # indexed words of a shard; a longer document is a shard of its own
-BLOCK_BYTES = 16 << 20     # benchmark text in one block of phrases
+BLOCK_BYTES = 4 << 20      # benchmark text in one block of phrases
 SAMPLE_EVERY = 16          # suffix positions kept for locating
 
 # Delimiters become spaces, A-Z lower case, in one pass over the UTF-8 bytes.
@@ -138,7 +139,7 @@ class PhraseBlock:
             size = min(window, len(ids))
             for i in range(len(ids) - size + 1 if ids else 0):
                 rows.setdefault(tuple(ids[i:i + size]), set()).add(item)
-        self.owners = [sorted(map(str, found)) for found in rows.values()]
+        self.owners = [sorted(str(i) for i in found if i is not None) for found in rows.values()]
         self.lengths = np.array([len(r) for r in rows], np.int64)
         self.shortest = int(self.lengths.min()) if rows else 0
         self.phrases = np.zeros((len(rows), window), np.int64)
@@ -189,32 +190,27 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int,
-            block_bytes: int) -> list:
-    """Broadcast phrase blocks.  Only one block at a time is on the driver as rows."""
+            block_bytes: int) -> Iterator[PhraseBlock]:
+    """Phrase blocks one by one; the driver holds one, and one partition of items, at a time."""
     items = pick(benchmark, item=id_col, text=text_col).select(
-        F.col("item").cast("string"), F.col("text").cast("string").cast("binary"))
-    items = items.filter("item IS NOT NULL AND text IS NOT NULL")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-total // block_bytes)
-    sc = benchmark.sparkSession.sparkContext
-    out = []
-    for i in range(n):
-        rows = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i)
-        block = PhraseBlock([(r[0], bytes(r[1])) for r in sorted(rows.collect())], window)
-        if len(block.lengths):
-            out.append(sc.broadcast(block))
-    return out
-
-
-def _judge(raws: list[bytes | None], blocks: list, shard_words: int) -> Iterator[tuple[int, list, set[str]]]:
+        F.col("item").cast("string"), F.col("text").cast("string").cast("binary")).filter("text IS NOT NULL")
+    rows, size = [], 0
+    for row in items.toLocalIterator():
+        rows.append((row[0], bytes(row[1])))
+        size += len(row[1])
+        if size >= block_bytes:
+            yield PhraseBlock(rows, window)
+            rows, size = [], 0
+    if rows:
+        yield PhraseBlock(rows, window)
+
+
+def _judge(raws: list[bytes | None], block: PhraseBlock | None, shard_words: int) -> Iterator[tuple[int, list, set[str]]]:
     """(words, merged spans, items) of every text."""
     texts = [words_of(t) for t in raws]
-    spans: dict[int, list[tuple[int, int]]] = {}
-    items: dict[int, set[str]] = {}
-    for handle in blocks:
-        block = handle.value
+    found: dict[int, list[tuple[int, int, int]]] = {}
+    if block is not None and len(block.lengths):
         get = block.words.get
-        found: dict[int, list[tuple[int, int, int]]] = {}
         runs, size = [], 0
         for doc, words in enumerate(texts):
             ids = np.fromiter((get(w, 0) for w in words), np.int64, len(words))
@@ -226,13 +222,62 @@ def _judge(raws: list[bytes | None], blocks: list, shard_words: int) -> Iterator
                 runs, size = [], 0
         if runs:
             _search_shard(runs, block, found)
-        for doc, hits in found.items():
-            spans.setdefault(doc, []).extend((b, e) for b, e, _ in hits)
-            own = items.setdefault(doc, set())
-            for phrase in {p for _, _, p in hits}:
-                own.update(block.owners[phrase])
     for doc, words in enumerate(texts):
-        yield len(words), merged(spans.get(doc, [])), items.get(doc, set())
+        hits = found.get(doc, ())
+        items = set().union(*(block.owners[phrase] for phrase in {p for _, _, p in hits}))
+        yield len(words), merged([(b, e) for b, e, _ in hits]), items
+
+
+_HITS = "doc_id long, text_key long, n_words long, spans array<struct<start:int,end:int>>, items array<string>"
+_SPANS_ARROW = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+
+def _pass(docs: DataFrame, block: PhraseBlock | None, shard_words: int, hits_only: bool) -> DataFrame:
+    """The hits of one block in every document, or in those that have some."""
+    handle = docs.sparkSession.sparkContext.broadcast(block)
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            found = [v for piece in pieces_of(column(batch, "text")) for v in _judge(piece, handle.value, shard_words)]
+            out = pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_key"), pa.array([n for n, _, _ in found], pa.int64()),
+                 pa.array([[{"start": b, "end": e} for b, e in spans] for _, spans, _ in found], _SPANS_ARROW),
+                 pa.array([sorted(items) for _, _, items in found], pa.list_(pa.string()))],
+                names=["doc_id", "text_key", "n_words", "spans", "items"])
+            yield out.filter(pa.array([bool(spans) for _, spans, _ in found], pa.bool_())) if hits_only else out
+
+    return docs.mapInArrow(batches, _HITS)
+
+
+def _added_up(docs: DataFrame, blocks: Iterator[PhraseBlock], shard_words: int) -> DataFrame:
+    """doc_id, text_key, n_words, spans, items of every row of ``docs`` against all blocks."""
+    first = _pass(docs, next(blocks, None), shard_words, False)
+    scratch, more = None, None
+    for block in blocks:
+        scratch = scratch or Scratch(docs.sparkSession, "phrases")
+        found = scratch.table(_pass(docs, block, shard_words, True).drop("n_words").distinct(), "hits")
+        more = found if more is None else more.unionByName(found)
+    if more is None:
+        return first
+    # one row per document and block with hits: rows that repeat an id and a text were made one
+    more = scratch.table(more.groupBy("doc_id", "text_key").agg(
+        F.flatten(F.collect_list("spans")).alias("more_spans"), F.flatten(F.collect_list("items")).alias("more_items")), "more")
+    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.text_key") == F.col("b.text_key"))
+    empty = [F.array().cast(more.schema[c].dataType) for c in ("more_spans", "more_items")]
+    return first.alias("a").join(more.alias("b"), same, "left").select(
+        "a.doc_id", "a.text_key", "n_words", _merged(F.concat("spans", F.coalesce("more_spans", empty[0]))).alias("spans"),
+        F.array_sort(F.array_distinct(F.concat("items", F.coalesce("more_items", empty[1])))).alias("items"))
+
+
+def _merged(spans: Column) -> Column:
+    """``merged`` for a column of spans: in order, overlapping or touching ones made one."""
+    def add(done: Column, span: Column) -> Column:
+        last = F.element_at(done, -1)
+        wider = F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))
+        joined = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(wider))
+        return F.when(F.size(done) == 0, F.array(span)).when(span["start"] <= last["end"], joined).otherwise(
+            F.concat(done, F.array(span)))
+    return F.aggregate(F.array_sort(spans), F.array().cast("array<struct<start:int,end:int>>"), add)
 
 
 def contaminated(n_words: int, n_hit: int) -> bool:
@@ -250,39 +295,54 @@ def contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
     whole.  ``spans`` are the merged word ranges [start, end) covered by phrase
     occurrences, ``n_hit`` the words in them, ``n_items`` the items with an
     occurring phrase; ``items_sha256`` hashes their ids, sorted as strings and
-    comma-joined.  Null and empty texts have no words and no hits; items
-    without an id or without words, and an empty benchmark, match nothing.
-    Several items with one phrase all count; rows that repeat an id are judged
-    by their own text.  Other columns are ignored.
+    comma-joined.  The phrases of an item without an id count in ``n_hit``, but
+    it is no named item.  Null and empty texts have no words and no hits; items
+    without words, and an empty benchmark, match nothing.  Several items with
+    one phrase all count; rows that repeat an id are judged by their own text.
+    Other columns are ignored; an empty ``df`` gives no rows.
     """
-    blocks = _blocks(benchmark, item_id_col, item_text_col, window, block_bytes)
+    docs = id_and_text(df, id_col, text_col).select("doc_id", text_key(), "text")
+    found = _added_up(docs, _blocks(benchmark, item_id_col, item_text_col, window, block_bytes), shard_words)
+    found = found.withColumn("n_hit", _n_hit())
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        _contaminated().alias("contaminated"), "spans")
 
-    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts:
-            found = [v for piece in pieces_of(column(batch, "text")) for v in _judge(piece, blocks, shard_words)]
-            hits = [sum(e - b for b, e in spans) for _, spans, _ in found]
-            names = [",".join(sorted(items)) for _, _, items in found]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([n for n, _, _ in found], pa.int64()),
-                 pa.array(hits, pa.int64()), pa.array([len(items) for _, _, items in found], pa.int64()),
-                 pa.array([hashlib.sha256(n.encode()).hexdigest() for n in names], pa.string()),
-                 pa.array([contaminated(n, h) for (n, _, _), h in zip(found, hits)], pa.bool_()),
-                 pa.array([[{"start": b, "end": e} for b, e in spans] for _, spans, _ in found],
-                          pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
-                names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"])
-
-    return id_and_text(df, id_col, text_col).mapInArrow(
-        batches, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, "
-                 "contaminated boolean, spans array<struct<start:int,end:int>>")
 
+def _n_hit() -> Column:
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
 
-def decontaminate(df: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` without its contaminated rows; the others stay as they are, with all columns."""
-    blocks = _blocks(benchmark, "item_id", "text", WINDOW_WORDS, BLOCK_BYTES)
 
-    def decide(pieces: Iterator[list[bytes | None]]) -> Iterator[list[bool]]:
-        for piece in pieces:
-            yield [not contaminated(n, sum(e - b for b, e in spans))
-                   for n, spans, _ in _judge(piece, blocks, SHARD_WORDS)]
+def _contaminated() -> Column:
+    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
 
-    return keep_rows(df, text_col, decide)
+def decontaminate(df: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """``df`` without its contaminated rows; the others stay as they are, with all columns.
+
+    Every row is judged by its text alone, so rows without an id, or that repeat
+    one, are judged each; null and empty texts stay.  An empty benchmark removes
+    nothing, an empty ``df`` stays empty.
+    """
+    blocks = _blocks(benchmark, "item_id", "text", WINDOW_WORDS, BLOCK_BYTES)
+    first, second = next(blocks, None), next(blocks, None)
+    if second is None:
+        handle = df.sparkSession.sparkContext.broadcast(first)
+
+        def decide(pieces: Iterator[list[bytes | None]]) -> Iterator[list[bool]]:
+            for piece in pieces:
+                yield [not contaminated(n, sum(e - b for b, e in spans))
+                       for n, spans, _ in _judge(piece, handle.value, SHARD_WORDS)]
+
+        return keep_rows(df, text_col, decide)
+    # of several blocks a row's hits must be added up first: by text, told apart by two hashes
+    handed = [b for b in (first, second) if b is not None]
+    names, flat = df.columns, numbered(df)
+    text = F.col(f"c{names.index(text_col)}").cast("string").cast("binary")
+    keyed = flat.withColumns({"doc_id": F.xxhash64(F.lit(1), text), "text_key": F.xxhash64(text)})
+    docs = keyed.select("doc_id", "text_key", text.alias("text"))
+    found = _added_up(docs, chain(handed, blocks), SHARD_WORDS).withColumn("n_hit", _n_hit())
+    gone = Scratch(df.sparkSession, "contaminated").table(
+        found.filter(_contaminated()).select("doc_id", "text_key").distinct(), "gone")
+    return keyed.join(gone, ["doc_id", "text_key"], "left_anti").select(flat.columns).toDF(*names)
