@@ -3,8 +3,11 @@
 Words and word pairs are hashed into a fixed number of buckets.  Two
 generative models, smoothed multinomials over the buckets, are fitted: one to
 target text, one to all raw text.  A document's weight is the log ratio of its
-likelihoods; adding Gumbel noise and taking the top k samples k documents
-without replacement in proportion to the weights.
+likelihoods per n-gram (by their sum, length alone would decide).  The key of a
+document is this mean log ratio plus Gumbel noise scaled by a temperature T, and
+the top k keys are kept: k documents drawn one after the other without
+replacement, each draw with odds exp(mean log ratio / T).  A small T comes close
+to a plain top k, a large one to a uniform sample.
 
 The bucket counts are one bounded vector per task, summed in Spark.  The k-th
 key is found by a radix search over the keys' bits, four aggregations of
@@ -26,7 +29,7 @@ BUCKETS = 1 << 14
 TARGET_ROWS = 20_000   # bound of the labelled sample the target model is fitted to
 KEEP_SHARE = 0.8       # k, as a share of the documents
 SMOOTHING = 0.5        # added to every bucket count
-TEMPERATURE = 0.005    # scale of the Gumbel noise against the mean log ratio per n-gram
+TEMPERATURE = 0.005    # T: scale of the Gumbel noise against the mean log ratio per n-gram
 SEED = 11
 
 
@@ -91,13 +94,14 @@ def kth_largest(keys: DataFrame, k: int) -> int | None:
 
 def importance_sample(df: DataFrame, target_ids: DataFrame, id_col: str = "doc_id",
                       text_col: str = "text", keep_share: float = KEEP_SHARE, buckets: int = BUCKETS,
-                      target_rows: int = TARGET_ROWS, seed: int = SEED) -> DataFrame:
+                      target_rows: int = TARGET_ROWS, seed: int = SEED,
+                      temperature: float = TEMPERATURE) -> DataFrame:
     """doc_id, n_ngrams, log_ratio, gumbel_key, kept: one row per row of ``df``.
 
     ``target_ids`` (doc_id) names documents of the wanted kind; the target model
     is fitted to the ``target_rows`` of them with the smallest id hashes, the
-    raw model to all rows.  ``log_ratio`` is the mean over the n-grams: with
-    sums, length alone would decide.  k is ``keep_share`` of the rows that have
+    raw model to all rows.  ``log_ratio`` is the mean over the n-grams.  Rows are
+    drawn without replacement with odds exp(log_ratio / ``temperature``).  k is ``keep_share`` of the rows that have
     n-grams, rounded up; ties with the k-th key are kept too.  Null and blank
     texts have no n-grams, ratio 0 and are never kept.  With no target row, all
     ratios compare the flat model with the raw one.  Rows that repeat an id are
@@ -120,7 +124,7 @@ def importance_sample(df: DataFrame, target_ids: DataFrame, id_col: str = "doc_i
                 names=["doc_id", "text_key", "n_ngrams", "log_ratio"])
 
     scored = docs.mapInArrow(batches, "doc_id long, text_key long, n_ngrams long, log_ratio double")
-    noisy = F.col("log_ratio") + TEMPERATURE * gumbel(seed)
+    noisy = F.col("log_ratio") + temperature * gumbel(seed)
     # fixed point above zero: long keys order as the doubles do
     key = F.when(F.col("n_ngrams") > 0, (F.least(F.greatest(noisy, F.lit(-1e3)), F.lit(1e3)) * 1e12 + 2e15).cast("long"))
     scored = scratch.table(scored.withColumns({"gumbel_key": noisy, "key": key}), "scored")
