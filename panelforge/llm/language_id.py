@@ -25,7 +25,8 @@ WINDOW_BYTES = 192
 WIDTHS = (2, 3, 4)
 FILTERS = 16             # per width
 ROWS_PER_LANGUAGE = 800  # bound of the training sample
-WINDOWS_PER_ROW = 4      # spread over the whole text
+WINDOWS_PER_ROW = 4      # distinct ones, spread over the whole text
+MAX_LABELS = 1000        # more are taken for a wrong column
 EPOCHS = 10
 _BATCH_WINDOWS = 256
 _LETTER = regex.compile(r"\p{L}")
@@ -71,10 +72,32 @@ class ByteNetwork:
         e = np.exp(z - z.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 
+    def parameters(self) -> list[np.ndarray]:
+        return [*self.tables, *self.bias, self.out, self.out_bias]
+
+    def gradients(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
+        """Of the mean weighted cross-entropy, in the order of ``parameters``."""
+        pooled, places = self._pooled(x)
+        hidden = np.maximum(pooled, 0)
+        p = self._softmax(hidden @ self.out + self.out_bias)
+        p[np.arange(len(x)), y] -= 1
+        p *= (weight / len(x))[:, None]
+        back = (p @ self.out.T) * (pooled > 0)
+        tables, biases = [], []
+        for k, (w, place) in enumerate(zip(WIDTHS, places)):
+            g = back[:, k * FILTERS:(k + 1) * FILTERS]
+            grad = np.zeros((w, 256, FILTERS), g.dtype)
+            filters = np.broadcast_to(np.arange(FILTERS), place.shape)
+            for j in range(w):
+                np.add.at(grad[j], (np.take_along_axis(x, place + j, 1), filters), g)
+            tables.append(grad)
+            biases.append(g.sum(axis=0))
+        return [*tables, *biases, hidden.T @ p, p.sum(axis=0)]
+
     def train(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, epochs: int = EPOCHS,
               seed: int = 6, rate: float = 0.01) -> None:
         rng = np.random.default_rng(seed)
-        params = [*self.tables, *self.bias, self.out, self.out_bias]
+        params = self.parameters()
         first = [np.zeros_like(p) for p in params]
         second = [np.zeros_like(p) for p in params]
         step = 0
@@ -82,25 +105,8 @@ class ByteNetwork:
             order = rng.permutation(len(x))
             for at in range(0, len(x), 64):
                 rows = order[at:at + 64]
-                part = x[rows]
-                pooled, places = self._pooled(part)
-                hidden = np.maximum(pooled, 0)
-                p = self._softmax(hidden @ self.out + self.out_bias)
-                p[np.arange(len(rows)), y[rows]] -= 1
-                p *= (weight[rows] / len(rows))[:, None]
-                back = (p @ self.out.T) * (pooled > 0)
-                tables, biases = [], []
-                for k, (w, place) in enumerate(zip(WIDTHS, places)):
-                    g = back[:, k * FILTERS:(k + 1) * FILTERS]
-                    grad = np.zeros((w, 256, FILTERS), np.float32)
-                    filters = np.broadcast_to(np.arange(FILTERS), place.shape)
-                    for j in range(w):
-                        np.add.at(grad[j], (np.take_along_axis(part, place + j, 1), filters), g)
-                    tables.append(grad)
-                    biases.append(g.sum(axis=0))
-                grads = [*tables, *biases, hidden.T @ p, p.sum(axis=0)]
                 step += 1
-                for q, g, m, v in zip(params, grads, first, second):
+                for q, g, m, v in zip(params, self.gradients(x[rows], y[rows], weight[rows]), first, second):
                     m += 0.1 * (g - m)
                     v += 0.001 * (g * g - v)
                     q -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-7)
@@ -150,13 +156,16 @@ def train_language_model(df: DataFrame, id_col: str = "doc_id", text_col: str =
     """Fit the network on at most ``rows_per_language`` rows of every label; None without any.
 
     The rows with the smallest hashes of id and text are taken, so the sample does not depend
-    on the partitioning.  Each gives up to ``WINDOWS_PER_ROW`` windows spread over its text.
+    on the partitioning.  Each gives up to ``WINDOWS_PER_ROW`` distinct windows spread over its
+    whole text.  More than ``MAX_LABELS`` labels raise.
     """
     rows = pick(df, doc_id=id_col, text=text_col, label=label_col).select(
         F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("label").cast("string"))
     rows = rows.filter(~held_out() & F.col("label").isNotNull() & F.col("text").rlike(r"\p{L}"))
     # A hash below the label's bound keeps about twice the wanted rows; of these the smallest stay.
-    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().limit(MAX_LABELS + 1).collect()}
+    if len(counts) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels in {label_col}: not a column of languages")
     if not counts:
         return None
     key = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
@@ -167,7 +176,7 @@ def train_language_model(df: DataFrame, id_col: str = "doc_id", text_col: str =
     raw = F.col("text").cast("binary")
     n_windows = F.greatest(F.lit(1), F.ceil(F.length(raw) / WINDOW_BYTES).cast("int"))
     picked = F.transform(F.sequence(F.lit(0), F.least(F.lit(WINDOWS_PER_ROW), n_windows) - 1),
-                         lambda i: F.substring(raw, (F.floor(i * n_windows / WINDOWS_PER_ROW).cast("int")
+                         lambda i: F.substring(raw, (F.floor(i * n_windows / F.least(F.lit(WINDOWS_PER_ROW), n_windows)).cast("int")
                                                      * WINDOW_BYTES + 1), F.lit(WINDOW_BYTES)))
     sample = rows.withColumn("key", key).filter(F.col("key") < bound)
     sample = sample.select("label", "key", "doc_id", picked.alias("windows")).collect()
@@ -200,7 +209,7 @@ def identify_language(df: DataFrame, network: ByteNetwork | None, id_col: str =
         for batch in parts:
             langs, scores = [], []
             for raw in column(batch, "text"):
-                if network is None or not raw or not _LETTER.search(raw.decode()):
+                if network is None or not raw or not _LETTER.search(raw.decode("utf-8", "replace")):
                     langs.append(UNKNOWN)
                     scores.append(0.0)
                     continue
@@ -223,7 +232,7 @@ def keep_identified(df: DataFrame, network: ByteNetwork | None, min_score: float
     """
     def decide(pieces: Iterator[list[bytes | None]]) -> Iterator[list[bool]]:
         for piece in pieces:
-            yield [network is not None and bool(raw) and bool(_LETTER.search(raw.decode()))
+            yield [network is not None and bool(raw) and bool(_LETTER.search(raw.decode("utf-8", "replace")))
                    and float(_mean(network, raw).max()) >= min_score for raw in piece]
 
     return keep_rows(df, text_col, decide)

@@ -7,6 +7,7 @@ import math
 import random
 import re
 import textwrap
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -200,13 +201,13 @@ def judged(docs, items, window=13):
         for item, phrase in items:
             p = bench_words(phrase)
             k = min(window, len(p))
-            if item is None or not k:
+            if not k:
                 continue
             wanted = {tuple(p[i:i + k]) for i in range(len(p) - k + 1)}
             for i in range(len(w) - k + 1):
                 if tuple(w[i:i + k]) in wanted:
                     hit.update(range(i, i + k))
-                    own.add(str(item))
+                    own |= {str(item)} - {"None"}  # an item without an id hits, but is not named
         names = hashlib.sha256(",".join(sorted(own)).encode()).hexdigest()
         out.append((str(doc), len(w), len(hit), len(own), names, bool(hit) and 20 * len(hit) >= len(w)))
     return sorted(out)
@@ -236,6 +237,22 @@ def test_decontaminate_drops_only_contaminated_rows(spark):
     assert decontaminate.decontaminate(docs, empty).count() == 4
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 22, 20])
+def test_items_without_an_id_hit(spark, monkeypatch, block_bytes):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block_bytes)
+    bench = spark.createDataFrame([(None, "one two three"), (None, "four five six seven"), (7, "eight nine"), (8, "ten eleven")],
+                                  "item_id long, text string")
+    docs = frame(spark, [(1, "one two three"), (2, "eight nine four five six seven"), (2, "clean"), (None, "ten eleven"),
+                         (3, None), (4, "one two"), (5, "z " * 70 + "one two three ten eleven"), (1, "one two three")])
+    got = sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items, r.contaminated)
+                 for r in decontaminate.contamination(docs, bench, block_bytes=block_bytes).collect())
+    assert got == [("1", 3, 3, 0, True), ("1", 3, 3, 0, True), ("2", 1, 0, 0, False), ("2", 6, 6, 1, True), ("3", 0, 0, 0, False),
+                   ("4", 2, 0, 0, False), ("5", 75, 5, 1, True), ("None", 2, 2, 1, True)]
+    left = decontaminate.decontaminate(docs, bench)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == [(2, "clean"), (3, None), (4, "one two")]
+
+
 def test_fm_index_finds_and_locates():
     rng = np.random.default_rng(6)
     sequence = rng.integers(1, 6, 500)
@@ -413,6 +430,86 @@ def test_fast_network_equals_training_form():
     assert np.allclose(network._pooled(x)[0], network._fast_pooled(x), atol=1e-4)
 
 
+def small_network(rng, labels=("a", "b", "c")):
+    network = language_id.ByteNetwork(list(labels))
+    network.bias = [rng.normal(0, 0.2, b.shape).astype(np.float32) for b in network.bias]
+    network.out_bias = rng.normal(0, 0.2, network.out_bias.shape).astype(np.float32)
+    return network
+
+
+def loop_probabilities(network, window):
+    """One filter at a time over one place at a time."""
+    hidden = []
+    for table, bias in zip(network.tables, network.bias):
+        width, _, filters = table.shape
+        for f in range(filters):
+            best = max(sum(float(table[k][window[i + k]][f]) for k in range(width)) for i in range(len(window) - width + 1))
+            hidden.append(max(best + float(bias[f]), 0.0))
+    z = [sum(h * float(network.out[i][c]) for i, h in enumerate(hidden)) + float(network.out_bias[c])
+         for c in range(len(network.labels))]
+    e = [math.exp(v - max(z)) for v in z]
+    return [v / sum(e) for v in e]
+
+
+def test_network_equals_plain_loops():
+    rng = np.random.default_rng(8)
+    network = small_network(rng)
+    for text in ("short", "é ü ñ " * 20, "exactly".ljust(192, "x"), "two windows " * 30, "z" * 1000):
+        raw = text.encode()
+        parts = [raw[i:i + 192] for i in range(0, len(raw), 192)]
+        rows = [loop_probabilities(network, part.ljust(192, b" ")) for part in parts]
+        want = [sum(len(p) * r[c] for p, r in zip(parts, rows)) / len(raw) for c in range(3)]
+        assert np.allclose(language_id._mean(network, raw), want, atol=1e-5)
+
+
+def test_network_gradient_is_the_slope_of_the_loss():
+    rng = np.random.default_rng(9)
+    network = small_network(rng)
+    for name in ("tables", "bias"):
+        setattr(network, name, [p.astype(np.float64) for p in getattr(network, name)])
+    network.out, network.out_bias = network.out.astype(np.float64), network.out_bias.astype(np.float64)
+    x = rng.integers(97, 105, (12, 30)).astype(np.uint8)
+    y, weight = rng.integers(0, 3, 12), rng.uniform(0.5, 2, 12)
+
+    def loss():
+        pooled, _ = network._pooled(x)
+        p = network._softmax(np.maximum(pooled, 0) @ network.out + network.out_bias)
+        return float(-(weight * np.log(p[np.arange(12), y])).mean())
+
+    params, grads = network.parameters(), network.gradients(x, y, weight)
+    for param, grad in zip(params, grads):
+        spots = [tuple(rng.integers(0, n) for n in param.shape) for _ in range(20)]
+        spots += [tuple(i) for i in np.argwhere(np.abs(grad) == np.abs(grad).max())[:2]]
+        for spot in spots:
+            kept, step = param[spot], 1e-6
+            param[spot] = kept + step
+            up = loss()
+            param[spot] = kept - step
+            down = loss()
+            param[spot] = kept
+            assert abs((up - down) / (2 * step) - grad[spot]) < 1e-5
+
+
+def test_training_windows_are_distinct_and_spread(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language_id.ByteNetwork, "train", lambda self, x, y, weight: seen.append((x, y)))
+    text = "".join(f"{i:05d}x" for i in range(32 * 9))  # nine windows of 192 bytes, all different
+    rows = [(n, text[:192 * n - 5], lang) for n, lang in ((2, "two"), (3, "three"), (9, "nine"), (1, "one"))]
+    rows = [next((i, t, lang) for i in range(1000 * n, 1000 * n + 99) if zlib.crc32(str(i).encode()) % 3 != 1) for n, t, lang in rows]
+    network = language_id.train_language_model(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    got = {lang: {bytes(w).decode().rstrip() for w, k in zip(*seen[0]) if network.labels[k] == lang} for lang in network.labels}
+    for n, chosen in (("one", (0,)), ("two", (0, 1)), ("three", (0, 1, 2)), ("nine", (0, 2, 4, 6))):
+        whole = next(t for _, t, lang in rows if lang == n)
+        assert got[n] == {whole[192 * w:192 * (w + 1)] for w in chosen}
+    assert len(seen[0][0]) == 1 + 2 + 3 + 4
+
+
+def test_too_many_labels_raise(spark):
+    df = spark.range(3 * language_id.MAX_LABELS).selectExpr("id AS doc_id", "'text' AS text", "cast(id AS string) AS lang")
+    with pytest.raises(ValueError, match="labels"):
+        language_id.train_language_model(df)
+
+
 # ---- quality rules
 
 def measures(text):
@@ -577,6 +674,30 @@ def test_license_runs_equal_brute_force():
         assert math.isclose(index.notice(parts)[0], want, abs_tol=1e-8)
 
 
+def test_sampling_odds_follow_ratio_and_temperature(spark):
+    """The first draw takes a row with odds exp(ratio / T)."""
+    ratios, t, draws = [0.0, 0.01, 0.02], 0.01, 3000
+    rows = spark.createDataFrame([(i, 77, r) for i, r in enumerate(ratios)], "doc_id long, text_key long, log_ratio double")
+    keys = [(F.col("log_ratio") + t * importance.gumbel(seed)).alias(f"k{seed}") for seed in range(draws)]
+    drawn = np.array([list(r) for r in rows.orderBy("doc_id").select(*keys).collect()])
+    share = np.bincount(drawn.argmax(axis=0), minlength=3) / draws
+    odds = np.exp(np.array(ratios) / t)
+    assert np.allclose(share, odds / odds.sum(), atol=0.03)
+
+
+def test_temperature_moves_from_top_k_to_uniform(spark):
+    rng = random.Random(20)
+    good = [(i, "good fine " * rng.randrange(5, 30)) for i in range(100)]
+    poor = [(100 + i, "poor weak " * rng.randrange(5, 30)) for i in range(100)]
+    df, ids = frame(spark, good + poor), spark.range(20).withColumnRenamed("id", "doc_id")
+
+    def good_share(t):
+        kept = importance.importance_sample(df, ids, keep_share=0.5, temperature=t).filter("kept").collect()
+        assert len(kept) == 100
+        return sum(r.doc_id < 100 for r in kept) / 100
+    assert good_share(1e-6) == 1.0 and 0.35 < good_share(1000.0) < 0.65
+
+
 def test_licenses_of_long_texts_and_deep_paths(spark):
     import time
     deep = "/".join(f"d{i % 7}" for i in range(100_000))
