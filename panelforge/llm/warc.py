@@ -2,7 +2,7 @@
 
 Writing.  Records are cut into shards by ranges of the page id.  The cuts come
 from exact byte sums over equal id blocks, not from sampling, so the same input
-always gives the same files.  Every shard is one partition, and so is its
+always gives the same files; a block of many shards' bytes is dealt over several.  Every shard is one partition, and so is its
 reading.  Inside a shard records are sorted; a task streams
 them into gzip members and rolls to a new file when the compressed size is
 reached.  HTTP headers, WARC headers and digests are regenerated.
@@ -39,7 +39,8 @@ from .common import Scratch, pick
 MIN_REVISIT_BYTES = 100
 ROLL_BYTES = 64 << 20        # compressed size at which a file is closed
 SHARD_BYTES = 128 << 20      # payload bytes aimed at per shard
-ID_BLOCKS = 1 << 15          # id ranges whose sizes the driver sees
+ID_BLOCKS = 1 << 17          # id ranges whose sizes the driver sees
+LARGEST_BLOCK = 8            # shard sizes that one id block may fill before it is dealt out
 RECORD_DATE = "2000-01-01T00:00:00Z"  # pages carry no fetch time
 _CHUNK = 1 << 20
 _LEVEL = 6
@@ -49,9 +50,24 @@ RECORDS = ("page_id long, url string, payload_bytes long, payload_digest string,
            "refers_to long, intact boolean, payload binary")
 
 
+# Schemes that Hadoop knows, by the names of the file systems that write them here.
+_SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "gcs": "gs",
+            "abfs": "abfs", "abfss": "abfss", "wasb": "abfs", "wasbs": "abfss"}
+
+
+def archive_uri(path: str) -> str:
+    """The path as the file-system library names it; raises for a scheme that it cannot write."""
+    scheme, colon, rest = path.partition(":")
+    if path.startswith("/") or not colon or "/" in scheme:
+        return path
+    if scheme.lower() not in _SCHEMES:
+        raise ValueError(f"archives cannot be written to {scheme}: paths; known are {sorted(_SCHEMES)}")
+    return f"{_SCHEMES[scheme.lower()]}:{rest}"
+
+
 def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else \
-        (pafs.LocalFileSystem(), path)
+    uri = archive_uri(path)
+    return (pafs.LocalFileSystem(), uri) if uri == path and ":" not in path.split("/")[0] else pafs.FileSystem.from_uri(uri)
 
 
 def record_uri(page_id: int | None, digest: str, repeat: int) -> str:
@@ -120,25 +136,39 @@ class _Roller:
 
 
 def _sharded(pages: DataFrame, shard_bytes: int) -> tuple[Column, int]:
-    """The shard of a page by its id, cut at exact sums of payload bytes, and the shard count."""
+    """The shard of a page, cut at exact sums of payload bytes, and the shard count.
+
+    Shards are ranges of ids, whole id blocks each.  A block of more than
+    ``LARGEST_BLOCK`` shards' bytes (a hot id, or ids crowded far from others) is
+    dealt over several by the payloads' digests, so that records of one id and
+    payload stay together; so are the pages without an id, from shard 0 on.
+    """
     low, high = pages.agg(F.min("page_id"), F.max("page_id")).first()
-    if low is None:
-        return F.lit(0), 1
     bits = 0  # an id block is 2 ** bits ids
-    while (high >> bits) - (low >> bits) >= ID_BLOCKS:
+    while low is not None and (high >> bits) - (low >> bits) >= ID_BLOCKS:
         bits += 1
-    block = (F.shiftright("page_id", bits) - (low >> bits)).cast("int")
-    sizes = dict(pages.filter("page_id IS NOT NULL").groupBy(block.alias("block"))
-                 .agg(F.sum("payload_bytes")).collect())  # at most one row per id block
-    shards, shard, size = [], 0, 0  # by block number
-    for number in range(max(sizes) + 1):
+    block = (F.shiftright("page_id", bits) - ((low or 0) >> bits)).cast("int")
+    sizes = dict(pages.groupBy(block.alias("block")).agg(F.sum("payload_bytes")).collect())  # at most one row per block
+    nameless = max(1, -(-sizes.pop(None, 0) // shard_bytes))
+    starts, counts, shard, size = [], [], 0, 0  # by block number
+    for number in range(max(sizes, default=-1) + 1):
         more = sizes.get(number, 0)
         if size and size + more > shard_bytes:
             shard, size = shard + 1, 0
-        size += more
-        shards.append(shard)
-    of_block = F.from_json(F.lit(str(shards)), "array<int>")  # a constant, so it is parsed once
-    return F.coalesce(F.get(of_block, block), F.lit(0)), shard + 1
+        starts.append(shard)
+        counts.append(-(-more // shard_bytes) if more > LARGEST_BLOCK * shard_bytes else 1)
+        shard, size = shard + counts[-1] - 1, size + more
+
+    def dealt(count: Column) -> Column:
+        return F.pmod(F.xxhash64("digest"), count).cast("int")
+
+    def of_block(values: list[int]) -> Column:
+        return F.get(F.from_json(F.lit(str(values)), "array<int>"), block)  # a constant, so it is parsed once
+
+    place = of_block(starts)
+    if max(counts, default=1) > 1:
+        place = place + F.when(of_block(counts) > 1, dealt(of_block(counts))).otherwise(0)
+    return F.coalesce(place, dealt(F.lit(nameless)) if nameless > 1 else F.lit(0)), max(shard + 1, nameless)
 
 
 def write_archives(pages: DataFrame, root: str, id_col: str = "page_id", url_col: str = "url",
@@ -150,9 +180,12 @@ def write_archives(pages: DataFrame, root: str, id_col: str = "page_id", url_col
     repeat a page id get record ids that differ in a running number; of several
     with one payload of at least 100 bytes the first is written in full.  A
     null page id sorts first and counts as larger than every id when a payload's
-    response is chosen.  Other columns are ignored.
+    response is chosen.  Records of one id and payload lie in one shard, all
+    others are spread.  Malformed UTF-8 is written as it is.  Other columns are
+    ignored; an empty table gives an empty manifest.
     """
     spark = pages.sparkSession
+    archive_uri(root)  # raises before any work
     rows = pick(pages, page_id=id_col, url=url_col, payload=payload_col).select(
         F.col("page_id").cast("long"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
         F.coalesce(F.col("payload").cast("string").cast("binary"), F.lit(b"")).alias("payload"))
