@@ -283,8 +283,10 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
         return left["_id"].eqNullSafe(right["_id"]) & (left["_key"] == right["_key"])
 
     # a component is named by its id; rows of null id alone by their set
-    keys = _placed(df, id_col, text_col, **options).filter("n_shingles > 0").groupBy(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), *_PRINTS).agg(
+    # Written before it is aggregated: an aggregate would share the partitions of the join by
+    # set, and a set that many rows have could then not be split.
+    placed = scratch.table(_placed(df, id_col, text_col, **options).filter("n_shingles > 0").drop("n_shingles", "kept"), "placed")
+    keys = placed.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), *_PRINTS).agg(
         F.count(F.lit(1)).alias("n"), F.first("component_id").alias("component"))
     keys = scratch.table(keys, "keys")
     nameless = F.col("component").isNull()
