@@ -26,6 +26,7 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16             # per width
 ROWS_PER_LANGUAGE = 800  # bound of the training sample
 WINDOWS_PER_ROW = 4      # distinct ones, spread over the whole text
+LIMIT_ROWS = 2000        # bound of the held-out sample that limits are taken from
 MAX_LABELS = 1000        # more are taken for a wrong column
 EPOCHS = 10
 _BATCH_WINDOWS = 256
@@ -49,6 +50,7 @@ class ByteNetwork:
         self.bias = [np.zeros(FILTERS, np.float32) for _ in WIDTHS]
         self.out = rng.normal(0, 0.1, (FILTERS * len(WIDTHS), len(labels))).astype(np.float32)
         self.out_bias = np.zeros(len(labels), np.float32)
+        self.seen = np.zeros(1 << 16, bool)  # pairs of neighbouring bytes in the training windows
         self._pairs: list[np.ndarray] | None = None
 
     def __getstate__(self) -> dict:
@@ -96,6 +98,7 @@ class ByteNetwork:
 
     def train(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, epochs: int = EPOCHS,
               seed: int = 6, rate: float = 0.01) -> None:
+        self.seen[x[:, :-1].astype(np.intp) * 256 + x[:, 1:]] = True
         rng = np.random.default_rng(seed)
         params = self.parameters()
         first = [np.zeros_like(p) for p in params]
@@ -224,15 +227,56 @@ def identify_language(df: DataFrame, network: ByteNetwork | None, id_col: str =
         batches, "doc_id long, lang_pred string, score double")
 
 
-def keep_identified(df: DataFrame, network: ByteNetwork | None, min_score: float,
+def coverage(network: ByteNetwork, raw: bytes) -> float:
+    """Share of the text's pairs of neighbouring bytes that stood in the training windows."""
+    x = np.frombuffer(raw, np.uint8)
+    return float(network.seen[x[:-1].astype(np.intp) * 256 + x[1:]].mean()) if len(x) > 1 else 1.0
+
+
+def rejection_limits(df: DataFrame, network: ByteNetwork | None, id_col: str = "doc_id", text_col: str = "text",
+                     label_col: str = "lang", rows: int = LIMIT_ROWS) -> tuple[float, float]:
+    """(score, coverage) below which a text fits no learned language.
+
+    From about ``rows`` held-out labelled rows, chosen by hash: half way
+    between chance, one over the number of labels, and the score that all but a
+    thousandth of them reach, and half the coverage that all but a thousandth
+    reach.  (0, 0), which rejects nothing, without a network or such rows.
+    """
+    if network is None:
+        return 0.0, 0.0
+    known = pick(df, doc_id=id_col, text=text_col, label=label_col).select(
+        F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary"), F.col("label").cast("string"))
+    known = known.filter(held_out() & F.col("label").isNotNull() & F.col("text").cast("string").rlike(r"\p{L}"))
+    # the hash keeps about the wanted rows where they lie; only their figures go to the driver
+    share = min(1.0, rows / max(known.count(), 1))
+    known = known.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30))).select("text")
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            texts = column(batch, "text")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([float(_mean(network, t).max()) for t in texts], pa.float64()),
+                 pa.array([coverage(network, t) for t in texts], pa.float64())], names=["score", "coverage"])
+
+    found = np.array([list(r) for r in known.mapInArrow(batches, "score double, coverage double").collect()])
+    if not len(found):
+        return 0.0, 0.0
+    score, covered = np.quantile(found, 0.001, axis=0)
+    chance = 1 / len(network.labels)
+    return float(chance + (score - chance) / 2), float(covered / 2)
+
+
+def keep_identified(df: DataFrame, network: ByteNetwork | None, min_score: float, min_coverage: float = 0.0,
                     text_col: str = "text") -> DataFrame:
-    """``df`` without rows whose language is unknown or whose score is below ``min_score``.
+    """``df`` without the rows whose language is unknown; all columns stay.
 
-    All columns stay.
+    Unknown is that of null texts, texts without a letter, and those whose score
+    or coverage lies below its limit; without a network, of all.
     """
     def decide(pieces: Iterator[list[bytes | None]]) -> Iterator[list[bool]]:
         for piece in pieces:
             yield [network is not None and bool(raw) and bool(_LETTER.search(raw.decode("utf-8", "replace")))
-                   and float(_mean(network, raw).max()) >= min_score for raw in piece]
+                   and coverage(network, raw) >= min_coverage and float(_mean(network, raw).max()) >= min_score
+                   for raw in piece]
 
     return keep_rows(df, text_col, decide)

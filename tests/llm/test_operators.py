@@ -766,6 +766,42 @@ def test_warc_shards_follow_the_ids_at_any_range(spark):
         assert [r.shard for r in rows if r.page_id is None] == [0]
 
 
+def test_warc_spreads_hot_and_missing_ids(spark, tmp_path):
+    rows = [(None, f"http://n/{i}", f"page {i} " * 60) for i in range(40)] + [(7, f"http://s/{i}", f"other {i} " * 60) for i in range(40)]
+    rows += [(7, "http://s/0", "other 0 " * 60), (None, "http://n/0", "page 0 " * 60), (8, "http://z", "small")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = []
+    for name, parts in (("a", 1), ("b", 4)):
+        manifest = warc.write_archives(df.repartition(parts), f"file://{tmp_path}/{name}", shard_bytes=2000)
+        found.append(sorted((m.name, m.sha256, m.records) for m in manifest.collect()))
+    assert found[0] == found[1]
+    shards = Counter({m.shard: m.records for m in manifest.collect()})
+    assert len(shards) > 8 and max(shards.values()) < 24
+    read = warc.read_archives(manifest, f"file://{tmp_path}/b", payloads=True).collect()
+    assert all(r.intact for r in read)
+    kinds = Counter((r.page_id, r.record_type) for r in read)
+    assert kinds == {(None, "response"): 40, (None, "revisit"): 1, (7, "response"): 40, (7, "revisit"): 1, (8, "response"): 1} \
+        or kinds == {(None, "response"): 41, (7, "response"): 40, (7, "revisit"): 1, (8, "response"): 1}
+
+
+def test_warc_paths_of_hadoop_schemes():
+    cases = {"s3a://b/k": "s3://b/k", "s3n://b/k": "s3://b/k", "s3://b/k": "s3://b/k", "/local/x": "/local/x", "rel/x": "rel/x",
+             "file:/x": "file:/x", "file:///x": "file:///x", "gs://b/k": "gs://b/k", "hdfs://n:1/x": "hdfs://n:1/x",
+             "wasbs://c@a.host/x": "abfss://c@a.host/x", "abfss://c@a.host/x": "abfss://c@a.host/x"}
+    for path, want in cases.items():
+        assert warc.archive_uri(path) == want
+    with pytest.raises(ValueError, match="cannot be written to oss"):
+        warc.archive_uri("oss://b/k")
+
+
+def test_warc_long_payloads(spark, tmp_path):
+    df = spark.createDataFrame([(1, "http://a", "x\r\n" * 2_000_000), (2, "http://b", "x\r\n" * 2_000_000)],
+                               "page_id long, url string, html string")
+    got = sorted(warc.archive_round_trip(spark, df).collect())
+    assert [(r.page_id, r.record_type, r.payload_bytes, r.intact) for r in got] == [
+        (1, "response", 6_000_000, True), (2, "revisit", 6_000_000, True)]
+
+
 def test_warc_members_are_plain_gzip_records(spark, tmp_path):
     manifest = warc.write_archives(pages(spark), f"file://{tmp_path}/a")
     data = b"".join(gzip.open(tmp_path / "a" / m.name).read() for m in manifest.collect())
