@@ -38,7 +38,9 @@ from panelforge.operators.reshape import rename_geography
 from panelforge.plans.analytics import Extracts, final_table, needed_datasets
 from panelforge.plans.load import load_table
 from panelforge.plans.staging import stage_table
+from panelforge.session import scratch_scope
 from panelforge.sources import sinks, versions
+from panelforge.sources.files import Folder
 from panelforge.sources.tables import read_extract
 
 
@@ -76,6 +78,20 @@ def init_targets(spark: SparkSession, out_dir: str) -> dict[str, str]:
     return paths
 
 
+def remove_old_runs(spark: SparkSession, out_dir: str) -> list[str]:
+    """Delete the run folders of a warehouse that no current version lies in; returns their names.
+
+    Not for a time at which a run is under way: its folder is not current yet.
+    """
+    base = Folder(spark, out_dir)
+    used = versions.all_current(spark, out_dir).values()
+    old = [name for name in base.folders() if name.startswith("run-")
+           and not any(path.startswith(f"{base.path}/{name}/") for path in used)]
+    for name in old:
+        base.child(name).delete()
+    return old
+
+
 def current_tables(spark: SparkSession, out_dir: str) -> dict[str, str]:
     """Where the current version of every staging and final table of a warehouse folder lies."""
     return versions.current(spark, out_dir, TARGET_SCHEMAS)
@@ -115,9 +131,12 @@ def refresh(spark: SparkSession, source: str | Mapping[str, DataFrame], out_dir:
         missing = sorted(set(TARGET_SCHEMAS) - set(targets))
         if missing:
             raise sinks.MissingTargetError(f"no target for {missing}: create them with init_targets")
+    if isinstance(source, str):
+        with scratch_scope(spark):  # the cube goes when the run has stored its tables
+            return refresh(spark, Extracts(spark, source).wide, out_dir, variant, previous, staging_checks, analytics_checks,
+                           require_matches, parallel_jobs)
     run_dir = f"{out_dir.rstrip('/')}/run-{uuid.uuid4().hex[:12]}"
     result = RefreshResult(run_dir)
-    extracts = Extracts(spark, source).wide if isinstance(source, str) else source
 
     def write_layer(layer: str, names: Iterable[str], write: Callable[[str], str]) -> None:
         written = {f"{layer}.{n}": path for n, path in _each(names, write, parallel_jobs).items()}
@@ -138,7 +157,7 @@ def refresh(spark: SparkSession, source: str | Mapping[str, DataFrame], out_dir:
     landed: dict[str, DataFrame] = {}
 
     def land(name: str) -> str:
-        wide = rename_geography(extracts[name])
+        wide = rename_geography(source[name])
         path = sinks.land_wide(wide, f"{run_dir}/raw/{name}")
         landed[name] = spark.read.schema(wide.schema).parquet(path)
         return path

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -140,9 +141,30 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     files.mkdirs(folder)
     files.deleteOnExit(folder)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return path
 
 
+_SCOPES: list[list[str]] = []  # folders made inside the open scopes, the innermost last
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the scratch folders made inside it, for work whose result is stored elsewhere.
+
+    Frames made inside that were not stored can no longer be read.
+    """
+    folders: list[str] = []
+    _SCOPES.append(folders)
+    try:
+        yield
+    finally:
+        del _SCOPES[next(i for i, scope in enumerate(_SCOPES) if scope is folders)]
+        for path in folders:
+            remove_dir(spark, path)
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Remove a scratch folder before the JVM ends."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

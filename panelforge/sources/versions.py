@@ -10,7 +10,7 @@ folder may be moved or mounted elsewhere.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import SparkSession
 
@@ -29,11 +29,15 @@ def publish(spark: SparkSession, root: str, paths: Mapping[str, str]) -> None:
 
 def current(spark: SparkSession, root: str, tables: Iterable[str]) -> dict[str, str]:
     """Path of the current version of those ``tables`` that have one."""
+    return all_current(spark, root, set(tables).__contains__)
+
+
+def all_current(spark: SparkSession, root: str, wanted: Callable[[str], bool] = lambda table: True) -> dict[str, str]:
+    """Path of the current version of every published table."""
     base = Folder(spark, root)
-    known = set(base.child(_POINTERS).files())
     out = {}
-    for table in tables:
-        if table in known:
+    for table in base.child(_POINTERS).files():
+        if wanted(table):
             path = base.child(f"{_POINTERS}/{table}").read_text().strip()
-            out[table] = path if path.startswith("/") or "://" in path or ":/" in path else f"{base.path}/{path}"
+            out[table] = path if path.startswith("/") or ":/" in path else f"{base.path}/{path}"
     return out

@@ -10,7 +10,7 @@ from panelforge.contracts import ANALYTICS_SCHEMAS, DATASETS, STAGING_SCHEMAS
 from panelforge.operators import checks
 from panelforge.operators.filters import EmptyInputError
 from panelforge.plans.analytics import Extracts
-from panelforge.plans.refresh import TARGET_SCHEMAS, current_tables, init_targets, refresh
+from panelforge.plans.refresh import TARGET_SCHEMAS, current_tables, init_targets, refresh, remove_old_runs
 from panelforge.sources import sinks, versions
 from panelforge.sources.files import FileMoveError, Folder, footer_types
 from tests.conftest import SF_SMALL, rows
@@ -130,6 +130,31 @@ def test_a_pointer_is_replaced_by_one_rename(spark, scratch, monkeypatch):
     assert pointer.read_text() == "one"
 
 
+def test_old_runs_are_removed_and_the_cube_goes_with_the_run(spark, scratch):
+    from panelforge.session import checkpoint_root
+    cubes = {n for n in os.listdir(checkpoint_root(spark).removeprefix("file:")) if n.startswith("cube-")}
+    init_targets(spark, scratch)
+    runs = [refresh(spark, SF_SMALL, scratch) for _ in range(3)]
+    assert cubes == {n for n in os.listdir(checkpoint_root(spark).removeprefix("file:")) if n.startswith("cube-")}
+    # the first run's folder holds the partitioned final tables, the last one's all others
+    assert remove_old_runs(spark, scratch) == [os.path.basename(runs[1].run_dir)]
+    assert remove_old_runs(spark, scratch) == []
+    for path in current_tables(spark, scratch).values():
+        assert spark.read.parquet(path).count() > 0
+
+
+def test_scratch_scopes_remove_their_folders_only(spark):
+    from panelforge.session import scratch_dir, scratch_scope
+    outer = scratch_dir(spark, "outer")
+    with scratch_scope(spark):
+        first = scratch_dir(spark, "first")
+        with pytest.raises(ZeroDivisionError), scratch_scope(spark):
+            second = scratch_dir(spark, "second")
+            raise ZeroDivisionError
+        assert Folder(spark, first).exists() and not Folder(spark, second).exists()
+    assert Folder(spark, outer).exists() and not Folder(spark, first).exists()
+
+
 # ---- partitions
 
 @pytest.fixture
