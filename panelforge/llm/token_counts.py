@@ -10,7 +10,7 @@ A text is split into units: white space and the word, number, punctuation run
 or contraction that follows.  The count differences at the characters of a unit
 do not depend on its neighbours; a text's table is their running sum.  Where
 single spaces part a text, no unit crosses one, so each distinct stretch
-between spaces is computed once per worker.  Truncation points and budgets are
+between spaces is computed once, and words of letters side by side (``prefix_batch``).  Truncation points and budgets are
 read off the table without encoding anything again.
 """
 
@@ -27,7 +27,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import Entries, RecentCache, column, distinct, id_and_text, pieces_of
+from .common import Entries, RecentCache, column, distinct, id_and_text, pieces_of, valid_utf8
+from .piece_batch import PieceTrie
+from .prefix_batch import LONGEST, PairTable, prefix_counts
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 1024
@@ -75,6 +77,9 @@ class PrefixCounter:
         self._after_space = RecentCache(_CACHE_STRETCHES)
         self._tails: dict[str, list[int]] = {}
         self._previous: tuple[bytes, list[int], list[bytes]] = b"", [0], [b""]
+        self._names = sorted(self._tokens)
+        self._trie = PieceTrie({t.decode("latin-1"): (0, (i,)) for i, t in enumerate(self._names)})
+        self._follows = PairTable(self._number_follows, len(self._names) + 1)
 
     def _merged(self, text: bytes) -> list[bytes]:
         parts = [text[i:i + 1] for i in range(len(text))]
@@ -129,6 +134,12 @@ class PrefixCounter:
             self._pairs.put(pair, known)
         return known
 
+    def _number_follows(self, left: int, right: int) -> bool:
+        """``_can_follow`` for token numbers; one past the last stands for the begin of a pre-token."""
+        if left == len(self._names):
+            return bool(self._edge(self._names[right], 0))
+        return self._can_follow(self._names[left], self._names[right])
+
     def piece_counts(self, piece: bytes) -> list[int]:
         """Token count of every byte prefix of a pre-token (index 0: nothing).
 
@@ -234,22 +245,80 @@ class PrefixCounter:
         found = [self._units(stretches[0]), *map(self._stretch, stretches[1:])]
         return b"".join(found) if all(found) else self._units(text)
 
-    def _differences(self, stretches: list[str]) -> list[bytes]:
-        """Those of distinct stretches.  New ones are computed in alphabetic order: neighbours
-        share prefixes."""
-        found = list(map(self._after_space.find, stretches))
-        fresh = [i for i, known in enumerate(found) if known is None]
-        for i in sorted(fresh, key=stretches.__getitem__):
-            found[i] = self._stretch(stretches[i])
-        return found
+    def _word_differences(self, words: list[str]) -> Entries:
+        """Differences at the characters of words of letters, with or without a space in front."""
+        if not words:
+            return Entries(np.empty(0, np.int16), np.empty(0, np.int64))
+        raw = [word.encode() for word in words]
+        counts = prefix_counts(raw, self._trie, self._follows, len(self._names))
+        flat = np.frombuffer(b"".join(raw), np.uint8)
+        # a character ends where no byte follows that continues it
+        ends = (np.append(flat[1:], np.uint8(0)) & 0xC0) != 0x80
+        at_ends = counts.store[ends]
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        out = np.diff(at_ends, prepend=np.int16(0))
+        starts = np.cumsum(lengths) - lengths
+        out[starts] = at_ends[starts]
+        return Entries(out, lengths)
+
+    @staticmethod
+    def _word_parts(stretch: str) -> list[str]:
+        """The words, marks and line ends of a space and a stretch of nothing else; else nothing."""
+        if stretch.isalpha() and len(stretch) < LONGEST // 4:
+            return [" " + stretch]
+        parts, front = [], " "
+        for line in stretch.split("\n"):
+            word = line.rstrip(_MARKS)
+            if not word.isalpha() or len(word) >= LONGEST // 4:
+                return []
+            parts.append(front + word)
+            if len(word) < len(line):
+                parts.append(line[len(word):])
+            parts.append("\n")
+            front = ""
+        return parts[:-1]
+
+    def _differences(self, stretches: list[str]) -> tuple[Entries, np.ndarray]:
+        """Those of distinct stretches, and the entry of each stretch.
+
+        Words of letters, with marks or single line ends between them, are counted
+        side by side; the others one by one, new ones in alphabetic order:
+        neighbours share prefixes.
+        """
+        plain, other, parts = [], [], []
+        for i, stretch in enumerate(stretches):
+            found = self._word_parts(stretch)
+            (plain if found else other).append(i)
+            if found:
+                parts.append(found)
+        codes, names = distinct(parts)
+        words = [i for i, name in enumerate(names) if name[-1].isalpha()]
+        of_words = self._word_differences([names[i] for i in words])
+        is_word = np.zeros(len(names), bool)
+        is_word[words] = True
+        tails = [np.diff(self._chars(n), prepend=0).astype(np.int16) for n, word in zip(names, is_word.tolist()) if not word]
+        number = np.empty(len(names), np.int64)  # the words' entries, then those of marks and line ends
+        number[is_word], number[~is_word] = np.arange(len(words)), np.arange(len(words), len(names))
+        entries = Entries(np.concatenate([of_words.store, *tails]),
+                          np.concatenate([of_words.lengths, np.fromiter(map(len, tails), np.int64, len(tails))]))
+        codes = number[codes]
+        sums = np.concatenate([[0], np.cumsum(entries.lengths[codes])])
+        ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))])
+        found = list(map(self._after_space.find, [stretches[i] for i in other]))
+        for i in sorted([i for i, known in enumerate(found) if known is None], key=lambda i: stretches[other[i]]):
+            found[i] = self._stretch(stretches[other[i]])
+        store = np.concatenate([entries.row(codes), np.frombuffer(b"".join(found), np.int16)])
+        lengths = np.concatenate([np.diff(sums[ends]), np.fromiter(map(len, found), np.int64, len(found)) // 2])
+        place = np.empty(len(stretches), np.int64)
+        place[plain + other] = np.arange(len(stretches))
+        return Entries(store, lengths), place
 
     def tables(self, texts: list[str]) -> Iterator[np.ndarray]:
         """``table`` of many texts: each distinct stretch is looked up once."""
         parts = [text.split(" ") for text in texts]
         codes, stretches = distinct([part[1:] for part in parts])
-        found = self._differences(stretches)
-        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 2
-        entries = Entries(np.frombuffer(b"".join(found), np.int16), lengths)
+        entries, place = self._differences(stretches)
+        codes, lengths = place[codes], entries.lengths
         at = 0
         for text, part in zip(texts, parts):
             own = codes[at:at + len(part) - 1]
@@ -302,6 +371,7 @@ def prefix_token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     tokens.  With ``tables`` true, ``prefix_tokens[i]`` is the count of the
     first i characters.  Special strings in a text count as one token; nothing
     is added at the ends.  A null text counts as empty: no bytes, no tokens.
+    Malformed UTF-8 is replaced by U+FFFD first.
     Rows that repeat an id are counted each; other columns are ignored.
     ``tokenizer`` is a file name of the public tokenizers or a path that every
     executor can read.
@@ -313,7 +383,7 @@ def prefix_token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "
             ids = iter(column(batch, "doc_id"))
             size = 1 << 18 if tables else 4 << 20  # tables are wide: hand them on in small batches
             for raws in pieces_of(column(batch, "text"), size):
-                raw = [r or b"" for r in raws]
+                raw = list(map(valid_utf8, raws))
                 texts = [r.decode() for r in raw]
                 counts = list(counter.tables(texts))
                 totals = [int(c[-1]) for c in counts]

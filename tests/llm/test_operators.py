@@ -301,6 +301,26 @@ def test_token_counts_query(spark, bpe):
             assert r.chars_in_limit == fits[-1] and encoded(bpe, text[:fits[-1]]) <= 300
 
 
+def test_token_counts_of_malformed_text(spark, bpe):
+    df = spark.sql("SELECT 1L AS doc_id, cast(X'61FF20FF62' AS string) AS text UNION ALL SELECT 2L, 'x'")
+    got = {r.doc_id: (r.n_bytes, r.n_tokens) for r in token_counts.prefix_token_counts(df).collect()}
+    assert got == {1: (9, encoded(bpe, "a\ufffd \ufffdb")), 2: (1, 1)}
+
+
+def test_word_tables_equal_the_table_of_each_word(bpe):
+    counter = token_counts.PrefixCounter(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(13)
+    words = ["".join(rng.choice("abetionsßçê漢ж") for _ in range(rng.randrange(1, 15))) for _ in range(400)] + ["the", "don", "x" * 15]
+    got = counter._word_differences([" " + w for w in words] + words)
+    for i, word in enumerate([" " + w for w in words] + words):
+        assert np.cumsum(got.row(np.array([i]))).tolist() == counter._chars(word), word
+    stretches = ["a.\nB", "foo\nbar\nbaz!?", "x" * 40, "\n", "a\n\nb", "'s", "don't", "w.x", "é,\nß"] + words
+    entries, place = counter._differences(stretches)
+    for stretch, at in zip(stretches, place.tolist()):
+        made = np.cumsum(entries.row(np.array([at]))).tolist()
+        assert made == [encoded(bpe, " " + stretch[:n]) for n in range(len(stretch) + 1)] or stretch[:1].isspace()
+
+
 # ---- pieces
 
 @pytest.fixture(scope="module")
