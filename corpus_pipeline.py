@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from panelforge.llm.common import Scratch
 from panelforge.llm.decontaminate import decontaminate
-from panelforge.llm.language_id import keep_identified, rejection_limits, train_language_model
+from panelforge.llm.language_id import keep_identified, refine_language_model, rejection_limits, train_language_model
 from panelforge.llm.minhash import drop_near_duplicates
 from panelforge.llm.pieces import encode_pieces
 from panelforge.llm.substring_dedup import remove_repeats
@@ -20,8 +20,11 @@ SHINGLE_WORDS = 5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts that are null, hold no letter or fit no learned language, by limits from held-out rows."""
-    network = train_language_model(docs)
+    """Rejects texts that are null, hold no letter or fit no learned language.
+
+    The network learns from every row that is not held out; the limits are those of all held-out rows.
+    """
+    network = refine_language_model(docs, train_language_model(docs))
     return keep_identified(docs, network, *rejection_limits(docs, network))
 
 

@@ -10,7 +10,9 @@ when the trained network is applied.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import copy
+import itertools
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +20,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, id_and_text, keep_rows, pick
+from .common import Scratch, column, id_and_text, keep_rows, pick
+from .importance import kth_largest
 
 UNKNOWN = "und"
 WINDOW_BYTES = 192
@@ -26,9 +29,14 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16             # per width
 ROWS_PER_LANGUAGE = 800  # bound of the training sample
 WINDOWS_PER_ROW = 4      # distinct ones, spread over the whole text
-LIMIT_ROWS = 2000        # bound of the held-out sample that limits are taken from
+SHARD_WINDOWS = 25_000   # training windows that one copy of the network learns from before copies are averaged
+SHARD_PARTITIONS = 2000  # at most; a partition takes its shards one after the other
+REFINE_RATE = 0.001
+PAIR_SHARE = 1_000_000   # a pair of bytes is known if it makes a millionth of the pairs of some label
+TAIL = 0.001             # share of the held-out rows that limits leave below them
 MAX_LABELS = 1000        # more are taken for a wrong column
 EPOCHS = 10
+_FRACTION = 1 << 24      # fixed point, so that sums do not depend on their order
 _BATCH_WINDOWS = 256
 _LETTER = regex.compile(r"\p{L}")
 
@@ -153,6 +161,13 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _labelled(df: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """doc_id, text, label of the rows that have a label and a letter."""
+    rows = pick(df, doc_id=id_col, text=text_col, label=label_col).select(
+        F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("label").cast("string"))
+    return rows.filter(F.col("label").isNotNull() & F.col("text").rlike(r"\p{L}"))
+
+
 def train_language_model(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          label_col: str = "lang",
                          rows_per_language: int = ROWS_PER_LANGUAGE) -> ByteNetwork | None:
@@ -162,9 +177,7 @@ def train_language_model(df: DataFrame, id_col: str = "doc_id", text_col: str =
     on the partitioning.  Each gives up to ``WINDOWS_PER_ROW`` distinct windows spread over its
     whole text.  More than ``MAX_LABELS`` labels raise.
     """
-    rows = pick(df, doc_id=id_col, text=text_col, label=label_col).select(
-        F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("label").cast("string"))
-    rows = rows.filter(~held_out() & F.col("label").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    rows = _labelled(df, id_col, text_col, label_col).filter(~held_out())
     # A hash below the label's bound keeps about twice the wanted rows; of these the smallest stay.
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().limit(MAX_LABELS + 1).collect()}
     if len(counts) > MAX_LABELS:
@@ -199,6 +212,93 @@ def train_language_model(df: DataFrame, id_col: str = "doc_id", text_col: str =
     return network
 
 
+def _shard_sums(network: ByteNetwork, rows: Iterable[tuple[str, bytes]], weight: np.ndarray,
+                block: int) -> pa.RecordBatch:
+    """(place, total): the weights of a copy that learned from a shard, times its windows, and pair counts by label."""
+    local, numbers = copy.deepcopy(network), {label: k for k, label in enumerate(network.labels)}
+    x, y, waiting, seen_windows, pairs = [], [], 0, 0, {}
+
+    def learn() -> None:
+        windows, labels = np.concatenate(x), np.concatenate(y)
+        for at in range(0, len(windows), block):
+            chosen = labels[at:at + block]
+            local.train(windows[at:at + block], chosen, weight[chosen], epochs=1, rate=REFINE_RATE)
+
+    for label, raw in rows:
+        k, windows = numbers[label], windows_of(raw)
+        x.append(windows)
+        y.append(np.full(len(windows), k))
+        waiting += len(windows)
+        seen_windows += len(windows)
+        text = np.frombuffer(raw, np.uint8)
+        found = np.bincount(text[:-1].astype(np.intp) * 256 + text[1:], minlength=1 << 16)
+        pairs[k] = pairs[k] + found if k in pairs else found
+        if waiting >= block:
+            learn()
+            x, y, waiting = [], [], 0
+    if waiting:
+        learn()
+    flat = np.concatenate([p.ravel() for p in local.parameters()]).astype(np.float64)
+    places, totals = [np.arange(len(flat))], [np.rint(flat * seen_windows * _FRACTION).astype(np.int64)]
+    for k, found in pairs.items():
+        used = np.flatnonzero(found)
+        places.append(len(flat) + (k << 16) + used)
+        totals.append(found[used])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(places), pa.int64()),
+                                       pa.array(np.concatenate(totals), pa.int64())], names=["place", "total"])
+
+
+def refine_language_model(df: DataFrame, network: ByteNetwork | None, id_col: str = "doc_id",
+                          text_col: str = "text", label_col: str = "lang",
+                          shard_windows: int = SHARD_WINDOWS) -> ByteNetwork | None:
+    """``network`` after one pass over every window of every row it may learn from.
+
+    Rows are dealt by hash to shards of about ``shard_windows`` windows.  A copy
+    of the network learns from each shard, and the copies are averaged by their
+    windows.  ``seen`` becomes the pairs that make at least one in
+    ``PAIR_SHARE`` of the pairs in all texts of some label.  The result does not
+    depend on the partitioning.
+    """
+    if network is None:
+        return None
+    rows = _labelled(df, id_col, text_col, label_col).filter(~held_out() & F.col("label").isin(network.labels))
+    rows = rows.withColumns({"key": F.xxhash64("doc_id", "text"), "text": F.col("text").cast("binary")})
+    n_windows = F.ceil(F.length("text") / WINDOW_BYTES)
+    counts = dict(rows.groupBy("label").agg(F.sum(n_windows)).collect())  # at most one row per label
+    total = sum(counts.values())
+    if not total:
+        return network
+    weight = np.array([total / (len(counts) * counts[label]) if label in counts else 0 for label in network.labels],
+                      np.float32)
+    shards = -(-total // shard_windows)
+    rows = rows.withColumn("shard", F.pmod("key", F.lit(shards))).repartition(min(shards, SHARD_PARTITIONS), "shard")
+    rows = rows.sortWithinPartitions("shard", "key", "doc_id", "label").select("shard", "label", "text")
+
+    def trained(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat = (row for batch in parts
+                for row in zip(column(batch, "shard"), column(batch, "label"), column(batch, "text")))
+        for _, members in itertools.groupby(flat, key=lambda row: row[0]):
+            yield _shard_sums(network, ((label, raw) for _, label, raw in members), weight, shard_windows)
+
+    sums = rows.mapInArrow(trained, "place long, total long").groupBy("place").agg(F.sum("total").alias("total"))
+    sums = Scratch(df.sparkSession, "language").table(sums, "sums")
+    refined = copy.deepcopy(network)
+    size = sum(p.size for p in refined.parameters())
+    flat = np.zeros(size)
+    for place, value in sums.filter(F.col("place") < size).collect():  # the size of the network
+        flat[place] = value / (total * _FRACTION)
+    ends = np.cumsum([p.size for p in refined.parameters()])
+    for p, part in zip(refined.parameters(), np.split(flat, ends[:-1])):
+        p[...] = part.reshape(p.shape)
+    place = F.col("place") - size
+    pairs = sums.filter(place >= 0).select(F.shiftright(place, 16).alias("label"), place.bitwiseAND(F.lit(0xFFFF)).alias("pair"), "total")
+    whole = pairs.groupBy("label").agg(F.sum("total").alias("whole"))
+    known = pairs.join(F.broadcast(whole), "label").filter(F.col("total") * PAIR_SHARE >= F.col("whole"))
+    refined.seen[:] = False
+    refined.seen[[r["pair"] for r in known.select("pair").distinct().collect()]] = True  # at most 65,536 rows
+    return refined
+
+
 def identify_language(df: DataFrame, network: ByteNetwork | None, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score: one row per row of ``df``.
@@ -233,35 +333,40 @@ def coverage(network: ByteNetwork, raw: bytes) -> float:
     return float(network.seen[x[:-1].astype(np.intp) * 256 + x[1:]].mean()) if len(x) > 1 else 1.0
 
 
+def _quantile(bits: DataFrame, n: int, share: float) -> float:
+    """The quantile, between the two nearest of ``n`` values, of doubles from 0 up; ``key`` holds their bits."""
+    at = share * (n - 1)
+    low, high = (float(np.int64(kth_largest(bits, n - k)).view(np.float64)) for k in (int(at), min(int(at) + 1, n - 1)))
+    return low + (high - low) * (at - int(at))
+
+
 def rejection_limits(df: DataFrame, network: ByteNetwork | None, id_col: str = "doc_id", text_col: str = "text",
-                     label_col: str = "lang", rows: int = LIMIT_ROWS) -> tuple[float, float]:
+                     label_col: str = "lang") -> tuple[float, float]:
     """(score, coverage) below which a text fits no learned language.
 
-    From about ``rows`` held-out labelled rows, chosen by hash: half way
-    between chance, one over the number of labels, and the score that all but a
-    thousandth of them reach, and half the coverage that all but a thousandth
-    reach.  (0, 0), which rejects nothing, without a network or such rows.
+    From all held-out labelled rows: half way between chance, one over the
+    number of labels, and the score that all but a thousandth of them reach, and
+    half the coverage that all but a thousandth reach.  (0, 0), which rejects
+    nothing, without a network or such rows.  The quantiles are exact, found by
+    aggregations of bounded size.
     """
     if network is None:
         return 0.0, 0.0
-    known = pick(df, doc_id=id_col, text=text_col, label=label_col).select(
-        F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary"), F.col("label").cast("string"))
-    known = known.filter(held_out() & F.col("label").isNotNull() & F.col("text").cast("string").rlike(r"\p{L}"))
-    # the hash keeps about the wanted rows where they lie; only their figures go to the driver
-    share = min(1.0, rows / max(known.count(), 1))
-    known = known.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30))).select("text")
+    known = _labelled(df, id_col, text_col, label_col).filter(held_out()).select(F.col("text").cast("binary"))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             texts = column(batch, "text")
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([float(_mean(network, t).max()) for t in texts], pa.float64()),
-                 pa.array([coverage(network, t) for t in texts], pa.float64())], names=["score", "coverage"])
-
-    found = np.array([list(r) for r in known.mapInArrow(batches, "score double, coverage double").collect()])
-    if not len(found):
+            figures = [np.array([float(_mean(network, t).max()) for t in texts], np.float64),
+                       np.array([coverage(network, t) for t in texts], np.float64)]
+            # the bits of doubles from 0 up order as the doubles do
+            yield pa.RecordBatch.from_arrays([pa.array(f.view(np.int64)) for f in figures], names=["score", "coverage"])
+
+    found = Scratch(df.sparkSession, "language").table(known.mapInArrow(batches, "score long, coverage long"), "held-out")
+    n = found.count()
+    if not n:
         return 0.0, 0.0
-    score, covered = np.quantile(found, 0.001, axis=0)
+    score, covered = (_quantile(found.select(F.col(c).alias("key")), n, TAIL) for c in ("score", "coverage"))
     chance = 1 / len(network.labels)
     return float(chance + (score - chance) / 2), float(covered / 2)
 

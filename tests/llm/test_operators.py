@@ -524,6 +524,101 @@ def test_training_windows_are_distinct_and_spread(spark, monkeypatch):
     assert len(seen[0][0]) == 1 + 2 + 3 + 4
 
 
+def test_limits_come_from_all_held_out_rows(spark):
+    """A few odd texts among thousands of held-out rows move the limits."""
+    rng = random.Random(17)
+    network = small_network(np.random.default_rng(12))
+    network.seen[:] = True
+    network.seen[ord("z") * 256:] = False
+    held = [i for i in range(12_000) if zlib.crc32(str(i).encode()) % 3 == 1]
+    rows = [(i, " ".join("".join(rng.choice("abc") for _ in range(5)) for _ in range(4)), "a") for i in held]
+    n_odd = len(rows) // 600
+    rows[:n_odd] = [(i, "x" + "z" * k, "a") for k, (i, _, _) in enumerate(rows[:n_odd], 20)]
+    df = spark.createDataFrame(rows + [(-1, "zz", None), (held[-1], "123", "a"), (held[-1], None, "a")],
+                               "doc_id long, text string, lang string").repartition(5)
+    figures = [(float(language_id._mean(network, t.encode()).max()), language_id.coverage(network, t.encode())) for _, t, _ in rows]
+    score, covered = np.quantile(figures, 0.001, axis=0)
+    got = language_id.rejection_limits(df, network)
+    assert len(rows) > 3900 and covered < 0.1
+    assert np.allclose(got, (1 / 3 + (score - 1 / 3) / 2, covered / 2), rtol=1e-9, atol=0)
+    one = spark.createDataFrame(rows[:1], df.schema)
+    assert np.allclose(language_id.rejection_limits(one, network), (1 / 3 + (figures[0][0] - 1 / 3) / 2, figures[0][1] / 2))
+    assert language_id.rejection_limits(df.filter("lang IS NULL"), network) == (0.0, 0.0)
+
+
+def test_refinement_learns_from_every_window(spark):
+    rng = random.Random(18)
+    rows = [(i, "".join(rng.choice("abcd " if i % 2 else "vwxyé ") for _ in range(rng.choice((5, 100, 192, 1500)))) + "a",
+             "aa" if i % 2 else "bb") for i in range(90)]
+    late = next(i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 3 != 1)
+    rows += [(late, "ab" * 900 + "QZ" + "ab" * 900, "aa"), (None, "no id JK", "bb"), (late, None, "aa"), (late, "42", "aa")]
+    held = next(i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 3 == 1)
+    df = spark.createDataFrame(rows + [(held, "MN", "aa"), (late, "OP", None)], "doc_id long, text string, lang string")
+    start = language_id.train_language_model(df, rows_per_language=3)
+    known = [(i, t, lang) for i, t, lang in rows if t and t != "42" and (i is None or zlib.crc32(str(i).encode()) % 3 != 1)]
+    order = {(r.doc_id, r.text): r.k for r in df.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k")).collect()}
+    known.sort(key=lambda r: order[r[0], r[1]])
+
+    def want(groups, block):
+        """Weights by learning from each group of rows, block by block, averaged."""
+        counts = Counter()
+        for _, t, lang in known:
+            counts[lang] += len(language_id.windows_of(t.encode()))
+        weight = np.array([sum(counts.values()) / (2 * counts[lang]) for lang in start.labels], np.float32)
+        copies = []
+        for group in groups:
+            made, n, x, y = start_copy(), 0, [], []
+            for at, (_, t, lang) in enumerate(group, 1):
+                x.extend(language_id.windows_of(t.encode()))
+                y.extend([start.labels.index(lang)] * (len(x) - len(y)))
+                if len(x) >= block or at == len(group):
+                    for k in range(0, len(x), block):
+                        chosen = np.array(y[k:k + block])
+                        made.train(np.array(x[k:k + block]), chosen, weight[chosen], epochs=1, rate=language_id.REFINE_RATE)
+                    n, x, y = n + len(x), [], []
+            copies.append((n, made))
+        return [sum(n * p.astype(float) for n, p in zip([n for n, _ in copies], places)) / sum(counts.values())
+                for places in zip(*(c.parameters() for _, c in copies))]
+
+    def start_copy():
+        made = language_id.ByteNetwork(start.labels)
+        for p, q in zip(made.parameters(), start.parameters()):
+            p[...] = q
+        return made
+
+    whole = language_id.refine_language_model(df, start)
+    assert all(np.allclose(p, q, atol=1e-5) for p, q in zip(whole.parameters(), want([known], 10 ** 6)))
+    assert any(not np.array_equal(p, q) for p, q in zip(whole.parameters(), start.parameters()))
+    pairs = {lang: Counter() for lang in start.labels}
+    for _, t, lang in known:
+        pairs[lang].update(zip(t.encode(), t.encode()[1:]))
+    assert {divmod(int(i), 256) for i in np.flatnonzero(whole.seen)} == {p for c in pairs.values() for p in c}
+    assert whole.seen[ord("Q") * 256 + ord("Z")] and whole.seen[ord("J") * 256 + ord("K")]
+    assert not whole.seen[ord("M") * 256 + ord("N")] and not whole.seen[ord("O") * 256 + ord("P")]
+
+    n_windows = sum(len(language_id.windows_of(t.encode())) for _, t, _ in known)
+    parts = language_id.refine_language_model(df, start, shard_windows=n_windows // 4)
+    shards = -(-n_windows // (n_windows // 4))
+    groups = [[r for r in known if order[r[0], r[1]] % shards == g] for g in range(shards)]
+    assert sum(map(bool, groups)) > 2
+    assert all(np.allclose(p, q, atol=1e-5) for p, q in zip(parts.parameters(), want([g for g in groups if g], n_windows // 4)))
+    again = language_id.refine_language_model(df.repartition(7), start, shard_windows=n_windows // 4)
+    assert all(np.array_equal(p, q) for p, q in zip(parts.parameters(), again.parameters()))
+    assert np.array_equal(parts.seen, whole.seen) and np.array_equal(again.seen, whole.seen)
+    assert language_id.refine_language_model(df, None) is None
+    assert language_id.refine_language_model(df.filter("lang IS NULL"), start) is start
+
+
+def test_pairs_rare_in_every_label_are_not_known(spark):
+    at = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(i, "ab" * 60_000, "aa") for i in at[:9]] + [(at[9], "abQZab", "aa")]
+    rows += [(at[10], "cdJKcd", "bb")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    refined = language_id.refine_language_model(df, language_id.train_language_model(df))
+    assert not refined.seen[ord("Q") * 256 + ord("Z")] and refined.seen[ord("J") * 256 + ord("K")]
+    assert refined.seen[ord("a") * 256 + ord("b")]
+
+
 def test_too_many_labels_raise(spark):
     df = spark.range(3 * language_id.MAX_LABELS).selectExpr("id AS doc_id", "'text' AS text", "cast(id AS string) AS lang")
     with pytest.raises(ValueError, match="labels"):
